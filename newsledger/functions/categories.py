@@ -9,7 +9,6 @@ array/map literals: no join, no shuffle.
 
 from __future__ import annotations
 
-import difflib
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -215,16 +214,26 @@ def category_result(c, vocab: Vocabulary, fuzzy_col: Column | None = None) -> Co
 
 def close_match(value: str, terms, cutoff: float) -> str | None:
     """Best ratio >= cutoff (ties: the larger term); retried lower-cased."""
-    if not value:
+    return _close_match_fn()(value, tuple(terms), cutoff)
+
+
+def _close_match_fn():
+    # Built inside a function so the UDF ships it by value (executors need
+    # only the standard library, not this package).
+    import difflib as _difflib
+
+    def close(value, terms, cutoff):
+        if not value:
+            return None
+        got = _difflib.get_close_matches(value, list(terms), n=1, cutoff=cutoff)
+        if got:
+            return got[0]
+        lowered = [t.lower() for t in terms]
+        got = _difflib.get_close_matches(value.lower(), lowered, n=1, cutoff=cutoff)
+        if got:
+            return terms[lowered.index(got[0])]
         return None
-    got = difflib.get_close_matches(value, list(terms), n=1, cutoff=cutoff)
-    if got:
-        return got[0]
-    lowered = [t.lower() for t in terms]
-    got = difflib.get_close_matches(value.lower(), lowered, n=1, cutoff=cutoff)
-    if got:
-        return terms[lowered.index(got[0])]
-    return None
+    return close
 
 
 def fuzzy_udf(vocab: Vocabulary):
@@ -232,10 +241,11 @@ def fuzzy_udf(vocab: Vocabulary):
     MAX_LITERAL_VOCABULARY, shipped with the function)."""
     terms = tuple(vocab.all_terms)
     cutoff = vocab.cutoff
+    close = _close_match_fn()
 
     @F.pandas_udf(T.StringType())
     def best(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None else close_match(v, terms, cutoff))
+        return values.map(lambda v: None if v is None else close(v, terms, cutoff))
 
     return best
 
