@@ -74,10 +74,10 @@ def _csv(spark: SparkSession, encoding: str):
 
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless some line decodes with replacement characters, then
-    latin-1. A distributed scan; nothing is collected but one count."""
-    bad = spark.read.text(path).filter(F.col("value").contains("�")).limit(1).count()
-    return "latin1" if bad else "UTF-8"
+    """UTF-8 unless some line is not valid UTF-8, then latin-1. A distributed
+    scan that stops at the first bad line; nothing is collected but a count."""
+    bad = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count()
+    return "iso-8859-1" if bad else "UTF-8"
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, required=(),
