@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import PY_WS, col_of, collapse_ws, is_blank, let, py_strip, str_array
+from .common import WS_U, col_of, collapse_ws, is_blank, let, py_strip, str_array
 
 # Provinces.
 PROVINCES = (
@@ -72,9 +72,9 @@ STATUS_SYNONYMS = (
 )
 DEFAULT_VALUE = "ไม่ระบุ"
 # Administrative prefixes removed before matching.
-PROVINCE_PREFIX = rf"^(จ\.|จังหวัด){PY_WS}*"
-DISTRICT_PREFIX = rf"^(อ\.|อำเภอ){PY_WS}*"
-SUBDISTRICT_PREFIX = rf"^(ต\.|ตำบล){PY_WS}*"
+PROVINCE_PREFIX = rf"(?U)^(จ\.|จังหวัด){WS_U}*"
+DISTRICT_PREFIX = rf"(?U)^(อ\.|อำเภอ){WS_U}*"
+SUBDISTRICT_PREFIX = rf"(?U)^(ต\.|ตำบล){WS_U}*"
 
 FUZZY_CUTOFF = 0.6
 PARTIAL_MIN_CHARS = 3

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import PY_WS, col_of, is_blank, let, py_strip, thai_digits_to_ascii
+from .common import WS_U, col_of, is_blank, let, py_strip, thai_digits_to_ascii
 
 BUDDHIST_CUTOFF = 2100
 BUDDHIST_OFFSET = 543
@@ -99,7 +99,7 @@ def _date_from(y: Column, m: Column, d: Column) -> Column:
 
 
 def normalize_separators(s: Column) -> Column:
-    s = F.regexp_replace(s, r"[." + PY_WS[1:-1] + r"]+", "/")
+    s = F.regexp_replace(s, r"(?U)[." + WS_U[1:-1] + r"]+", "/")
     s = F.regexp_replace(s, r",+", "/")
     return py_strip(s)
 
@@ -166,9 +166,13 @@ def _three_number_parse(s: Column, cutoff: int) -> Column:
 def parse_date(c, cutoff: int = BUDDHIST_CUTOFF) -> Column:
     """DATE parsed from free text, or null."""
     s = thai_digits_to_ascii(F.regexp_replace(py_strip(col_of(c).cast("string")), DATE_PREFIX_PATTERN, ""))
-    return let(s, lambda s: F.coalesce(_month_name_parse(s, cutoff),
-                                       let(normalize_separators(s), lambda n: F.coalesce(
-                                           _layout_parse(n, cutoff), _three_number_parse(n, cutoff)))))
+    def body(s):
+        # month names need a letter; the cheap guard skips the name search otherwise
+        named = F.when(s.rlike(r"[^0-9\s/.,\-]"), _month_name_parse(s, cutoff))
+        numeric = let(normalize_separators(s), lambda n: F.coalesce(
+            F.when(n.rlike(r"^\d+[/-]\d+[/-]\d+$"), _layout_parse(n, cutoff)), _three_number_parse(n, cutoff)))
+        return F.coalesce(named, numeric)
+    return let(s, body)
 
 
 def date_result(c, min_year: int = 2020, max_year: int = 2030, as_of=None,

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import PY_WS, col_of, let, py_strip
+from .common import PY_WS, WS_U, col_of, let, py_strip
 
 # Entity decoding order of the text cleaner (&amp; first).
 TEXT_ENTITIES = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
@@ -79,7 +79,7 @@ def filter_characters(c: Column) -> Column:
 
 
 def normalize_whitespace(c: Column) -> Column:
-    return py_strip(F.regexp_replace(c, f"{PY_WS}+", " "))
+    return py_strip(F.regexp_replace(c, f"(?U){WS_U}+", " "))
 
 
 def clean_text(c, profile: TextProfile = TextProfile()) -> Column:
