@@ -471,6 +471,21 @@ def _sql() -> dict:
                             f"{fld('first_word')}, {fld('first_number')} FROM b")
     S["consistency"] = ("SELECT CAST(0 AS BIGINT) AS filled_not_in_input, CAST(0 AS BIGINT) AS heat_not_in_filled, "
                         "CAST(0 AS BIGINT) AS filled_not_in_docs")
+    S["article_refetch"] = (
+        f"WITH prior AS (SELECT url, html, CASE WHEN starts_with(url, 'http://') THEN {at} END AS content FROM pages), "
+        f"f AS (SELECT url, html, content, {hc('content')} AS had FROM prior), "
+        f"g AS (SELECT url, had, CASE WHEN had THEN content ELSE {at} END AS txt, html FROM f), "
+        f"h AS (SELECT url, had, CASE WHEN had THEN 'ok' ELSE {fetch_status_expr('url', 'html', 'txt')} END AS st, txt FROM g) "
+        f"SELECT url, had AS had_content, st AS scrape_status, md5(CASE WHEN had OR st = 'ok' THEN txt END) AS content_md5 FROM h")
+    from ..operators.validate import HEAT_SPECS, SPARK_TYPES
+    duck = {"bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR", "int": "INTEGER"}
+    given = {"ที่": "CAST(doc_id AS DOUBLE)", "ที่มาสื่อออนไลน์": "source", "หมายเหตุ": "first_word"}
+    cols = []
+    for sp in HEAT_SPECS:
+        ident = '"' + sp.name.replace('"', '""') + '"'
+        val = given.get(sp.name, q(sp.default) if sp.default is not None else "NULL")
+        cols.append(f"CAST({val} AS {duck[SPARK_TYPES[sp.data_type]]}) AS {ident}")
+    S["heat_conform"] = (f"SELECT {', '.join(cols)} FROM {pd_} p JOIN documents d USING (doc_id) WHERE p.is_relevant = 1")
     return S
 
 

@@ -502,6 +502,26 @@ def consistency(spark, sf):
         c.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
+def article_refetch(spark, sf):
+    """Refetch only pages whose earlier fetch left no content (the https ones)."""
+    from .run import refetch_missing
+    p = _t(spark, sf, "pages")
+    prior = p.select("url", F.when(F.col("url").startswith("http://"), html.article_text("html")).alias("content"),
+                     F.when(F.col("url").startswith("http://"), F.lit("ok")).alias("scrape_status"))
+    out = refetch_missing(prior, p)
+    return out.select("url", "had_content", "scrape_status", F.md5("content").alias("content_md5"))
+
+
+def heat_conform(spark, sf):
+    """Processed documents in the ordered 39-column output form."""
+    from ..operators.validate import HEAT_SPECS, conform
+    d = _processed_documents(spark, sf).join(_t(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    staged = d.filter(F.col("is_relevant") == 1).select(
+        F.col("doc_id").cast("double").alias("ที่"), F.col("source").alias("ที่มาสื่อออนไลน์"),
+        F.col("first_word").alias("หมายเหตุ"))
+    return conform(staged, HEAT_SPECS)
+
+
 QUERIES = {
     "content_validity": content_validity,
     "content_split": content_split,
@@ -546,4 +566,6 @@ QUERIES = {
     "classify_update": classify_update,
     "incremental_run": incremental_run,
     "consistency": consistency,
+    "article_refetch": article_refetch,
+    "heat_conform": heat_conform,
 }

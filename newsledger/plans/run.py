@@ -107,3 +107,19 @@ def collect_links(mails: DataFrame, existing: DataFrame) -> DataFrame:
     firsts = inc.first_per_key(ex.select("url", "msg_pos", "link_pos"), "url", ["msg_pos", "link_pos"])
     collected = inc.with_row_index(firsts, ["msg_pos", "link_pos"], "pos").select("url", "pos")
     return inc.prepend_new(collected, existing.select("url", "pos"))
+
+
+def refetch_missing(articles: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:
+    """Fill content only where it is missing: rows that already have content
+    are kept as they are; the others take the article text of their page
+    (left join on the URL) and a fetch status. Adds ``had_content``."""
+    from ..functions import html, predicates
+    flagged = articles.withColumn("had_content", predicates.has_content("content"))
+    kept = flagged.filter(F.col("had_content"))
+    todo = flagged.filter(~F.col("had_content")).drop("content", "scrape_status")
+    fetched = todo.join(pages.select(key, "html"), key, "left")
+    fetched = fetched.withColumn("content", html.article_text("html"))
+    fetched = fetched.withColumn("scrape_status", html.fetch_status(
+        predicates.is_platform(key), F.col("html"), F.col("content"))).drop("html")
+    fetched = fetched.withColumn("content", F.when(F.col("scrape_status") == "ok", F.col("content")))
+    return kept.unionByName(fetched)
