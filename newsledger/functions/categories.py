@@ -149,12 +149,14 @@ def _first_wins_map(pairs) -> Column:
 def synonym_match(cleaned: Column, vocab: Vocabulary) -> Column:
     terms = set(vocab.all_terms)
     pairs = [(k.lower(), v) for k, v in vocab.synonyms if v in terms]
-    return F.element_at(_first_wins_map(pairs), F.lower(cleaned)) if pairs else F.lit(None).cast("string")
+    k = F.lower(cleaned)
+    return F.when(k.isNotNull(), F.element_at(_first_wins_map(pairs), k)) if pairs else F.lit(None).cast("string")
 
 
 def exact_match(value: Column, vocab: Vocabulary) -> Column:
     pairs = [(t.lower(), t) for t in vocab.all_terms]
-    return F.element_at(_first_wins_map(pairs), F.lower(value)) if pairs else F.lit(None).cast("string")
+    k = F.lower(value)
+    return F.when(k.isNotNull(), F.element_at(_first_wins_map(pairs), k)) if pairs else F.lit(None).cast("string")
 
 
 def partial_match(cleaned: Column, vocab: Vocabulary) -> Column:

@@ -60,6 +60,20 @@ def safe_date(y: Column, m: Column, d: Column) -> Column:
     return F.when(ok, F.try_to_date(txt, "yyyy-MM-dd"))
 
 
+def valid_ymd(y: Column, m: Column, d: Column) -> Column:
+    """True when (y, m, d) is a calendar date in years 1..9999 (proleptic
+    Gregorian, as Python's date). Arithmetic only: cheap in generated code."""
+    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    dim = (F.when(m == 2, F.when(leap, F.lit(29)).otherwise(F.lit(28)))
+           .when(m.isin(4, 6, 9, 11), F.lit(30)).otherwise(F.lit(31)))
+    return F.coalesce(y.between(1, 9999) & m.between(1, 12) & d.between(1, 31) & (d <= dim), F.lit(False))
+
+
+def ymd_date(t: Column) -> Column:
+    """DATE from a validated STRUCT<y, m, d> (null struct -> null)."""
+    return F.when(t.isNotNull(), F.make_date(t["y"].cast("int"), t["m"].cast("int"), t["d"].cast("int")))
+
+
 def _shift(y: Column, cutoff: int) -> Column:
     return F.when(y > cutoff, y - BUDDHIST_OFFSET).otherwise(y)
 
@@ -197,4 +211,5 @@ def date_result(c, min_year: int = 2020, max_year: int = 2030, as_of=None,
 
 def thai_month_name(d) -> Column:
     """Thai month name of a DATE."""
-    return F.element_at(F.array(*[F.lit(m) for m in THAI_MONTHS]), F.month(col_of(d)))
+    m = F.month(col_of(d))
+    return F.when(m.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in THAI_MONTHS]), m))

@@ -16,8 +16,7 @@ FENCE = "```"
 def label_from_reply(reply) -> Column:
     """First '0' or '1' character of the reply; anything else (or a failed
     call, i.e. null) is 0."""
-    r = col_of(reply)
-    ch = F.regexp_extract(r, "[01]", 0)
+    ch = F.regexp_extract(col_of(reply), "[01]", 0)
     return F.coalesce(F.when(ch != "", ch.cast("int")), F.lit(0))
 
 
@@ -25,27 +24,29 @@ def strip_fence(reply) -> Column:
     """Remove a leading code-fence line and, only when present, the closing
     fence line."""
     s = py_strip(col_of(reply))
-    body = F.regexp_replace(s, r"^[^\n]*(\n|$)", "")
-    body = F.regexp_replace(body, r"\n?[ \t]*```[^\n]*$", "")
-    return F.when(s.startswith(FENCE), body).otherwise(s)
+    b = F.regexp_replace(s, r"^[^\n]*(\n|$)", "")
+    b = F.regexp_replace(b, r"\n?[ \t]*```[^\n]*$", "")
+    return F.when(s.startswith(FENCE), b).otherwise(s)
 
 
 def reply_is_object(body: Column) -> Column:
-    """Valid JSON whose top level is a non-empty object."""
-    valid = F.try_parse_json(body).isNotNull() & py_strip(body).startswith("{")
-    nonempty = F.size(F.from_json(body, "map<string,string>")) > 0
-    return F.coalesce(valid & nonempty, F.lit(False))
+    """Valid JSON whose top level is a non-empty object (an object is empty
+    exactly when its text is braces around blanks)."""
+    t = py_strip(body)
+    return F.coalesce(F.try_parse_json(body).isNotNull() & t.startswith("{") & ~t.rlike(r"^\{\s*\}$"),
+                      F.lit(False))
 
 
 def reply_fields(reply, names) -> Column:
     """STRUCT<ok BOOLEAN, <name> STRING ...>: each requested key of the JSON
     object as text (nested lists/objects stay JSON text); all null when the
-    reply is not a usable object."""
+    reply is not a usable object. Written so the shared sub-expressions
+    (the stripped reply, the parsed map) are computed once per row by
+    Spark's common-subexpression elimination, inside generated code."""
     body = strip_fence(reply)
     ok = reply_is_object(body)
-    m = F.from_json(body, "map<string,string>")
-    fields = [F.when(ok, F.element_at(m, F.lit(n))).alias(n) for n in names]
-    return F.struct(ok.alias("ok"), *fields)
+    m = F.from_json(F.when(ok, body), "map<string,string>")
+    return F.struct(ok.alias("ok"), *[F.element_at(m, F.lit(n)).alias(n) for n in names])
 
 
 def render_template(template: str, **slots) -> Column:

@@ -57,16 +57,22 @@ def _range_checks(x: Column, rng: NumberRange):
 
 def number_word_text(s: Column) -> Column:
     """If the text holds a number word: first digit run, else the value of the
-    first Thai word in the fixed order, else the text itself."""
+    first Thai word in the fixed order, else the text itself. Plain numbers
+    skip the word search (a cheap guard), the rest binds the text once."""
     def body(s):
-        thai = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(str(v)).alias("v")) for w, v in THAI_NUMBER_WORDS])
-        thai_hit = F.get(F.filter(thai, lambda x: F.contains(s, x["w"])), 0)
-        english = F.exists(F.array(*[F.lit(w) for w in ENGLISH_NUMBER_WORDS]),
-                           lambda w: F.contains(F.lower(s), w))
+        has_word = F.lit(False)
+        for w, _ in THAI_NUMBER_WORDS:
+            has_word = has_word | F.contains(s, F.lit(w))
+        low = F.lower(s)
+        for w in ENGLISH_NUMBER_WORDS:
+            has_word = has_word | F.contains(low, F.lit(w))
+        thai_value = F.lit(None).cast("string")
+        for w, v in reversed(THAI_NUMBER_WORDS):
+            thai_value = F.when(F.contains(s, F.lit(w)), F.lit(str(v))).otherwise(thai_value)
         digits = F.regexp_extract(s, r"(\d+)", 1)
-        extracted = F.when(digits != "", digits).otherwise(F.coalesce(thai_hit["v"], s))
-        return F.when(thai_hit.isNotNull() | english, extracted).otherwise(s)
-    return let(s, body)
+        extracted = F.when(digits != "", digits).otherwise(F.coalesce(thai_value, s))
+        return F.when(has_word, extracted).otherwise(s)
+    return F.when(s.rlike(r"[^0-9\s.,+\-eE]"), let(s, body)).otherwise(s)
 
 
 def _parse_double(s: Column) -> Column:
@@ -76,23 +82,22 @@ def _parse_double(s: Column) -> Column:
 def integer_result(c, rng: NumberRange = NumberRange(), words: bool = True) -> Column:
     """STRUCT<value BIGINT, is_valid BOOLEAN, error STRING>.
 
-    '41.0' and '41.9' give 41 (truncation toward zero)."""
+    '41.0' and '41.9' give 41 (truncation toward zero). Plain expressions:
+    the repeated parts are shared by Spark's subexpression elimination."""
     raw = col_of(c).cast("string")
     s = thai_digits_to_ascii(py_strip(raw))
     if words:
         s = number_word_text(s)
-
-    def body(d):
-        v = F.when(F.abs(d) < F.lit(9.2e18), d).cast("long")  # truncates toward zero
-        ok_range, clamped = _range_checks(v.cast("double"), rng)
-        blank = is_blank(raw)
-        error = (F.when(blank, F.lit(None))
-                 .when(v.isNull(), F.lit("not_integer"))
-                 .when(~ok_range & F.lit(not rng.clamp), F.lit("out_of_range")))
-        value = F.when(blank | error.isNotNull(), F.lit(None).cast("long")) \
-            .otherwise(clamped.cast("long") if rng.clamp else v)
-        return F.struct(value.alias("value"), error.isNull().alias("is_valid"), error.alias("error"))
-    return let(_parse_double(s), body)
+    d = _parse_double(s)
+    v = F.when(F.abs(d) < F.lit(9.2e18), d).cast("long")  # truncates toward zero
+    ok_range, clamped = _range_checks(v.cast("double"), rng)
+    blank = is_blank(raw)
+    error = (F.when(blank, F.lit(None))
+             .when(v.isNull(), F.lit("not_integer"))
+             .when(~ok_range & F.lit(not rng.clamp), F.lit("out_of_range")))
+    value = F.when(blank | error.isNotNull(), F.lit(None).cast("long")) \
+        .otherwise(clamped.cast("long") if rng.clamp else v)
+    return F.struct(value.alias("value"), error.isNull().alias("is_valid"), error.alias("error"))
 
 
 def clean_float_text(c: Column) -> Column:
@@ -111,18 +116,15 @@ def float_result(c, rng: NumberRange = NumberRange(), places: int = 1) -> Column
     """STRUCT<value DOUBLE, is_valid BOOLEAN, error STRING>; value rounded to
     ``places`` decimals (half-even)."""
     raw = col_of(c).cast("string")
-    s = thai_digits_to_ascii(clean_float_text(raw))
-
-    def body(d):
-        ok_range, clamped = _range_checks(d, rng)
-        blank = is_blank(raw)
-        error = (F.when(blank, F.lit(None))
-                 .when(d.isNull(), F.lit("not_float"))
-                 .when(~ok_range & F.lit(not rng.clamp), F.lit("out_of_range")))
-        v = clamped if rng.clamp else d
-        value = F.when(blank | error.isNotNull(), F.lit(None).cast("double")).otherwise(round_half_even(v, places))
-        return F.struct(value.alias("value"), error.isNull().alias("is_valid"), error.alias("error"))
-    return let(_parse_double(s), body)
+    d = _parse_double(thai_digits_to_ascii(clean_float_text(raw)))
+    ok_range, clamped = _range_checks(d, rng)
+    blank = is_blank(raw)
+    error = (F.when(blank, F.lit(None))
+             .when(d.isNull(), F.lit("not_float"))
+             .when(~ok_range & F.lit(not rng.clamp), F.lit("out_of_range")))
+    v = clamped if rng.clamp else d
+    value = F.when(blank | error.isNotNull(), F.lit(None).cast("double")).otherwise(round_half_even(v, places))
+    return F.struct(value.alias("value"), error.isNull().alias("is_valid"), error.alias("error"))
 
 
 def outlier_flag(c, kind: str = "generic", rng: NumberRange = NumberRange()) -> Column:

@@ -144,4 +144,5 @@ def text_result(c, profile: TextProfile = TextProfile(), unicode_fn=None) -> Col
             ok.alias("is_valid"),
             error.alias("error"),
         )
+    # the cleaned text is bound once: it is long and used several times
     return let(clean_text(t, profile), body)

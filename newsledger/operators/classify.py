@@ -105,7 +105,10 @@ def classify(df: DataFrame, model, text_col: str = "content", template: str | No
     valid = content_is_valid(text_col)
     prompt = render_template(template, content=F.col(text_col)) if template else F.col(text_col)
     if hasattr(model, "reply_expr"):
-        labelled = df.withColumn(out, F.when(valid, label_from_reply(model.reply_expr(prompt))).otherwise(F.lit(0)))
+        # the reply is its own column so the label parser reads it once
+        replied = df.withColumn("_reply", F.when(valid, model.reply_expr(prompt)))
+        labelled = replied.withColumn(out, F.when(F.col("_reply").isNotNull(), label_from_reply(F.col("_reply")))
+                                      .otherwise(F.lit(0))).drop("_reply")
         return labelled.withColumn("outcome", F.when(~valid, F.lit(OUTCOME_EMPTY))
                                    .when(F.col(out) == 1, F.lit("relevant"))
                                    .otherwise(F.lit(OUTCOME_IRRELEVANT)))
@@ -123,8 +126,9 @@ def extract(df: DataFrame, model, fields, text_col: str = "content", template: s
     is_rel = F.coalesce(F.col(relevant) == 1, F.lit(False))
     prompt = render_template(template, content=F.col(text_col)) if template else F.col(text_col)
     if hasattr(model, "reply_expr"):
-        parsed = reply_fields(F.when(is_rel & F.col(text_col).isNotNull(), model.reply_expr(prompt)), fields)
-        out = df.withColumn("_x", parsed)
+        # the reply is its own column so the parser reads it once
+        replied = df.withColumn("_r", F.when(is_rel & F.col(text_col).isNotNull(), model.reply_expr(prompt)))
+        out = replied.withColumn("_x", reply_fields(F.col("_r"), fields)).drop("_r")
     else:
         rel = _reply(df.filter(is_rel & F.col(text_col).isNotNull()), model, prompt, "_r") \
             .withColumn("_x", reply_fields(F.col("_r"), fields)).drop("_r")

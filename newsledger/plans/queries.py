@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import (booleans, categories, dates, html, model, numbers, predicates, text,
                          times, urls)
 from ..functions.common import py_strip
+from ..operators import columns as cols
 from ..operators import incremental as inc
 from ..operators import reports
 from ..operators.categorical import with_category
@@ -265,10 +266,10 @@ def _int_text(p):
 
 def int_clamp(spark, sf):
     p = _t(spark, sf, "part")
-    r = numbers.integer_result(_int_text(p), numbers.AGE_RANGE)
-    y = numbers.integer_result(F.col("p_size") + 2000, numbers.YEAR_RANGE)
-    return p.select("p_partkey", r["value"].alias("age"), r["is_valid"].alias("age_valid"),
-                    y["value"].alias("year"), y["error"].alias("year_error"))
+    p = cols.with_integer(p, _int_text(p), "r", numbers.AGE_RANGE)
+    p = cols.with_integer(p, F.col("p_size") + 2000, "y", numbers.YEAR_RANGE)
+    return p.select("p_partkey", F.col("r.value").alias("age"), F.col("r.is_valid").alias("age_valid"),
+                    F.col("y.value").alias("year"), F.col("y.error").alias("year_error"))
 
 
 def _float_text(c):
@@ -281,16 +282,16 @@ def _float_text(c):
 def float_range(spark, sf):
     c = _t(spark, sf, "customer")
     raw = _float_text(c)
-    r = numbers.float_result(raw, numbers.ENV_TEMP_RANGE)
-    return c.select("c_custkey", r["value"].alias("value"), r["is_valid"].alias("is_valid"),
-                    r["error"].alias("error"), numbers.outlier_flag(raw, "environment").alias("is_outlier"))
+    c = cols.with_float(c.withColumn("raw", raw), F.col("raw"), "r", numbers.ENV_TEMP_RANGE)
+    return c.select("c_custkey", F.col("r.value").alias("value"), F.col("r.is_valid").alias("is_valid"),
+                    F.col("r.error").alias("error"), numbers.outlier_flag(F.col("raw"), "environment").alias("is_outlier"))
 
 
 def _date_text(e):
     y, m, d = F.year("ts"), F.month("ts"), F.dayofmonth("ts")
     s = lambda x: x.cast("string")
-    thai = F.element_at(F.array(*[F.lit(x) for x in dates.THAI_MONTHS]), m)
-    eng = F.element_at(F.array(*[F.lit(x) for x in EN_MONTHS]), m)
+    thai = F.when(m.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in dates.THAI_MONTHS]), m))
+    eng = F.when(m.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in EN_MONTHS]), m))
     et = F.col("event_type")
     return (F.when(et == "click", F.concat_ws("/", s(m), s(d), s(y + 543)))
             .when(et == "view", F.concat_ws("/", s(d), s(m), s(y)))
@@ -301,16 +302,17 @@ def _date_text(e):
 
 def date_parse(spark, sf):
     e = _t(spark, sf, "events")
-    r = dates.date_result(_date_text(e), as_of=AS_OF)
-    return e.select("event_id", r["value"].alias("value"), r["is_valid"].alias("is_valid"), r["error"].alias("error"))
+    e = cols.with_date(e, _date_text(e), "r", as_of=AS_OF)
+    return e.select("event_id", F.col("r.value").alias("value"), F.col("r.is_valid").alias("is_valid"),
+                    F.col("r.error").alias("error"))
 
 
 def date_orders(spark, sf):
     o = _t(spark, sf, "orders")
     y, m, d = F.year("o_orderdate"), F.month("o_orderdate"), F.dayofmonth("o_orderdate")
     raw = F.concat_ws(".", d.cast("string"), m.cast("string"), (y + 543).cast("string"))
-    r = dates.date_result(raw, as_of=AS_OF)
-    return o.select("o_orderkey", r["value"].alias("value"), r["error"].alias("error"))
+    o = cols.with_date(o, raw, "r", as_of=AS_OF)
+    return o.select("o_orderkey", F.col("r.value").alias("value"), F.col("r.error").alias("error"))
 
 
 def month_name(spark, sf):
