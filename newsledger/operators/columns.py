@@ -109,13 +109,17 @@ def with_date(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_ye
     named = F.when((F.size(nums) >= 2) & dates.valid_ymd(ny, nm, nd), _ymd(ny, nm, nd))
     # numeric layouts in order: the text has the layout's shape, the date
     # exists as written and after the Buddhist shift
-    slash, dash = n.contains("/"), n.contains("-")
     a, b, c = F.get(parts, 0), F.get(parts, 1), F.get(parts, 2)
-    ai, bi, ci = I(a), I(b), I(c)
+    flags = {"slash": n.contains("/"), "dash": n.contains("-"), "ai": I(a), "bi": I(b), "ci": I(c),
+             "ma": a.rlike(dates._IS_M), "mb": b.rlike(dates._IS_M), "da": a.rlike(dates._IS_D),
+             "db": b.rlike(dates._IS_D), "dc": c.rlike(dates._IS_D), "y4a": a.rlike(dates._IS_Y4),
+             "y4c": c.rlike(dates._IS_Y4), "y2c": c.rlike(dates._IS_Y2)}
+    df = df.withColumn(T("f"), F.when(parts.isNotNull(), F.struct(*[v.alias(k) for k, v in flags.items()])))
+    f = F.col(T("f"))
+    slash, dash, ma, mb, da, db, dc, y4a, y4c, y2c = (f[k] for k in ("slash", "dash", "ma", "mb", "da", "db", "dc",
+                                                                     "y4a", "y4c", "y2c"))
+    ai, bi, ci = f["ai"], f["bi"], f["ci"]
     y2 = F.when(ci <= 68, ci + 2000).otherwise(ci + 1900)
-    ma, mb = a.rlike(dates._IS_M), b.rlike(dates._IS_M)
-    da, db, dc = a.rlike(dates._IS_D), b.rlike(dates._IS_D), c.rlike(dates._IS_D)
-    y4a, y4c, y2c = a.rlike(dates._IS_Y4), c.rlike(dates._IS_Y4), c.rlike(dates._IS_Y2)
     layouts = [
         (slash & ma & db & y4c, ai, bi, ci), (slash & da & mb & y4c, bi, ai, ci), (slash & y4a & mb & dc, bi, ci, ai),
         (dash & ma & db & y4c, ai, bi, ci), (dash & da & mb & y4c, bi, ai, ci), (dash & y4a & mb & dc, bi, ci, ai),
@@ -131,7 +135,7 @@ def with_date(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_ye
     three = F.coalesce(*[F.when(dates.valid_ymd(yy(y), m, d), _ymd(yy(y), m, d))
                          for m, d, y in ((x0, x1, x2), (x1, x0, x2), (x2, x1, x0))])
     df = (df.withColumn(T("named"), named)
-          .withColumn(T("layout"), F.when(parts.isNotNull(), layout))
+          .withColumn(T("layout"), F.when(f.isNotNull(), layout))
           .withColumn(T("three"), F.when(F.size(n3) == 3, three)))
     df = df.withColumn(T("d"), dates.ymd_date(F.coalesce(F.col(T("named")), F.col(T("layout")), F.col(T("three")))))
     d = F.col(T("d"))
@@ -141,5 +145,5 @@ def with_date(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_ye
              .when(~F.year(d).between(min_year, max_year), F.lit("out_of_range"))
              .when(F.lit(not allow_future) & (d > today), F.lit("future")))
     df = df.withColumn(out, _result(F.when(error.isNull() & ~blank, d), error))
-    return df.drop(*[T(k) for k in ("raw", "s", "idx", "term", "month", "n", "nums", "parts", "n3", "named", "layout",
+    return df.drop(*[T(k) for k in ("raw", "s", "idx", "f", "term", "month", "n", "nums", "parts", "n3", "named", "layout",
                                       "three", "d")])

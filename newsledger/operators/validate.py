@@ -120,13 +120,28 @@ def result_expr(spec: ColumnSpec, c, as_of=None, normalize_unicode: bool = True)
 
 
 def validate(df: DataFrame, specs, keep=(), as_of=None, normalize_unicode: bool = True) -> DataFrame:
-    """One projection: ``keep`` columns, each spec column's clean value, and an
-    ``_errors`` array of (column, raw, error) for the failing cells."""
+    """``keep`` columns, each spec column's clean value, and an ``_cells``
+    array of (column, raw, error, is_valid, is_null) per spec column.
+    Numbers and dates are parsed in stages (operators.columns); the other
+    types are single expressions; the output is one final projection."""
+    from . import columns as staged_ops
     specs = [s for s in specs if s.name in df.columns]
-    results = {s.name: result_expr(s, F.col(f"`{s.name}`"), as_of, normalize_unicode) for s in specs}
     staged = df.select(*[F.col(f"`{k}`") for k in keep],
-                       *[F.col(f"`{s.name}`").cast("string").alias(f"_raw{i}") for i, s in enumerate(specs)],
-                       *[results[s.name].alias(f"_res{i}") for i, s in enumerate(specs)])
+                       *[F.col(f"`{s.name}`").cast("string").alias(f"_raw{i}") for i, s in enumerate(specs)])
+    for i, s in enumerate(specs):
+        raw = F.col(f"_raw{i}")
+        rng = s.value_range
+        if s.data_type == INTEGER:
+            staged = staged_ops.with_integer(staged, raw, f"_res{i}",
+                                             numbers.NumberRange(*(rng or (None, None)), clamp=s.clamp))
+        elif s.data_type == FLOAT:
+            staged = staged_ops.with_float(staged, raw, f"_res{i}",
+                                           numbers.NumberRange(*(rng or (None, None)), clamp=s.clamp))
+        elif s.data_type == DATE:
+            lo, hi = rng or (2020, 2030)
+            staged = staged_ops.with_date(staged, raw, f"_res{i}", lo, hi, as_of=as_of)
+        else:
+            staged = staged.withColumn(f"_res{i}", result_expr(s, raw, as_of, normalize_unicode))
     errors = F.array(*[F.struct(F.lit(s.name).alias("column"), F.col(f"_raw{i}").alias("raw"),
                                 F.col(f"_res{i}.error").alias("error"),
                                 F.col(f"_res{i}.is_valid").alias("is_valid"),
@@ -135,12 +150,14 @@ def validate(df: DataFrame, specs, keep=(), as_of=None, normalize_unicode: bool
     return staged.select(
         *[F.col(f"`{k}`") for k in keep],
         *[F.col(f"_res{i}.value").cast(SPARK_TYPES[s.data_type]).alias(s.name) for i, s in enumerate(specs)],
-        errors.alias("_cells"),
+        errors.alias("_cells", metadata={"n_cells": len(specs)}),
     )
 
 
 def error_report(validated: DataFrame, keep=()) -> DataFrame:
-    """Long form: one row per failing cell (kept columns, column, raw, error)."""
+    """Long form: one row per failing cell (kept columns, column, raw, error).
+    Best read from the written validated table (as the run does), so the
+    cleaning expressions are not re-planned under the explode."""
     cells = validated.select(*[F.col(f"`{k}`") for k in keep], F.explode("_cells").alias("c"))
     return cells.filter(~F.col("c.is_valid")).select(
         *[F.col(f"`{k}`") for k in keep], F.col("c.column").alias("column"),
@@ -148,13 +165,29 @@ def error_report(validated: DataFrame, keep=()) -> DataFrame:
 
 
 def column_report(validated: DataFrame) -> DataFrame:
-    """Per column: valid, invalid and null counts (partial aggregation first)."""
-    cells = validated.select(F.explode("_cells").alias("c"))
-    return cells.groupBy(F.col("c.column").alias("column")).agg(
-        F.sum(F.when(F.col("c.is_valid") & ~F.col("c.is_null"), 1).otherwise(0)).cast("long").alias("n_valid"),
-        F.sum(F.when(~F.col("c.is_valid"), 1).otherwise(0)).cast("long").alias("n_invalid"),
-        F.sum(F.when(F.col("c.is_valid") & F.col("c.is_null"), 1).otherwise(0)).cast("long").alias("n_null"),
-    )
+    """Per column: valid, invalid and null counts. One aggregate over the
+    table (partial aggregation on every partition), then the single result
+    row is unpivoted - the data itself is never exploded."""
+    cells = F.col("_cells")
+    k = _cell_count(validated)
+    aggs = []
+    for i in range(k):
+        c = cells[i]
+        aggs += [F.first(c["column"], ignorenulls=True).alias(f"c{i}"),
+                 F.sum(F.when(c["is_valid"] & ~c["is_null"], 1).otherwise(0)).cast("long").alias(f"v{i}"),
+                 F.sum(F.when(~c["is_valid"], 1).otherwise(0)).cast("long").alias(f"i{i}"),
+                 F.sum(F.when(c["is_valid"] & c["is_null"], 1).otherwise(0)).cast("long").alias(f"n{i}")]
+    one = validated.agg(*aggs)
+    rows = F.array(*[F.struct(F.col(f"c{i}").alias("column"), F.col(f"v{i}").alias("n_valid"),
+                              F.col(f"i{i}").alias("n_invalid"), F.col(f"n{i}").alias("n_null"))
+                     for i in range(k)])
+    return one.select(F.inline(rows)).filter(F.col("column").isNotNull())
+
+
+def _cell_count(validated: DataFrame) -> int:
+    """Number of validated columns (from the schema, no data read)."""
+    meta = validated.schema["_cells"].metadata
+    return int(meta.get("n_cells", 0))
 
 
 def conform(df: DataFrame, specs=HEAT_SPECS) -> DataFrame:
