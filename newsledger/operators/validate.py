@@ -154,10 +154,18 @@ def validate(df: DataFrame, specs, keep=(), as_of=None, normalize_unicode: bool
     )
 
 
-def error_report(validated: DataFrame, keep=()) -> DataFrame:
+def error_report(validated: DataFrame, keep=(), materialize: bool = True) -> DataFrame:
     """Long form: one row per failing cell (kept columns, column, raw, error).
-    Best read from the written validated table (as the run does), so the
-    cleaning expressions are not re-planned under the explode."""
+
+    The validated rows are materialised first (a reliable checkpoint in the
+    shared checkpoint folder, or pass a DataFrame read from the written
+    table with ``materialize=False``): exploding the cells directly over the
+    cleaning projection makes the optimizer re-plan every cleaning
+    expression under the generator."""
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(validated.sparkSession)
+        validated = validated.select(*[F.col(f"`{k}`") for k in keep], "_cells").checkpoint(eager=True)
     cells = validated.select(*[F.col(f"`{k}`") for k in keep], F.explode("_cells").alias("c"))
     return cells.filter(~F.col("c.is_valid")).select(
         *[F.col(f"`{k}`") for k in keep], F.col("c.column").alias("column"),
