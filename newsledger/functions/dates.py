@@ -69,6 +69,14 @@ def valid_ymd(y: Column, m: Column, d: Column) -> Column:
     return F.coalesce(y.between(1, 9999) & m.between(1, 12) & d.between(1, 31) & (d <= dim), F.lit(False))
 
 
+def valid_shifted(y: Column, m: Column, d: Column, cutoff: int = BUDDHIST_CUTOFF) -> Column:
+    """valid_ymd as written AND after the Buddhist shift, in one test: the
+    two differ only for 29 February, which then needs a leap year in both."""
+    ys = _shift(y, cutoff)
+    leap_y = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    return valid_ymd(ys, m, d) & y.between(1, 9999) & (~((m == 2) & (d == 29)) | leap_y)
+
+
 def ymd_date(t: Column) -> Column:
     """DATE from a validated STRUCT<y, m, d> (null struct -> null)."""
     return F.when(t.isNotNull(), F.make_date(t["y"].cast("int"), t["m"].cast("int"), t["d"].cast("int")))

@@ -110,10 +110,14 @@ def with_date(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_ye
     # numeric layouts in order: the text has the layout's shape, the date
     # exists as written and after the Buddhist shift
     a, b, c = F.get(parts, 0), F.get(parts, 1), F.get(parts, 2)
-    flags = {"slash": n.contains("/"), "dash": n.contains("-"), "ai": I(a), "bi": I(b), "ci": I(c),
-             "ma": a.rlike(dates._IS_M), "mb": b.rlike(dates._IS_M), "da": a.rlike(dates._IS_D),
-             "db": b.rlike(dates._IS_D), "dc": c.rlike(dates._IS_D), "y4a": a.rlike(dates._IS_Y4),
-             "y4c": c.rlike(dates._IS_Y4), "y2c": c.rlike(dates._IS_Y2)}
+    # the text already has the digits-separator-digits shape, so each layout
+    # field test is a length and range check (no regex per field)
+    la, lb, lc = F.length(a), F.length(b), F.length(c)
+    ai_, bi_, ci_ = I(a), I(b), I(c)
+    flags = {"slash": n.contains("/"), "dash": n.contains("-"), "ai": ai_, "bi": bi_, "ci": ci_,
+             "ma": (la <= 2) & ai_.between(1, 12), "mb": (lb <= 2) & bi_.between(1, 12),
+             "da": (la <= 2) & ai_.between(1, 31), "db": (lb <= 2) & bi_.between(1, 31),
+             "dc": (lc <= 2) & ci_.between(1, 31), "y4a": la == 4, "y4c": lc == 4, "y2c": lc == 2}
     df = df.withColumn(T("f"), F.when(parts.isNotNull(), F.struct(*[v.alias(k) for k, v in flags.items()])))
     f = F.col(T("f"))
     slash, dash, ma, mb, da, db, dc, y4a, y4c, y2c = (f[k] for k in ("slash", "dash", "ma", "mb", "da", "db", "dc",
@@ -125,8 +129,8 @@ def with_date(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_ye
         (dash & ma & db & y4c, ai, bi, ci), (dash & da & mb & y4c, bi, ai, ci), (dash & y4a & mb & dc, bi, ci, ai),
         (slash & ma & db & y2c, ai, bi, y2), (slash & da & mb & y2c, bi, ai, y2),
     ]
-    layout = F.coalesce(*[F.when(cond & dates.valid_ymd(y, m, d) & dates.valid_ymd(dates._shift(y, cutoff), m, d),
-                                 _ymd(dates._shift(y, cutoff), m, d)) for cond, m, d, y in layouts])
+    layout = F.coalesce(*[F.when(cond & dates.valid_shifted(y, m, d, cutoff), _ymd(dates._shift(y, cutoff), m, d))
+                          for cond, m, d, y in layouts])
     x0, x1, x2 = I(F.get(n3, 0)), I(F.get(n3, 1)), I(F.get(n3, 2))
 
     def yy(y):
