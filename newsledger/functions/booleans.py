@@ -128,9 +128,8 @@ def boolean_result(c, true_values=TRUE_VALUES, false_values=FALSE_VALUES,
                 .otherwise(F.lit("unmapped")))
 
         def out(rule):
-            value = (F.when(rule.startswith("true"), F.lit(1))
-                     .when(rule.startswith("false"), F.lit(0))
-                     .otherwise(F.lit(None).cast("int")))
+            t, f = (F.lit(1), F.lit(0)) if numeric_output else (F.lit("True"), F.lit("False"))
+            value = F.when(rule.startswith("true"), t).when(rule.startswith("false"), f)
             error = F.when(rule == "unmapped", F.lit("not_boolean"))
             return F.struct(value.alias("value"), error.isNull().alias("is_valid"), error.alias("error"),
                             rule.alias("rule"))

@@ -94,6 +94,10 @@ class Vocabulary:
     cutoff: float = FUZZY_CUTOFF
     extra_terms: tuple = field(default_factory=tuple)
 
+    @property
+    def sorted_terms(self) -> list:
+        return sorted(self.all_terms)
+
     @property
     def all_terms(self) -> tuple:
         seen, out = set(), []

@@ -30,6 +30,8 @@ REPLY_SCHEMA = T.StructType([
     T.StructField("reply", T.StringType()),
     T.StructField("error", T.StringType()),
     T.StructField("attempts", T.IntegerType()),
+    T.StructField("success", T.BooleanType()),
+    T.StructField("response_ms", T.LongType()),
 ])
 
 
@@ -83,11 +85,14 @@ def model_udf(fn, max_retries: int = 3, delay: float = 1.0):
     @F.pandas_udf(REPLY_SCHEMA)
     def call(prompts: pd.Series) -> pd.DataFrame:
         import time as _time
+        t0 = _time.monotonic()
         replies, err, attempts = caller(fn, prompts.tolist(), max_retries, delay, _time.sleep)
+        ms = int((_time.monotonic() - t0) * 1000)
         if replies is None:
             replies = [None] * len(prompts)
-        return pd.DataFrame({"reply": replies, "error": [err] * len(prompts),
-                             "attempts": [attempts] * len(prompts)})
+        n = len(prompts)
+        return pd.DataFrame({"reply": replies, "error": [err] * n, "attempts": [attempts] * n,
+                             "success": [err is None] * n, "response_ms": [ms] * n})
     return call
 
 

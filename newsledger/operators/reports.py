@@ -74,3 +74,43 @@ def integrity_report(df: DataFrame, key: str = "url", label: str = "is_news",
     return (rep.withColumn("missing_columns", F.lit(len(missing)).cast("long"))
             .withColumn("passed", (F.col("invalid_labels") == 0) & (F.col("empty_keys") == 0)
                         & (F.col("missing_columns") == 0)))
+
+
+def content_summary(df: DataFrame, content: str = "content", label: str = "is_news",
+                    confidence: str | None = "confidence", method: str | None = "method_used",
+                    error: str | None = "error_details", low: float = 0.6) -> DataFrame:
+    """Article-table summary: total, empty, valid, classified, low confidence,
+    fallback used / succeeded, errors (absent optional columns count 0)."""
+    from ..functions.predicates import content_is_valid, is_labelled
+    has = lambda c: c is not None and c in df.columns
+    conf = F.col(confidence) if has(confidence) else F.lit(None).cast("double")
+    meth = F.col(method) if has(method) else F.lit(None).cast("string")
+    err = F.col(error) if has(error) else F.lit(None).cast("string")
+    return df.agg(
+        F.count(F.lit(1)).alias("total"),
+        count_if(~content_is_valid(content)).alias("empty_content"),
+        count_if(content_is_valid(content)).alias("valid_content"),
+        count_if(is_labelled(label)).alias("classified"),
+        count_if(conf < low).alias("low_confidence"),
+        count_if(meth == "fallback").alias("fallback_used"),
+        count_if((meth == "fallback") & is_labelled(label)).alias("fallback_success"),
+        count_if(err.isNotNull()).alias("errors"),
+    )
+
+
+def update_summary(before: DataFrame, after: DataFrame, key: str = "url", label: str = "is_news",
+                   batch_size: int = 50) -> DataFrame:
+    """Label-update summary: rows processed (unlabelled before), updated
+    (label set now), skipped (already labelled), batches of ``batch_size``."""
+    from ..functions.predicates import is_labelled
+    j = before.select(key, F.col(label).alias("_b")).join(after.select(key, F.col(label).alias("_a")), key, "inner")
+    out = j.agg(count_if(~is_labelled("_b")).alias("processed"),
+                count_if(~is_labelled("_b") & is_labelled("_a")).alias("updated"),
+                count_if(is_labelled("_b")).alias("skipped"),
+                count_if(~is_labelled("_b") & ~is_labelled("_a")).alias("errors"))
+    return out.withColumn("batches", F.ceil(F.col("processed") / F.lit(batch_size)).cast("long"))
+
+
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` rows (a display helper; the limit is the feature)."""
+    return df.limit(n)

@@ -50,8 +50,11 @@ def read_latest(spark: SparkSession, root: str, name: str, schema=None) -> DataF
 
 
 def write_version(df: DataFrame, root: str, name: str, partition_by=(), verify: bool = True,
-                  expected_rows: int | None = None) -> str:
-    """Write ``df`` as the next version and publish it after a row-count check."""
+                  expected_rows: int | None = None, order_by=()) -> str:
+    """Write ``df`` as the next version and publish it after a row-count check.
+    ``order_by`` sorts the output (a range-partitioned sort, e.g. by url)."""
+    if order_by:
+        df = df.orderBy(*order_by)
     spark = df.sparkSession
     versions = published_versions(spark, root, name)
     fs, p, jvm = _fs(spark, os.path.join(root, name))

@@ -125,3 +125,31 @@ def test_train_and_two_stage(spark):
     out = two_stage_classify(docs.select("doc_id", F.col("text").alias("content")), model, RuleScorer("thtion"))
     assert out.count() == docs.count()
     assert set(r["method_used"] for r in out.select("method_used").distinct().collect()) <= {"local", "fallback"}
+
+
+def test_collect_links_and_prompt_parts(spark):
+    mails = spark.createDataFrame([
+        (0, '<a href="https://www.google.com/url?url=https%3A%2F%2Fa.x%2F1%3Futm_source%3Dm&ct=ga">a</a>'
+            '<a href="https://www.google.com/alerts/remove">r</a><a href="/rel">x</a>'),
+        (1, '<a href="https://b.x/2">b</a><a href="https://a.x/1">dup</a>')], "msg_pos int, html string")
+    existing = spark.createDataFrame([("https://old.x/0", 0), ("https://b.x/2", 1)], "url string, pos int")
+    from newsledger.plans.run import collect_links
+    got = [(r["url"], r["is_new"], r["pos"]) for r in collect_links(mails, existing).orderBy("pos").collect()]
+    assert got == [("https://a.x/1", True, 0), ("https://old.x/0", False, 1), ("https://b.x/2", False, 2)]
+    from newsledger.functions import model
+    cols_ = [{"name": "incident_date", "data_type": "date", "extraction_hint": "incident_date: date"},
+             {"name": "n", "data_type": "integer"}]
+    assert model.fields_description(cols_) == "- incident_date: date"
+    assert json.loads(model.example_json(cols_)) == {"incident_date": "15/03/2024", "n": 45}
+
+
+def test_summaries(spark):
+    from newsledger.operators import reports
+    before = spark.createDataFrame([("u1", None), ("u2", 1), ("u3", None)], "url string, is_news int")
+    after = spark.createDataFrame([("u1", 0), ("u2", 1), ("u3", None)], "url string, is_news int")
+    r = reports.update_summary(before, after, batch_size=1).collect()[0]
+    assert (r["processed"], r["updated"], r["skipped"], r["errors"], r["batches"]) == (2, 1, 1, 1, 2)
+    arts = spark.createDataFrame([("u1", "long enough text", 1, 0.5, "fallback", None), ("u2", "", None, None, None, "x")],
+                                 "url string, content string, is_news int, confidence double, method_used string, error_details string")
+    c = reports.content_summary(arts).collect()[0]
+    assert (c["total"], c["empty_content"], c["classified"], c["low_confidence"], c["fallback_success"], c["errors"]) == (2, 1, 1, 1, 1, 1)
