@@ -81,9 +81,10 @@ def run_incremental(spark: SparkSession, input_df: DataFrame, out_root: str, cla
     fs, p, _ = sinks._fs(spark, base_path)
     base = spark.read.option("mergeSchema", True).parquet(base_path) if fs.exists(p) else None
     processed = process(input_df, base, classifier, extractor, s)
-    if processed.isEmpty():
+    # the processed rows are written once; nothing new -> nothing published
+    filled_path = sinks.write_version(processed, out_root, "filled", publish_empty=False)
+    if filled_path is None:
         return None
-    filled_path = sinks.write_version(processed, out_root, "filled")
     filled = spark.read.parquet(filled_path)
     sinks.write_version(filled.filter(F.col("is_relevant") == 1), out_root, "heat")
     sinks.append_rows(filled, base_path)

@@ -50,9 +50,11 @@ def read_latest(spark: SparkSession, root: str, name: str, schema=None) -> DataF
 
 
 def write_version(df: DataFrame, root: str, name: str, partition_by=(), verify: bool = True,
-                  expected_rows: int | None = None, order_by=()) -> str:
+                  expected_rows: int | None = None, order_by=(), publish_empty: bool = True) -> str | None:
     """Write ``df`` as the next version and publish it after a row-count check.
-    ``order_by`` sorts the output (a range-partitioned sort, e.g. by url)."""
+    ``order_by`` sorts the output (a range-partitioned sort, e.g. by url).
+    With ``publish_empty=False`` an empty result is left unpublished and None
+    is returned (the plan runs once; no separate emptiness probe)."""
     if order_by:
         df = df.orderBy(*order_by)
     spark = df.sparkSession
@@ -66,10 +68,12 @@ def write_version(df: DataFrame, root: str, name: str, partition_by=(), verify:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    if verify:
+    if verify or not publish_empty:
         written = spark.read.parquet(path).count()
         if expected_rows is not None and written != expected_rows:
             raise IOError(f"{name}: wrote {written} rows, expected {expected_rows}")
+        if written == 0 and not publish_empty:
+            return None
     out = fs.create(jvm.org.apache.hadoop.fs.Path(path, MARKER), True)
     out.write(bytearray(json.dumps({"version": n}).encode()))
     out.close()
