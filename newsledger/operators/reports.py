@@ -36,13 +36,22 @@ def run_summary(processed: DataFrame, total_input: DataFrame | None = None,
         count_if(o == OUTCOME_FAILED).alias("extraction_failed"),
     )
     if total_input is not None:
-        # both sides are single-row aggregates: joined on a constant key
-        tot = total_input.agg(F.count(F.lit(1)).alias("total_input")).withColumn("_one", F.lit(1))
-        summary = summary.withColumn("_one", F.lit(1)).join(tot, on="_one").drop("_one")
+        tot = total_input.agg(F.count(F.lit(1)).alias("total_input"))
+        summary = combine_rows(summary, tot)
         summary = summary.withColumn("already_processed", F.col("total_input") - F.col("new_records"))
     return summary
 
 
+def combine_rows(*one_row_frames: DataFrame) -> DataFrame:
+    """Put single-row aggregates with different columns side by side without
+    a join: union them by name (missing columns null) and take each
+    column's max over the few rows."""
+    out = one_row_frames[0]
+    for d in one_row_frames[1:]:
+        out = out.unionByName(d, allowMissingColumns=True)
+    return out.agg(*[F.max(F.col(c)).alias(c) for c in out.columns])
+
+
 def fetch_summary(df: DataFrame, status: str = "scrape_status", had_content: str = "had_content") -> DataFrame:
     s = F.col(status)
     return df.agg(

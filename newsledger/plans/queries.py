@@ -500,8 +500,7 @@ def consistency(spark, sf):
     a = filled.join(p, ["page_id", "url"], "left_anti").agg(F.count(F.lit(1)).alias("filled_not_in_input"))
     b = heat.join(processed.select("doc_id"), "doc_id", "left_anti").agg(F.count(F.lit(1)).alias("heat_not_in_filled"))
     c = processed.select("doc_id").join(docs, "doc_id", "left_anti").agg(F.count(F.lit(1)).alias("filled_not_in_docs"))
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").join(
-        c.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return reports.combine_rows(a, b, c)
 
 
 def article_refetch(spark, sf):
