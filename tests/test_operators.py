@@ -101,3 +101,15 @@ def test_run_summary_counts(spark):
                                "outcome string")
     r = reports.run_summary(df).collect()[0]
     assert (r["classified_relevant"], r["classified_irrelevant"], r["empty_content"]) == (2, 1, 1)
+
+
+def test_hot_key_picks_and_anti_join(spark):
+    # one key holds a third of all rows: results stay whole and exact
+    n = 3000
+    df = spark.range(0, n).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("url"),
+                                  F.col("id").alias("pos"), (F.col("id") * 2).alias("v"))
+    last = {r["url"]: r["pos"] for r in inc.last_per_key(df, "url", ["pos"]).collect()}
+    assert last["hot"] == 2997 and len(last) == 1 + 2 * n // 3
+    base = spark.createDataFrame([("hot",)], "url string")
+    assert inc.new_rows(df, base).count() == 2 * n // 3
+    assert inc.new_rows(df, spark.createDataFrame([("1",)], "url string")).count() == n - 1
