@@ -64,11 +64,9 @@ def _month_hit(s: Column) -> Column:
     """1-based index into MONTH_TERMS of the first month name contained in
     ``s`` (Thai full names exact-case first, then the variations in any case)."""
     low = F.lower(s)
-    idx = None
-    for i, (t, lt, _m, ci) in enumerate(MONTH_TERMS, start=1):   # one flat CASE
-        hit = F.contains(low, F.lit(lt)) if ci else F.contains(s, F.lit(t))
-        idx = F.when(hit, F.lit(i)) if idx is None else idx.when(hit, F.lit(i))
-    return idx
+    hits = [F.contains(low, F.lit(lt)) if ci else F.contains(s, F.lit(t)) for t, lt, _m, ci in MONTH_TERMS]
+    pos = F.array_position(F.array(*hits), F.lit(True))   # first listed hit, 0 when none
+    return F.when(pos > 0, pos.cast("int"))
 
 
 MONTH_TERMS = ([(n, n, i + 1, False) for i, n in enumerate(dates.THAI_MONTHS)]
