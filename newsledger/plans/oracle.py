@@ -485,6 +485,10 @@ def _sql() -> dict:
         ident = '"' + sp.name.replace('"', '""') + '"'
         val = given.get(sp.name, q(sp.default) if sp.default is not None else "NULL")
         cols.append(f"CAST({val} AS {duck[SPARK_TYPES[sp.data_type]]}) AS {ident}")
+    S["upsert_links"] = ("WITH u AS (SELECT url AS link, page_id AS pos, 0 AS src, CAST(NULL AS VARCHAR) AS meta FROM pages "
+                         "WHERE contains(url, '/en/') UNION ALL SELECT url, page_id, 1, CAST(page_id AS VARCHAR) FROM pages), "
+                         "m AS (SELECT link, min({'src': src, 'pos': pos, 'meta': meta}) AS b FROM u GROUP BY link) "
+                         "SELECT link, b.src AS src, b.pos AS pos, b.meta AS meta FROM m")
     S["heat_conform"] = (f"SELECT {', '.join(cols)} FROM {pd_} p JOIN documents d USING (doc_id) WHERE p.is_relevant = 1")
     return S
 

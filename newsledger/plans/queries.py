@@ -523,6 +523,15 @@ def heat_conform(spark, sf):
     return conform(staged, HEAT_SPECS)
 
 
+def upsert_links(spark, sf):
+    """Newest-first upsert of collected links into the link table."""
+    p = _t(spark, sf, "pages")
+    new = p.filter(F.col("url").contains("/en/")).select(F.col("url").alias("link"), F.col("page_id").alias("pos"))
+    old = p.select(F.col("url").alias("link"), F.col("page_id").alias("pos"),
+                   F.col("page_id").cast("string").alias("meta"))
+    return inc.upsert_newest_first(new, old, "link", "pos").select("link", "src", "pos", "meta")
+
+
 QUERIES = {
     "content_validity": content_validity,
     "content_split": content_split,
@@ -569,4 +578,5 @@ QUERIES = {
     "consistency": consistency,
     "article_refetch": article_refetch,
     "heat_conform": heat_conform,
+    "upsert_links": upsert_links,
 }
