@@ -80,6 +80,18 @@ def test_available_now_stream(spark):
     q.awaitTermination(120)
     base = spark.read.parquet(os.path.join(root, "base"))
     assert base.count() == 4
+    # a restart with the same checkpoint reads only the new file; its URLs
+    # that already reached a final outcome are skipped by the anti-join
+    more = spark.createDataFrame([("u1", "text number 1 about heat wave", None),
+                                  ("u9", "text number 9 about heat wave", None)],
+                                 "url string, content string, scrape_status string")
+    more.write.parquet(os.path.join(inbox, "f2"))
+    q = available_now.start(spark, inbox + "/*", df.schema, root, RuleScorer("heat"),
+                            RuleExtractor((("n", r"number (\d+)"),)), s,
+                            checkpoint=os.path.join(root, "ckpt"))
+    q.awaitTermination(120)
+    base = spark.read.option("mergeSchema", True).parquet(os.path.join(root, "base"))
+    assert sorted(r["url"] for r in base.filter(F.col("batch_id") > 0).collect()) == ["u9"]
 
 
 def test_csv_contract(spark, tmp_path):
