@@ -149,3 +149,15 @@ def with_date(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_ye
     df = df.withColumn(out, _result(F.when(error.isNull() & ~blank, d), error))
     return df.drop(*[T(k) for k in ("raw", "s", "idx", "f", "term", "month", "n", "nums", "parts", "n3", "named", "layout",
                                       "three", "d")])
+
+
+def with_nfkc(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Add ``out`` = Unicode NFKC of ``column``. Only rows with a non-ASCII
+    character go through the Python helper (ASCII text is already in NFKC);
+    the two halves are unioned back."""
+    from ..functions.text import nfkc
+    c = F.col(column)
+    non_ascii = F.coalesce(c.rlike(r"[^\x00-\x7F]"), F.lit(False))
+    plain = df.filter(~non_ascii).withColumn(out, c)
+    other = df.filter(non_ascii).withColumn(out, nfkc(c))
+    return plain.unionByName(other)

@@ -247,9 +247,8 @@ def text_truncate(spark, sf):
 
 
 def nfkc(spark, sf):
-    d = _t(spark, sf, "documents")
-    n = text.nfkc(F.col("text"))
-    return d.select("doc_id", F.md5(n).alias("nfkc_md5"), (n != F.col("text")).alias("changed"))
+    d = cols.with_nfkc(_t(spark, sf, "documents").select("doc_id", "text"), "text", "n")
+    return d.select("doc_id", F.md5("n").alias("nfkc_md5"), (F.col("n") != F.col("text")).alias("changed"))
 
 
 # ---------------------------------------------------------------- numbers / dates / times

@@ -39,3 +39,37 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "outcome" in df.columns
+
+
+def test_nfkc_query_matches_brute_force(spark, duck):
+    import hashlib
+    import unicodedata
+    got = {r["doc_id"]: r["nfkc_md5"] for r in E.queries()["nfkc"](spark, SF_SMALL).collect()}
+    exp = {}
+    for i, t in duck.execute("SELECT doc_id, text FROM documents").fetchall():
+        exp[i] = None if t is None else hashlib.md5(unicodedata.normalize("NFKC", t).encode()).hexdigest()
+    assert got == exp
+
+
+def test_fuzzy_query_matches_brute_force(spark, duck):
+    import difflib
+    from newsledger.plans.queries import PART_TYPES
+    got = {r["p_partkey"]: r["value"] for r in E.queries()["category_fuzzy"](spark, SF_SMALL).collect()}
+    terms = list(PART_TYPES.all_terms)
+    exp = {}
+    for k, t, size in duck.execute("SELECT p_partkey, p_type, p_size FROM part").fetchall():
+        raw = (t[:2] + t[3:]) if size % 2 == 0 else t.lower()
+        # cascade: exact (any case), then fuzzy, then partial containment
+        v = next((x for x in terms if x.lower() == raw.lower()), None)
+        if v is None:
+            m = difflib.get_close_matches(raw, terms, n=1, cutoff=0.6) or \
+                [terms[[x.lower() for x in terms].index(g)] for g in
+                 difflib.get_close_matches(raw.lower(), [x.lower() for x in terms], n=1, cutoff=0.6)]
+            v = m[0] if m else None
+        if v is None and len(raw) >= 3:
+            scored = [(-(len(raw) / len(x) if raw.lower() in x.lower() else len(x) / len(raw)), x) for x in terms
+                      if raw.lower() in x.lower() or x.lower() in raw.lower()]
+            scored = [s for s in scored if s[0] < -0.3]
+            v = min(scored)[1] if scored else None
+        exp[k] = v or PART_TYPES.default
+    assert got == exp
