@@ -31,8 +31,12 @@ def spread(df: DataFrame, path: str | None = None) -> DataFrame:
     tables made of many files already have enough partitions and are left
     untouched, so this adds no shuffle at scale."""
     spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()      # plans the scan, reads no data
+    except Exception:                          # e.g. a Spark Connect session: leave the input as read
+        return df
+    if parts >= slots:
         return df
     if path is not None and _input_bytes(spark, path) < SPREAD_MIN_BYTES:
         return df
