@@ -44,3 +44,16 @@ def small_side(df: DataFrame, rows: int, most: int) -> DataFrame:
     """Broadcast ``df`` only if its counted ``rows`` are at most ``most``;
     beyond it the planner's shuffled join is used."""
     return F.broadcast(df) if rows <= most else df
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"{name}_"
+    return name
+
+
+def hashed_id(c: str) -> Column:
+    """crc32 of the id's decimal text (null: of the empty text)."""
+    return F.crc32(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary"))

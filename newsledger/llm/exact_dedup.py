@@ -116,7 +116,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
 def kept(rows: DataFrame) -> DataFrame:
     """The row that stays of each class. Classes of one row need no join."""
     order = F.struct((-F.col("length")).alias("l"), F.col("id").isNull().alias("z"), F.col("id").alias("id"), F.col("row").alias("row"))
-    best = rows.groupBy("class").agg(F.min(order).alias("best"), F.count("*").alias("group_size")).where("group_size > 1")
+    # stored, so that the join below reads two plain exchanges and a hot class can be split
+    best = stored(rows.groupBy("class").agg(F.min(order).alias("best"), F.count("*").alias("group_size")).where("group_size > 1"), "best")
     out = rows.join(best, "class", "left")
     single = F.col("best").isNull()
     return out.select(

@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
-from .common import read
+from . import bpe, exact_dedup, quality, simhash_dedup
+from .common import hashed_id, read
+
+
+TOKENIZER = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+QUALITY_FOLDS, QUALITY_LEAST = 5, 0.3
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read(spark, sf_dir, "documents"), *TOKENIZER)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_exact_dedup,)}
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.groups(read(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = hashed_id("doc_id") % QUALITY_FOLDS == 0
+    model = quality.train(docs, read(spark, sf_dir, "labels"), "quality", ~held_out)
+    scored = quality.score(docs, model, carry=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         F.when(F.col("score") >= QUALITY_LEAST, 1).otherwise(0).alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op4_byte_bpe, op5_exact_dedup, op7_simhash_dedup, op10_quality_classifier)}
 
 SQL = {
     "op5_exact_dedup": r"""
