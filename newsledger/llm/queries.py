@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, quality, simhash_dedup
+from . import bpe, decontaminate, exact_dedup, quality, simhash_dedup
 from .common import hashed_id, read
 
 
@@ -14,6 +14,10 @@ TOKENIZER = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.
 QUALITY_FOLDS, QUALITY_LEAST = 5, 0.3
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), *TOKENIZER)
 
@@ -35,9 +39,28 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= QUALITY_LEAST, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op5_exact_dedup, op7_simhash_dedup, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_byte_bpe, op5_exact_dedup, op7_simhash_dedup, op10_quality_classifier)}
 
 SQL = {
+    "op3_decontaminate": r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item, w, least(13, len(w)) AS l FROM iw WHERE len(w) > 0),
+ig AS (SELECT DISTINCT item, l, array_to_string(w[i:i + l - 1], ' ') AS g
+       FROM (SELECT item, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i FROM sized)),
+dg AS (SELECT doc_id, l, p, array_to_string(w[p:p + l - 1], ' ') AS g
+       FROM (SELECT doc_id, w, l, unnest(generate_series(1, len(w) - l + 1)) AS p FROM dw, (SELECT DISTINCT l FROM sized) WHERE len(w) >= l)),
+hit AS (SELECT DISTINCT doc_id, item, l, p FROM dg JOIN ig USING (l, g)),
+covered AS (SELECT doc_id, count(DISTINCT x) AS n_hit
+            FROM (SELECT doc_id, unnest(generate_series(p, p + l - 1)) AS x FROM hit) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
     "op5_exact_dedup": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS raw,
                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents)
