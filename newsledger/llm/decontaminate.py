@@ -46,19 +46,27 @@ def gram_hashes(w: Column, size: int) -> Column:
 
 
 def window_least(column: str, span: int, gram: int) -> Column:
-    """Distinct minima over the windows of an array COLUMN. It must be a plain
-    column: an expression would be evaluated again for every window."""
+    """Minimum of each window of an array COLUMN. It must be a plain column: an
+    expression would be evaluated again for every window."""
     width = span - gram + 1
     c = F.col(column)
-    return F.array_distinct(at_each(F.size(c) - (width - 1), lambda i: F.array_min(F.slice(c, i, width))))
+    return at_each(F.size(c) - (width - 1), lambda i: F.array_min(F.slice(c, i, width)))
+
+
+def unrepeated(column: str) -> Column:
+    """An array column without elements that equal the one before: what equal
+    neighbouring windows kept (array_distinct compares all pairs of structs)."""
+    c = F.col(column)
+    return F.filter(c, lambda x, i: (i == 0) | (x != F.get(c, i - 1)))
 
 
 def places(df: DataFrame, keep: list[str], w: str, kind: int, span: int, gram: int) -> DataFrame:
     """``keep`` and one row (kind, h, back: minus place) per kept k-gram."""
     hashed = df.select(*keep, F.transform(gram_hashes(F.col(w), kind or gram), lambda x, i: F.struct(
         x.alias("h"), (-i).alias("back"))).alias("grams"))
-    kept = F.col("grams") if kind else window_least("grams", span, gram)
-    return hashed.select(*keep, F.lit(kind).alias("kind"), F.inline(kept))
+    if not kind:
+        hashed = hashed.select(*keep, window_least("grams", span, gram).alias("grams"))
+    return hashed.select(*keep, F.lit(kind).alias("kind"), F.inline(F.col("grams") if kind else unrepeated("grams")))
 
 
 def hits(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str,
@@ -82,7 +90,7 @@ def hits(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_te
     split = docs.select(*rest, *key, words(text_or_empty(text_col)).alias("w"))
     hashed = split.select(*rest, "k1", "k2", F.size("w").cast("long").alias("n_words"), gram_hashes(F.col("w"), gram).alias("g0"),
                           *[F.array_distinct(gram_hashes(F.col("w"), n)).alias(f"h{n}") for n in short])
-    kept = stored(hashed.withColumn("h0", window_least("g0", span, gram)).drop("g0"), "winnowed")
+    kept = stored(hashed.withColumn("h0", F.array_distinct(window_least("g0", span, gram))).drop("g0"), "winnowed")
     kinds = [0, *short]
     prints = None
     for n in kinds:
