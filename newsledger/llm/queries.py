@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, quality, simhash_dedup
+from . import bpe, decontaminate, exact_dedup, license_scan, link_graph, quality, simhash_dedup
 from .common import hashed_id, read
 
 
@@ -30,6 +30,19 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.groups(read(spark, sf_dir, "documents"))
 
 
+#: (verdict, host, path)
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op8_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_graph.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"), license_scan.template_table(spark))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = hashed_id("doc_id") % QUALITY_FOLDS == 0
@@ -39,9 +52,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= QUALITY_LEAST, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_byte_bpe, op5_exact_dedup, op7_simhash_dedup, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_byte_bpe, op5_exact_dedup, op7_simhash_dedup, op8_link_graph,
+                                  op9_license_scan, op10_quality_classifier)}
 
 SQL = {
+    "op8_link_graph": link_graph.judge_sql(URL_RULES),
+    "op9_license_scan": license_scan.scan_sql(),
     "op3_decontaminate": r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
