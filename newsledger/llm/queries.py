@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, license_scan, line_dedup, link_graph, quality, simhash_dedup, surrogates
+from . import bpe, context_mixing, decontaminate, exact_dedup, license_scan, line_dedup, link_graph, quality, simhash_dedup, surrogates
 from .common import hashed_id, read
 
 
@@ -14,6 +14,14 @@ TOKENIZER = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.
 QUALITY_FOLDS, QUALITY_LEAST = 5, 0.3
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    _, learn, tune = context_mixing.folds("id", 7, 2)
+    held_out = context_mixing.folds("doc_id", 7, 2)[0]
+    scored = context_mixing.score(docs, learn, tune)
+    return scored.select("doc_id", held_out.alias("held_out"), *[c for c in scored.columns if c != "doc_id"])
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.cleaned(docs).select("doc_id", "n_lines", F.size("copies").cast("long").alias("n_dropped"), "kept",
@@ -67,7 +75,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= QUALITY_LEAST, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op3_decontaminate, op4_byte_bpe, op5_exact_dedup, op6_surrogates, op7_simhash_dedup, op8_link_graph,
+QUERIES = {f.__name__: f for f in (op1_context_mixing, op2_line_dedup, op3_decontaminate, op4_byte_bpe, op5_exact_dedup, op6_surrogates, op7_simhash_dedup, op8_link_graph,
                                   op9_license_scan, op10_quality_classifier)}
 
 SQL = {
