@@ -4,18 +4,18 @@ A text is predicted byte by byte, each byte as eight bits from the top, and an
 end byte closes it. For every bit six hashed contexts (the last 1, 2, 3, 4 and
 6 bytes and the bytes of the current word so far) look up how often the bit was
 1 and 0 after them; the logits of these counts are inputs of a mixer whose
-weights are gated by the bit's place and by how many long contexts were ever
-seen. A refinement table (same gate, 33 steps of the mixed probability) maps
+weights are the sum of two gated sets: one chosen by the bit's place and how
+often the two longest contexts were seen, one by the byte's bits known so far. A refinement table (same gate, 33 steps of the mixed probability) maps
 the result to the share of ones that really followed; the mean of both is coded.
 
 Learning, all from the training documents:
 
 1. Word counts for the base score: counted per task, summed by word in Spark.
-2. Bit counts of seven in eight training documents: every task counts its
+2. Bit counts of 15 in 16 training documents: every task counts its
    windows of seven bytes, fills the hashed tables and hands them on in chunks,
    which are summed chunk by chunk while they stream in. The tables have a
    fixed size, as in any hashed model; what is summed grows with the corpus.
-3. The eighth part tunes: in each task the weights learn online from the coding
+3. The sixteenth part tunes: in each task the weights learn online from the coding
    error, the refinement table gathers what followed; Spark averages them.
 
 Windows repeat, so each distinct window is evaluated once per task and block
@@ -34,6 +34,7 @@ empty text. Only id and text are read.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,16 +47,18 @@ from pyspark.sql import functions as F
 from .common import hashed_id, stored
 
 ORDERS = (1, 2, 3, 4, 6, 0)               # 0: the current word
-LOG2 = (16, 18, 20, 21, 21, 21)           # slots of each table
+LOG2 = (16, 18, 20, 21, 22, 22)           # slots of each table
 DEPTH = 6                                 # bytes of context
 CHUNK = 2048                              # slots that travel together
 STEPS = 33
-GATES = 32                                # 8 places of the bit x 0..3 long contexts seen
-LONG = (2, 3, 4)                          # tables that count as long
+GATES = 128                               # 8 places of the bit x how often the two longest contexts were seen
+NODES = 256                               # a second gate: the bits of the byte already known
+GATING = (4, 5)                           # their tables
 FREQUENT = 2_000_000
 SLICE = 1 << 22                           # bytes looked at at once
-CACHE = 21                                # log2 of remembered windows
-BATCH, EPOCHS, RATE = 1 << 15, 2, 0.3
+CACHE = 22                                # log2 of remembered windows (12 bytes each)
+BLOCK = 1 << 15                           # windows evaluated at once
+BATCH, EPOCHS, RATE = 1 << 12, 2, 0.3
 PRIME, MIX, NODE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 STARTS = np.concatenate([[0], np.cumsum([1 << n for n in LOG2])])
 
@@ -152,25 +155,36 @@ def slots(hashes: list[np.ndarray], node: np.ndarray) -> list[np.ndarray]:
     return [(((h ^ salt) * PRIME) >> np.uint64(64 - n)).astype(np.int64) + s for h, n, s in zip(hashes, LOG2, STARTS)]
 
 
+def packed(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """What a slot holds: the logit of its counts and how often it was seen
+    (never, up to 3, up to 31 times, more)."""
+    logit = np.rint(np.log((ones + 0.4) / (zeros + 0.4)) * 512)
+    return (np.clip(logit, -4095, 4095).astype(np.int16) << 2) | np.searchsorted([1, 4, 32], zeros + ones, side="right").astype(np.int16)
+
+
 @dataclass
 class Mixer:
-    logits: np.ndarray                    # of all tables, in 1/512
-    weights: np.ndarray                   # gate x inputs
+    logits: np.ndarray                    # of all tables: in 1/512, times 4, plus 0..3 for how often seen
+    weights: np.ndarray                   # gate x inputs, and below them bits above x inputs; a bit uses the sum of two rows
     refined: np.ndarray                   # gate x steps: probability of a one
 
     @staticmethod
     def fresh(logits: np.ndarray) -> "Mixer":
         steps = 1 / (1 + np.exp(-np.linspace(-8, 8, STEPS)))
-        return Mixer(logits, np.full((GATES, len(ORDERS)), 0.3), np.tile(steps, (GATES, 1)))
+        weights = np.concatenate([np.full((GATES, len(ORDERS)), 0.3), np.zeros((NODES, len(ORDERS)))])
+        return Mixer(logits, weights, np.tile(steps, (GATES, 1)))
 
-    def inputs(self, hashes: list[np.ndarray], place: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        raw = [self.logits[s] for s in slots(hashes, node)]
-        gate = place + 8 * sum((raw[k] != 0).astype(np.int64) for k in LONG)
-        return np.stack(raw).astype(np.float32) / np.float32(512), gate
+    def inputs(self, hashes: list[np.ndarray], place: int, node: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        raw = [self.logits.take(s) for s in slots(hashes, node)]
+        gate = place + 8 * (raw[GATING[0]] & 3).astype(np.int64) + 32 * (raw[GATING[1]] & 3)
+        return [(r >> 2).astype(np.float32) for r in raw], gate
 
-    def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    def mixed(self, x: list[np.ndarray], gate: np.ndarray, node: np.ndarray) -> np.ndarray:
         """Mixed logit, within the refinement table's range."""
-        return np.clip(np.einsum("kn,nk->n", x, self.weights.astype(np.float32)[gate]), -7.999, 7.999)
+        z = np.zeros(len(gate), np.float32)
+        for logit, w in zip(x, (self.weights.T / 512).astype(np.float32)):
+            z += logit * (w[:GATES].take(gate) + w[GATES:].take(node))
+        return np.clip(z, -7.999, 7.999)
 
     @staticmethod
     def step(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,17 +194,21 @@ class Mixer:
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of each window's byte after its context."""
-        total = np.zeros(len(keys))
-        hashes = contexts(keys)
-        flat = self.refined.ravel()
+        return np.concatenate([self._log10(keys[lo:lo + BLOCK]) for lo in range(0, len(keys), BLOCK)] or [np.zeros(0)])
+
+    def _log10(self, keys: np.ndarray) -> np.ndarray:
+        all_bits = np.ones(len(keys))                      # at least 0.0001 each
+        hashes, flat = contexts(keys), self.refined.astype(np.float32).ravel()
         for place, node, bit in bits(keys):
             x, gate = self.inputs(hashes, place, node)
-            z = self.mixed(x, gate)
-            low, part = self.step(z)
-            cell = gate * STEPS + low
-            p = (1 / (1 + np.exp(-z)) + flat[cell] * (1 - part) + flat[cell + 1] * part) / 2
-            total += np.log10(np.where(bit == 1, p, 1 - p))
-        return total
+            z = self.mixed(x, gate, node.astype(np.int64))
+            at = (z + np.float32(8)) * np.float32((STEPS - 1) / 16)
+            low = at.astype(np.int32)
+            part, cell = at - low, gate * STEPS + low
+            left = flat.take(cell)
+            p = (1 / (1 + np.exp(-z)) + left + (flat.take(cell + 1) - left) * part) * np.float32(0.5)
+            all_bits *= np.where(bit == 1, p, 1 - p)
+        return np.log10(all_bits)
 
     def learn(self, keys: np.ndarray, counts: np.ndarray, seed: int = 1) -> np.ndarray:
         """Weights by online gradient steps on the coding error; returns what
@@ -199,18 +217,19 @@ class Mixer:
         follow = np.zeros((GATES * STEPS, 2))
         self.weights = self.weights.copy()
         for epoch in range(EPOCHS + 1):
-            order = rng.permutation(len(keys))
+            order, rate = rng.permutation(len(keys)), RATE / (1 + epoch)
             for lo in range(0, len(keys), BATCH):
                 k, n = keys[order[lo:lo + BATCH]], counts[order[lo:lo + BATCH]].astype(np.float64)
                 hashes = contexts(k)
                 for place, node, bit in bits(k):
                     x, gate = self.inputs(hashes, place, node)
-                    z = self.mixed(x, gate)
+                    z = self.mixed(x, gate, node.astype(np.int64))
                     if epoch < EPOCHS:
                         error = (bit - 1 / (1 + np.exp(-z))) * n
-                        seen = np.maximum(np.bincount(gate, n, GATES), 1)
-                        for j in range(len(ORDERS)):
-                            self.weights[:, j] += RATE * np.bincount(gate, error * x[j], GATES) / seen
+                        for at, sets, low in ((gate, GATES, 0), (node.astype(np.int64), NODES, GATES)):
+                            seen = np.maximum(np.bincount(at, n, sets), n.mean() * 8)
+                            for j in range(len(ORDERS)):
+                                self.weights[low:low + sets, j] += rate * np.bincount(at, error * x[j], sets) / (512 * seen)
                     else:
                         low, part = self.step(z)
                         for cell, share in ((low, 1 - part), (low + 1, part)):
@@ -266,22 +285,23 @@ def bit_tables(texts: DataFrame) -> np.ndarray:
     chunks = int(STARTS[-1]) // CHUNK
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(2 * int(STARTS[-1]), np.int64)
+        table = np.zeros(2 * int(STARTS[-1]), np.uint32)
         for keys, n in tallies(_bytes(b.column(0)) for b in batches):
             for lo in range(0, len(keys), 1 << 18):
                 k, m = keys[lo:lo + (1 << 18)], n[lo:lo + (1 << 18)]
                 hashes = contexts(k)
                 for _, node, bit in bits(k):
                     for s in slots(hashes, node):
-                        np.add.at(table, 2 * s + bit, m)
+                        np.add.at(table, 2 * s + bit, m.astype(np.uint32))
         table = table.reshape(chunks, 2 * CHUNK)
-        for shift in (0, 16, 32, 48):                      # counts travel as 16-bit digits
-            part = (table >> shift) & 0xFFFF
-            some = np.flatnonzero(part.any(axis=1))
-            for lo in range(0, len(some), 256):
-                at = some[lo:lo + 256]
-                yield pa.RecordBatch.from_pydict({"chunk": pa.array(at, pa.int32()), "shift": pa.array(np.full(len(at), shift), pa.int32()),
-                                                  "digits": pa.array([r.tobytes() for r in part[at].astype(np.uint16)], pa.binary())})
+        for lo in range(0, chunks, 256):
+            for shift in (0, 16):                          # counts travel as 16-bit digits
+                part = ((table[lo:lo + 256] >> np.uint32(shift)) & np.uint32(0xFFFF)).astype(np.uint16)
+                some = np.flatnonzero(part.any(axis=1))
+                if len(some):
+                    yield pa.RecordBatch.from_pydict({
+                        "chunk": pa.array(some + lo, pa.int32()), "shift": pa.array(np.full(len(some), shift), pa.int32()),
+                        "digits": pa.array([r.tobytes() for r in part[some]], pa.binary())})
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -290,8 +310,7 @@ def bit_tables(texts: DataFrame) -> np.ndarray:
                 part = np.frombuffer(d.as_buffer(), np.uint16).astype(np.int64) << s
                 held[c] = held[c] + part if c in held else part
         for c, t in held.items():
-            logit = np.log((t[1::2] + 0.4) / (t[0::2] + 0.4)) * 512
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "logits": pa.array([np.clip(np.rint(logit), -4095, 4095).astype(np.int16).tobytes()], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "logits": pa.array([packed(t[0::2], t[1::2]).tobytes()], pa.binary())})
 
     width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = texts.select("text").mapInArrow(counted, "chunk int, shift int, digits binary").repartition(width, "chunk").mapInArrow(
@@ -305,7 +324,7 @@ def bit_tables(texts: DataFrame) -> np.ndarray:
 def tuned(texts: DataFrame, logits: np.ndarray) -> Mixer:
     """Weights and refinement, averaged over tasks by the bytes they saw."""
     shared = texts.sparkSession.sparkContext.broadcast(logits)
-    n_weights = GATES * len(ORDERS)
+    n_weights = (GATES + NODES) * len(ORDERS)
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, n in tallies(_bytes(b.column(0)) for b in batches):
@@ -321,7 +340,7 @@ def tuned(texts: DataFrame, logits: np.ndarray) -> Mixer:
         F.sum("value").alias("value"), F.sum("size").alias("size")).orderBy("at").collect()     # a fixed number of rows
     if sums:
         value = np.array([r.value for r in sums])
-        mixer.weights = (value[:n_weights] / sums[0].size).reshape(GATES, -1)
+        mixer.weights = (value[:n_weights] / sums[0].size).reshape(GATES + NODES, -1)
         follow = value[n_weights:].reshape(GATES, STEPS, 2)
         prior = mixer.refined * 8
         mixer.refined = (follow[:, :, 1] + prior) / (follow.sum(axis=2) + 8)
@@ -334,7 +353,7 @@ class Scorer:
     def __init__(self, mixer: Mixer):
         self.mixer = mixer
         self.keys = np.full(1 << CACHE, np.uint64((1 << 64) - 1))
-        self.values = np.zeros(1 << CACHE)
+        self.values = np.zeros(1 << CACHE, np.float32)
 
     def __call__(self, texts: list[bytes]) -> np.ndarray:
         total = np.zeros(len(texts))
@@ -360,6 +379,17 @@ class Scorer:
         return value
 
 
+_scorers: dict[str, Scorer] = {}
+
+
+def scorer_of(name: str, mixer: Mixer) -> Scorer:
+    """The worker's scorer for a model: what it remembers serves all its tasks."""
+    if name not in _scorers:
+        _scorers.clear()
+        _scorers[name] = Scorer(mixer)
+    return _scorers[name]
+
+
 def score(docs: DataFrame, learn: Column, tune: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_tokens, n_known, train_tokens, base_score,
     score (log10 probability of the text), n_bytes, bits_per_byte. ``learn`` and
@@ -373,14 +403,14 @@ def score(docs: DataFrame, learn: Column, tune: Column, id_col: str = "doc_id",
     often = (F.col("c") * FREQUENT) >= n
     frequent = dict(counts.where(often).toPandas().itertuples(index=False, name=None)) if n else {}    # at most FREQUENT words
     mixer = tuned(train.where(tune), bit_tables(train.where(~tune)))
-    model = spark.sparkContext.broadcast((mixer, {bytes(k): c for k, c in frequent.items()}))
+    model = spark.sparkContext.broadcast((uuid.uuid4().hex, mixer, {bytes(k): c for k, c in frequent.items()}))
 
     kind = texts.schema["id"].dataType
     rare_type = pa.list_(pa.struct([("token", pa.binary()), ("tf", pa.int64())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, known = model.value
-        scorer = Scorer(mixer)
+        name, mixer, known = model.value
+        scorer = scorer_of(name, mixer)
         logs: dict[int, float] = {}
         for b in batches:
             for lo in range(0, b.num_rows, 512):
@@ -421,6 +451,6 @@ def score(docs: DataFrame, learn: Column, tune: Column, id_col: str = "doc_id",
 
 
 def folds(id_col: str, parts: int, held_out: int) -> tuple[Column, Column, Column]:
-    """(held out, learn, tune): of the learned rows one in eight tunes."""
+    """(held out, learn, tune): of the learned rows one in 16 tunes."""
     out = hashed_id(id_col) % parts == held_out
-    return out, ~out, F.shiftright(hashed_id(id_col), 16) % 8 == 0
+    return out, ~out, F.shiftright(hashed_id(id_col), 16) % 16 == 0
