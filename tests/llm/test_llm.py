@@ -227,7 +227,7 @@ def test_decontaminate(spark):
 def slow_lines(texts):
     occ = [(i, k, x) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if len(x.split()) >= 5]
     lines = list(dict.fromkeys(x for *_, x in occ))
-    sets = [frozenset(m.group(1) for m in re.finditer(r"(?s)(?<!\S)(?=(\S.{0,19}))", x)) for x in lines]
+    sets = [frozenset(m.group(1) for m in re.finditer(r"(?s) (?=([^ ].{19}))", " " + x)) or {x} for x in lines]
     s = Sets(len(lines))
     for i in range(len(lines)):
         for j in range(i):
