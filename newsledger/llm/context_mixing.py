@@ -11,11 +11,11 @@ the result to the share of ones that really followed; the mean of both is coded.
 Learning, all from the training documents:
 
 1. Word counts for the base score: counted per task, summed by word in Spark.
-2. Bit counts of 15 in 16 training documents: every task counts its
+2. Bit counts of 31 in 32 training documents: every task counts its
    windows of seven bytes, fills the hashed tables and hands them on in chunks,
    which are summed chunk by chunk while they stream in. The tables have a
    fixed size, as in any hashed model; what is summed grows with the corpus.
-3. The sixteenth part tunes: in each task the weights learn online from the coding
+3. The 32nd part tunes: in each task the weights learn online from the coding
    error, the refinement table gathers what followed; Spark averages them.
 
 Windows repeat, so each distinct window is evaluated once per task and block
@@ -58,7 +58,7 @@ FREQUENT = 2_000_000
 SLICE = 1 << 22                           # bytes looked at at once
 CACHE = 22                                # log2 of remembered windows (12 bytes each)
 BLOCK = 1 << 15                           # windows evaluated at once
-BATCH, EPOCHS, RATE = 1 << 12, 2, 0.3
+BATCH, EPOCHS, RATE = 1 << 11, 1, 0.3
 PRIME, MIX, NODE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 STARTS = np.concatenate([[0], np.cumsum([1 << n for n in LOG2])])
 
@@ -288,11 +288,11 @@ def bit_tables(texts: DataFrame) -> np.ndarray:
         table = np.zeros(2 * int(STARTS[-1]), np.uint32)
         for keys, n in tallies(_bytes(b.column(0)) for b in batches):
             for lo in range(0, len(keys), 1 << 18):
-                k, m = keys[lo:lo + (1 << 18)], n[lo:lo + (1 << 18)]
+                k, m = keys[lo:lo + (1 << 18)], n[lo:lo + (1 << 18)].astype(np.uint32)
                 hashes = contexts(k)
                 for _, node, bit in bits(k):
                     for s in slots(hashes, node):
-                        np.add.at(table, 2 * s + bit, m.astype(np.uint32))
+                        np.add.at(table, 2 * s + bit, m)
         table = table.reshape(chunks, 2 * CHUNK)
         for lo in range(0, chunks, 256):
             for shift in (0, 16):                          # counts travel as 16-bit digits
@@ -403,7 +403,7 @@ def score(docs: DataFrame, learn: Column, tune: Column, id_col: str = "doc_id",
     often = (F.col("c") * FREQUENT) >= n
     frequent = dict(counts.where(often).toPandas().itertuples(index=False, name=None)) if n else {}    # at most FREQUENT words
     mixer = tuned(train.where(tune), bit_tables(train.where(~tune)))
-    model = spark.sparkContext.broadcast((uuid.uuid4().hex, mixer, {bytes(k): c for k, c in frequent.items()}))
+    model = spark.sparkContext.broadcast((uuid.uuid4().hex, mixer, {bytes(k): float(np.log10((c + 1) / floor)) for k, c in frequent.items()}))
 
     kind = texts.schema["id"].dataType
     rare_type = pa.list_(pa.struct([("token", pa.binary()), ("tf", pa.int64())]))
@@ -411,29 +411,29 @@ def score(docs: DataFrame, learn: Column, tune: Column, id_col: str = "doc_id",
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, mixer, known = model.value
         scorer = scorer_of(name, mixer)
-        logs: dict[int, float] = {}
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
                 raw = _bytes(part.column(1))
-                rows = []
+                rows, rare, times, ends = [], [], [], [0]
                 for t in raw:
                     held = tokens(t)
                     held[b""] += 1
-                    base, hit, rare = 0.0, 0, []
+                    base, hit = 0.0, 0
                     for word, tf in held.items():
-                        c = known.get(word)
-                        if c is None:
-                            rare.append({"token": word, "tf": tf})
+                        x = known.get(word)
+                        if x is None:
+                            rare.append(word)
+                            times.append(tf)
                         else:
-                            x = logs.get(c)
-                            if x is None:
-                                x = logs[c] = float(np.log10((c + 1) / floor))
                             base += tf * x
                             hit += tf
-                    rows.append((held.total(), hit, base, rare))
+                    rows.append((held.total(), hit, base))
+                    ends.append(len(rare))
+                words = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], fields=list(rare_type.value_type))
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64(), rare_type))),
+                    part.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words, type=rare_type),
                     pa.array(scorer(raw)), pa.array([len(t) for t in raw], pa.int64())],
                     ["id", "n_tokens", "hit", "base", "rare", "score", "n_bytes"])
 
@@ -451,6 +451,6 @@ def score(docs: DataFrame, learn: Column, tune: Column, id_col: str = "doc_id",
 
 
 def folds(id_col: str, parts: int, held_out: int) -> tuple[Column, Column, Column]:
-    """(held out, learn, tune): of the learned rows one in 16 tunes."""
+    """(held out, learn, tune): of the learned rows one in 32 tunes."""
     out = hashed_id(id_col) % parts == held_out
-    return out, ~out, F.shiftright(hashed_id(id_col), 16) % 16 == 0
+    return out, ~out, F.shiftright(hashed_id(id_col), 16) % 32 == 0
