@@ -242,7 +242,9 @@ def slow_lines(texts):
     return gone
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("few", [line_dedup.FEW, 1])
+def test_line_dedup(spark, few, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FEW", few)
     texts = [r.text for r in read(spark, SF, "documents").orderBy("doc_id").collect()]
     base = " ".join(f"word{i}" for i in range(60))
     texts += [None, "", "\n\n", base, base.replace("word30", "other"), base + "\nshort", "a b c\n" + base.replace("word5 ", "x ").replace("word50", "y"),
