@@ -17,6 +17,8 @@ from .urls import NOISE_PATTERN
 
 # Entities decoded in text, '&amp;' last so '&amp;lt;' stays '&lt;'.
 ENTITIES = (
+    ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
+    ("&rdquo;", "”"), ("&bull;", "•"), ("&deg;", "°"), ("&reg;", "®"), ("&trade;", "™"), ("&euro;", "€"), ("&laquo;", "«"), ("&raquo;", "»"),
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
     ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 )
@@ -31,7 +33,25 @@ PARA_END = rf"(?is)(?:</p\s*>|<(?:{BLOCKS})\b|</(?:{CONTAINERS})\s*>).*$"
 TAG = r"<[^>]*>"
 
 
+def unescape_numeric(c: Column) -> Column:
+    """Decimal and hex character references. Texts without any pass untouched;
+    a reference to no character is left as it is."""
+    pieces = F.split(c, "&#")
+
+    def decode(p: Column) -> Column:
+        code = F.coalesce(F.regexp_extract(p, "^([0-9]{1,7});", 1).try_cast("int"),
+                          F.conv(F.nullif(F.regexp_extract(p, "^[xX]([0-9a-fA-F]{1,6});", 1), F.lit("")), 16, 10).cast("int"))
+        # a code point as big-endian UTF-32
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        usable = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(usable, F.concat(char, F.regexp_replace(p, "^[0-9a-zA-Z]+;", ""))).otherwise(F.concat(F.lit("&#"), p))
+
+    rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), decode)
+    return F.when(F.contains(c, F.lit("&#")), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
+
+
 def unescape_entities(c: Column) -> Column:
+    c = unescape_numeric(c)
     for ent, ch in ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
     return c

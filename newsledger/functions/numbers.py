@@ -108,8 +108,15 @@ def clean_float_text(c: Column) -> Column:
 
 
 def round_half_even(x: Column, places: int) -> Column:
-    """Half-even rounding on the shortest decimal form of the double."""
-    return F.bround(x.cast("decimal(38,12)"), places).cast("double")
+    """Half-even rounding on the shortest decimal form of the double. Doubles
+    too large for it have no fraction and stay as they are."""
+    small = F.when(F.abs(x) < 1e15, x)
+    return F.coalesce(F.bround(small.cast("decimal(38,12)"), places).cast("double"), x)
+
+
+def parsed_number(c) -> Column:
+    """The number a text spells (unit and digits handled), unrounded, or null."""
+    return _parse_double(thai_digits_to_ascii(clean_float_text(col_of(c).cast("string"))))
 
 
 def float_result(c, rng: NumberRange = NumberRange(), places: int = 1) -> Column:

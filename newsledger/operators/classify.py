@@ -4,12 +4,12 @@ A model is either
 * an expression model (``reply_expr(text) -> Column``): runs inside the JVM,
   e.g. the deterministic ``RuleScorer`` used for checkable runs; or
 * a Python callable ``f(list[str]) -> list[str]`` (a hosted or local model
-  client): run with Arrow batches on the partitions, only on rows that need
-  it, with retry and exponential backoff per call.
+  client): run over Arrow batches on the partitions, one record per call, with
+  retry and exponential backoff per record.
 
-Rows that must not reach the model (invalid content, irrelevant rows) are
-filtered out before the call and unioned back, because a Python UDF inside a
-``when`` would still be evaluated for every row.
+A Python model gets the prompt and a flag; records without the flag (invalid
+content, irrelevant rows) are not sent. The answers are stored in the shared
+folder before the next stage, so no record is sent twice and none is lost.
 """
 
 from __future__ import annotations
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.model import label_from_reply, render_template, reply_fields
-from ..functions.predicates import content_is_valid
-from .reports import OUTCOME_EMPTY, OUTCOME_EXTRACTED, OUTCOME_FAILED, OUTCOME_IRRELEVANT
+from ..functions.predicates import content_is_valid, is_labelled
+from ..session import staged
+from .incremental import content_for_classification
+from .reports import OUTCOME_CLASSIFICATION_FAILED, OUTCOME_EMPTY, OUTCOME_EXTRACTED, OUTCOME_FAILED, OUTCOME_IRRELEVANT
 
 REPLY_SCHEMA = T.StructType([
     T.StructField("reply", T.StringType()),
@@ -56,96 +58,124 @@ class RuleExtractor:
                                     for f, p in self.field_patterns]))
 
 
-def call_with_retry(fn, batch: list, max_retries: int = 3, delay: float = 1.0, sleep=time.sleep):
-    """Call ``fn(batch)``; on failure wait ``delay * 2**attempt`` and retry.
-    Returns (replies or None, error or None, attempts). Never raises."""
-    return _retrying_caller()(fn, batch, max_retries, delay, sleep)
+def call_with_retry(fn, record: str, max_retries: int = 3, delay: float = 1.0, sleep=time.sleep):
+    """Call ``fn([record])`` up to ``max_retries`` times, waiting ``delay * 2**attempt``
+    in between. Returns (reply or None, error or None, attempts). Never raises:
+    a raising model and an answer that is not one reply are both errors."""
+    return _retrying_caller()(fn, record, max_retries, delay, sleep)
 
 
 def _retrying_caller():
     # Built inside a function so UDFs ship it by value (executors need only
     # the standard library, not this package).
-    def call(fn, batch, max_retries, delay, sleep):
+    def call(fn, record, max_retries, delay, sleep):
         err = None
-        for attempt in range(max_retries + 1):
+        for attempt in range(max(1, max_retries)):
             try:
-                return list(fn(batch)), None, attempt + 1
+                replies = list(fn([record]))
+                if len(replies) == 1:
+                    return (None if replies[0] is None else str(replies[0])), None, attempt + 1
+                err = f"expected one reply, got {len(replies)}"
             except Exception as e:  # the model client's failure is data, not a task failure
                 err = f"{type(e).__name__}: {e}"
-                if attempt < max_retries:
-                    sleep(delay * (2 ** attempt))
-        return None, err, max_retries + 1
+            if attempt + 1 < max_retries:
+                sleep(delay * (2 ** attempt))
+        return None, err, max(1, max_retries)
     return call
 
 
 def model_udf(fn, max_retries: int = 3, delay: float = 1.0):
-    """Arrow-batched wrapper of a Python model callable."""
+    """Wrapper of a Python model callable over (prompt, needed): the model sees
+    one record per call and only records that are needed; the others get a null
+    response. One failing record fails alone."""
     caller = _retrying_caller()
 
-    @F.pandas_udf(REPLY_SCHEMA)
-    def call(prompts: pd.Series) -> pd.DataFrame:
+    def call(prompts: pd.Series, needed: pd.Series) -> pd.DataFrame:
         import time as _time
-        t0 = _time.monotonic()
-        replies, err, attempts = caller(fn, prompts.tolist(), max_retries, delay, _time.sleep)
-        ms = int((_time.monotonic() - t0) * 1000)
-        if replies is None:
-            replies = [None] * len(prompts)
-        n = len(prompts)
-        return pd.DataFrame({"reply": replies, "error": [err] * n, "attempts": [attempts] * n,
-                             "success": [err is None] * n, "response_ms": [ms] * n})
-    return call
+        rows = []
+        for prompt, need in zip(prompts, needed):
+            if not need:
+                rows.append((None, None, None, None, None))
+                continue
+            t0 = _time.monotonic()
+            reply, err, attempts = caller(fn, prompt, max_retries, delay, _time.sleep)
+            rows.append((reply, err, attempts, err is None and reply is not None, int((_time.monotonic() - t0) * 1000)))
+        out = pd.DataFrame(rows, columns=["reply", "error", "attempts", "success", "response_ms"])
+        return out.astype({"attempts": "Int32", "success": "boolean", "response_ms": "Int64"})
+    return F.pandas_udf(call, REPLY_SCHEMA).asNondeterministic()
+
+
+def responses(df: DataFrame, model, prompt: Column, needed: Column, out: str) -> DataFrame:
+    """Add the response record ``out`` (reply, error, attempts, success,
+    response_ms). A Python model runs once: its answers are stored before
+    anything reads them, and no row is split off or joined back."""
+    if hasattr(model, "reply_expr"):
+        reply = F.when(needed, model.reply_expr(prompt))
+        none = F.lit(None)
+        return df.withColumn("_reply", reply).withColumn(out, F.struct(
+            F.col("_reply").alias("reply"), none.cast("string").alias("error"), F.when(needed, F.lit(1)).alias("attempts"),
+            F.when(needed, F.col("_reply").isNotNull()).alias("success"), none.cast("long").alias("response_ms"))).drop("_reply")
+    return staged(df.withColumn(out, model_udf(model)(prompt, needed)), out)
 
 
-def _reply(df: DataFrame, model, prompt: Column, out: str) -> DataFrame:
-    if hasattr(model, "reply_expr"):
-        return df.withColumn(out, model.reply_expr(prompt))
-    res = model_udf(model)(prompt)
-    return df.withColumn("_call", res).withColumn(out, F.col("_call.reply")).drop("_call")
+def _prompt(template: str | None, text_col: str, slots: dict | None) -> Column:
+    return render_template(template, content=F.col(text_col), **(slots or {})) if template else F.col(text_col)
 
 
 def classify(df: DataFrame, model, text_col: str = "content", template: str | None = None,
-             out: str = "is_relevant") -> DataFrame:
+             out: str = "is_relevant", keep_response: str | None = None) -> DataFrame:
     """Add ``out`` (0/1) and ``outcome``. Invalid content gets 0 without a
-    model call; an unparsable or failed reply is 0."""
+    model call; an unparsable reply is 0; a failed call is 0 with outcome
+    ``classification_failed``, which the next run retries. ``keep_response``
+    names a column for the response record."""
+    rec = unused_name(df, keep_response or "_response")
     valid = content_is_valid(text_col)
-    prompt = render_template(template, content=F.col(text_col)) if template else F.col(text_col)
-    if hasattr(model, "reply_expr"):
-        # the reply is its own column so the label parser reads it once
-        replied = df.withColumn("_reply", F.when(valid, model.reply_expr(prompt)))
-        labelled = replied.withColumn(out, F.when(F.col("_reply").isNotNull(), label_from_reply(F.col("_reply")))
-                                      .otherwise(F.lit(0))).drop("_reply")
-        return labelled.withColumn("outcome", F.when(~valid, F.lit(OUTCOME_EMPTY))
-                                   .when(F.col(out) == 1, F.lit("relevant"))
-                                   .otherwise(F.lit(OUTCOME_IRRELEVANT)))
-    flagged = df.withColumn("_valid", valid)
-    todo = _reply(flagged.filter("_valid"), model, prompt, "_reply").withColumn(out, label_from_reply(F.col("_reply")))
-    todo = todo.withColumn("outcome", F.when(F.col(out) == 1, F.lit("relevant")).otherwise(F.lit(OUTCOME_IRRELEVANT)))
-    skip = flagged.filter(~F.col("_valid")).withColumn(out, F.lit(0)).withColumn("outcome", F.lit(OUTCOME_EMPTY))
-    return todo.drop("_reply").unionByName(skip).drop("_valid")
+    called = responses(df.withColumn("_valid", valid), model, _prompt(template, text_col, None), F.col("_valid"), rec)
+    ok = F.col("_valid") & F.coalesce(F.col(rec)["success"], F.lit(False))
+    out_df = called.withColumn(out, F.when(ok, label_from_reply(F.col(rec)["reply"])).otherwise(F.lit(0))).withColumn(
+        "outcome", F.when(~F.col("_valid"), F.lit(OUTCOME_EMPTY))
+        .when(~ok, F.lit(OUTCOME_CLASSIFICATION_FAILED))
+        .when(F.col(out) == 1, F.lit("relevant"))
+        .otherwise(F.lit(OUTCOME_IRRELEVANT)))
+    return out_df.drop("_valid", *([] if keep_response else [rec]))
 
 
 def extract(df: DataFrame, model, fields, text_col: str = "content", template: str | None = None,
-            relevant: str = "is_relevant") -> DataFrame:
+            relevant: str = "is_relevant", slots: dict | None = None, keep_response: str | None = None) -> DataFrame:
     """Extract ``fields`` (text) for relevant rows only; outcome becomes
-    'extracted' or 'extraction_failed' for them. Other rows get null fields."""
+    'extracted' or 'extraction_failed' for them. Other rows get null fields.
+    ``slots`` fills the template's further placeholders."""
+    rec = unused_name(df, keep_response or "_response")
     is_rel = F.coalesce(F.col(relevant) == 1, F.lit(False))
-    prompt = render_template(template, content=F.col(text_col)) if template else F.col(text_col)
-    if hasattr(model, "reply_expr"):
-        # the reply is its own column so the parser reads it once
-        replied = df.withColumn("_r", F.when(is_rel & F.col(text_col).isNotNull(), model.reply_expr(prompt)))
-        out = replied.withColumn("_x", reply_fields(F.col("_r"), fields)).drop("_r")
-    else:
-        rel = _reply(df.filter(is_rel & F.col(text_col).isNotNull()), model, prompt, "_r") \
-            .withColumn("_x", reply_fields(F.col("_r"), fields)).drop("_r")
-        rest = df.filter(~(is_rel & F.col(text_col).isNotNull())) \
-            .withColumn("_x", F.struct(F.lit(False).alias("ok"), *[F.lit(None).cast("string").alias(f) for f in fields]))
-        out = rel.unionByName(rest)
-    out = out.select(*[c for c in out.columns if c not in fields and c != "_x"],
-                     *[F.col("_x")[f].alias(f) for f in fields],
-                     F.col("_x.ok").alias("_ok"))
+    called = responses(df.withColumn("_need", is_rel & F.col(text_col).isNotNull()), model,
+                       _prompt(template, text_col, slots), F.col("_need"), rec)
+    out = called.withColumn("_x", reply_fields(F.col(rec)["reply"], fields))
+    out = out.select(*[F.col(f"`{c}`") for c in out.columns if c not in fields and c not in ("_x", "_need")],
+                     *[F.col("_x")[f].alias(f) for f in fields], F.coalesce(F.col("_x.ok"), F.lit(False)).alias("_ok"))
     return out.withColumn("outcome", F.when(is_rel & F.col("_ok"), F.lit(OUTCOME_EXTRACTED))
                           .when(is_rel, F.lit(OUTCOME_FAILED))
-                          .otherwise(F.col("outcome"))).drop("_ok")
+                          .otherwise(F.col("outcome"))).drop("_ok", *([] if keep_response else [rec]))
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def update_labels(table: DataFrame, model, text_col: str = "content", context_col: str = "context",
+                  label: str = "is_news", template: str | None = None) -> DataFrame:
+    """Label the rows without a 0/1 label: from the content, else the context.
+    Labelled rows keep theirs and are never sent; no text or a failed call give
+    a null label. Adds ``label_status``: skipped, updated, no_content or error."""
+    labelled = is_labelled(label)
+    content = content_for_classification(F.col(text_col), F.col(context_col))
+    rows = table.withColumn("_text", content).withColumn("_need", ~labelled & F.col("_text").isNotNull())
+    called = responses(rows, model, _prompt(template, "_text", None), F.col("_need"), "_response")
+    ok = F.col("_need") & F.coalesce(F.col("_response.success"), F.lit(False))
+    status = (F.when(labelled, "skipped").when(ok, "updated").when(F.col("_need"), "error").otherwise("no_content"))
+    new = F.when(labelled, F.col(label)).when(ok, label_from_reply(F.col("_response.reply")))
+    return called.withColumn("label_status", status).withColumn(label, new).drop("_text", "_need", "_response")
 
 
 def processing_status(relevant: Column) -> Column:
@@ -198,14 +228,37 @@ def two_stage_classify(df: DataFrame, local_model, fallback, text_col: str = "co
     method_used and fallback_triggered."""
     from pyspark.ml.functions import vector_to_array
 
-    scored = local_model.transform(df.withColumnRenamed(text_col, "text")).withColumnRenamed("text", text_col)
-    conf = F.array_max(vector_to_array(F.col("probability")))
-    scored = scored.withColumn("confidence", conf).withColumn("_local", F.col("prediction").cast("int"))
-    drop = [c for c in ("_tokens", "_tf", "features", "rawPrediction", "probability", "prediction") if c in scored.columns]
-    scored = scored.drop(*drop)
-    low = F.col("confidence") < threshold
-    confident = scored.filter(~low).withColumn(out, F.col("_local")) \
-        .withColumn("method_used", F.lit("local")).withColumn("fallback_triggered", F.lit(False))
-    unsure = classify(scored.filter(low), fallback, text_col, out=out).drop("outcome") \
-        .withColumn("method_used", F.lit("fallback")).withColumn("fallback_triggered", F.lit(True))
-    return confident.unionByName(unsure).drop("_local")
+    # the local model needs a text; rows without valid content are unsure by definition
+    text = unused_name(df, "text") if text_col != "text" else "text"
+    given = df if text_col == "text" else df.withColumn("text", F.col(text_col)) if text == "text" else \
+        df.withColumnRenamed("text", text).withColumn("text", F.col(text_col))
+    filled = given.withColumn("_raw", F.col("text")).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+    scored = local_model.transform(filled).withColumn("confidence", F.when(
+        content_is_valid("_raw"), F.array_max(vector_to_array(F.col("probability")))))
+    scored = scored.withColumn("_local", F.col("prediction").cast("int")).drop(
+        "_tokens", "_tf", "features", "rawPrediction", "probability", "prediction")
+    unsure = F.coalesce(F.col("confidence") < threshold, F.lit(True))
+    called = responses(scored.withColumn("_unsure", unsure).withColumn("_need", F.col("_unsure") & content_is_valid("_raw")),
+                       fallback, F.col("_raw"), F.col("_need"), "_response")
+    ok = F.col("_need") & F.coalesce(F.col("_response.success"), F.lit(False))
+    out_df = called.withColumn(out, F.when(~F.col("_unsure"), F.col("_local")).when(
+        ok, label_from_reply(F.col("_response.reply"))).otherwise(F.lit(0))).withColumn(
+        "method_used", F.when(F.col("_unsure"), "fallback").otherwise("local")).withColumn("fallback_triggered", F.col("_unsure")).withColumn(
+        "error_details", F.col("_response.error"))
+    drop = ["_raw", "_local", "_unsure", "_need", "_response"]
+    if text_col != "text":
+        out_df = out_df.drop("text")
+        out_df = out_df.withColumnRenamed(text, "text") if text != "text" else out_df
+    else:
+        out_df = out_df.withColumn("text", F.col("_raw"))
+    return out_df.drop(*drop)
+
+
+def save_classifier(model, path: str) -> None:
+    """Write a trained pipeline (overwriting) to shared storage."""
+    model.write().overwrite().save(path)
+
+
+def load_classifier(path: str):
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(path)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import py_strip
-from ..functions.predicates import content_is_valid, status_ok
+from ..functions.predicates import content_is_valid, is_nonblank, status_ok
+from ..session import staged
 
 
 # --------------------------------------------------------------------------
@@ -81,17 +82,22 @@ def upsert_newest_first(new: DataFrame, old: DataFrame, key: str = "link",
 def last_ok_content(articles: DataFrame, key: str = "url", pos: str = "pos",
                     accepted=("ok",), default_status: str | None = None) -> DataFrame:
     """Per URL: the last article row whose status is accepted."""
-    ok = articles.filter(status_ok("scrape_status", accepted, default_status))
-    return last_per_key(ok.select(key, pos, "content"), key, [pos]).select(key, "content")
+    ok = articles.filter(status_ok("scrape_status", accepted, default_status) & is_nonblank("content") & F.col(key).isNotNull())
+    # positions are compared without the texts; ties on the position take the larger text
+    last = ok.groupBy(key).agg(F.max(pos).alias(pos))
+    return ok.select(key, pos, "content").join(last, [key, pos]).groupBy(key).agg(F.max("content").alias("content"))
 
 
 def attach_content_inner(articles: DataFrame, urls: DataFrame, key: str = "url",
                          pos: str = "pos") -> DataFrame:
-    """One row per URL that has an ok article: its last content plus the label
-    of the URL table's first row for that URL (null when absent)."""
+    """One row per URL that has an ok article: its last content plus label (and
+    context, if the table has it) of the URL table's first row for that URL
+    (null when absent); the label is cleared when the content is not valid."""
     content = last_ok_content(articles, key, pos)
-    first_label = first_per_key(urls.select(key, pos, "is_news"), key, [pos]).select(key, "is_news")
-    return content.join(first_label, on=key, how="left")
+    carry = [c for c in ("context", "is_news") if c in urls.columns]
+    first_label = first_per_key(urls.select(key, pos, *carry), key, [pos]).select(key, *carry)
+    joined = content.join(first_label, on=key, how="left")
+    return joined.withColumn("is_news", F.when(content_is_valid("content"), F.col("is_news")))
 
 
 def attach_content_left(urls: DataFrame, articles: DataFrame, key: str = "url",
@@ -130,13 +136,15 @@ def with_row_index(df: DataFrame, order: list[str], name: str = "pos",
     """0-based position of each row in ``order`` (which must be unique),
     computed without moving all rows into one task: range-partition, number
     rows inside each partition, add the row counts of earlier partitions
-    (a table with one row per partition, broadcast).
+    (a table with one row per partition, broadcast). The ranged rows are stored
+    once, as range bounds are sampled anew each time they are computed.
     With ``extra_totals`` a ``_total`` column holds the row count."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     ranged = ranged.withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_mid", F.monotonically_increasing_id())
+    ranged = staged(ranged, "ranged")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),

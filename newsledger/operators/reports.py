@@ -14,6 +14,7 @@ OUTCOME_EMPTY = "empty_content"
 OUTCOME_IRRELEVANT = "irrelevant"
 OUTCOME_EXTRACTED = "extracted"
 OUTCOME_FAILED = "extraction_failed"
+OUTCOME_CLASSIFICATION_FAILED = "classification_failed"    # not final: retried by the next run
 FINAL_OUTCOMES = (OUTCOME_IRRELEVANT, OUTCOME_EXTRACTED)
 
 
@@ -110,10 +111,20 @@ def content_summary(df: DataFrame, content: str = "content", label: str = "is_ne
 def update_summary(before: DataFrame, after: DataFrame, key: str = "url", label: str = "is_news",
                    batch_size: int = 50) -> DataFrame:
     """Label-update summary: rows processed (unlabelled before), updated
-    (label set now), skipped (already labelled), batches of ``batch_size``."""
+    (label set now), skipped (already labelled), batches of ``batch_size``.
+    Every row of ``before`` counts once; its new label is that of its key in
+    ``after`` (the largest of repeated ones). Null keys match each other."""
     from ..functions.predicates import is_labelled
-    j = before.select(key, F.col(label).alias("_b")).join(after.select(key, F.col(label).alias("_a")), key, "inner")
-    out = j.agg(count_if(~is_labelled("_b")).alias("processed"),
+    now = after.groupBy(F.col(key).alias("_k")).agg(F.max(label).alias("_a"))
+    j = before.select(F.col(key).alias("_key"), F.col(label).alias("_b")).join(now, F.col("_key").eqNullSafe(F.col("_k")), "left")
+    out = update_counts(j, "_b", "_a", batch_size)
+    return out
+
+
+def update_counts(rows: DataFrame, before: str, after: str, batch_size: int = 50) -> DataFrame:
+    """The same for rows that carry the label before and after."""
+    from ..functions.predicates import is_labelled
+    out = rows.withColumnsRenamed({before: "_b", after: "_a"}).agg(count_if(~is_labelled("_b")).alias("processed"),
                 count_if(~is_labelled("_b") & is_labelled("_a")).alias("updated"),
                 count_if(is_labelled("_b")).alias("skipped"),
                 count_if(~is_labelled("_b") & ~is_labelled("_a")).alias("errors"))

@@ -199,12 +199,13 @@ def _cell_count(validated: DataFrame) -> int:
 
 
 def conform(df: DataFrame, specs=HEAT_SPECS) -> DataFrame:
-    """Select the spec columns in order; absent ones become typed nulls (or
-    their default value)."""
+    """Select the spec columns in order; absent and null ones take their
+    default value (null without one)."""
     cols = []
     for s in specs:
         if s.name in df.columns:
-            cols.append(F.col(f"`{s.name}`").cast(SPARK_TYPES[s.data_type]).alias(s.name))
+            given = F.col(f"`{s.name}`").cast(SPARK_TYPES[s.data_type])
+            cols.append((given if s.default is None else F.coalesce(given, F.lit(s.default).cast(SPARK_TYPES[s.data_type]))).alias(s.name))
         else:
             cols.append(F.lit(s.default).cast(SPARK_TYPES[s.data_type]).alias(s.name))
     return df.select(*cols)

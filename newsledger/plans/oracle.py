@@ -285,7 +285,7 @@ def _sql() -> dict:
     ok_last = f"(SELECT url, arg_max(content, pos) AS content FROM {art} WHERE scrape_status = 'ok' GROUP BY url)"
     S["content_lookup"] = (f"WITH u AS (SELECT d.source AS url, d.doc_id AS pos, l.quality AS is_news FROM documents d JOIN labels l USING (doc_id)), "
                            f"f AS (SELECT url, arg_min(is_news, pos) AS is_news FROM u GROUP BY url) "
-                           f"SELECT o.url, md5(o.content) AS content_md5, f.is_news FROM {ok_last} o LEFT JOIN f USING (url)")
+                           f"SELECT o.url, md5(o.content) AS content_md5, CASE WHEN coalesce(length({strip('o.content')}) >= 10, false) THEN f.is_news END AS is_news FROM {ok_last} o LEFT JOIN f USING (url)")
     valid_c = f"coalesce(length({strip('o.content')}) >= 10, false)"
     S["content_attach_left"] = (f"SELECT l.doc_id, 'src' || CAST(l.doc_id % 25 AS VARCHAR) AS url, md5(o.content) AS content_md5, "
                                 f"CASE WHEN {valid_c} THEN l.quality END AS is_news "
@@ -293,7 +293,7 @@ def _sql() -> dict:
     chosen = f"coalesce(nullif({strip('d.text')}, ''), nullif({strip('c.text')}, ''))"
     S["content_priority"] = (f"SELECT d.doc_id, CASE WHEN nullif({strip('d.text')}, '') IS NOT NULL THEN 'content' "
                              f"WHEN nullif({strip('c.text')}, '') IS NOT NULL THEN 'context' END AS source_used, md5({chosen}) AS chosen_md5 "
-                             f"FROM documents d LEFT JOIN (SELECT conv_id, text FROM conversations WHERE turn = 0) c ON c.conv_id = d.doc_id")
+                             f"FROM documents d LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations GROUP BY conv_id) c ON c.conv_id = d.doc_id")
     S["keyed_update"] = ("WITH r AS (SELECT doc_id, quality + toxic AS v FROM labels), "
                          "t AS (SELECT d.doc_id, CASE WHEN r.doc_id IS NOT NULL THEN r.v ELSE CASE WHEN d.lang = 'en' THEN 1 ELSE 0 END END AS is_news "
                          "FROM documents d LEFT JOIN r USING (doc_id)) "
@@ -322,7 +322,7 @@ def _sql() -> dict:
                              f"first_word, first_number, token, is_relevant = 1 AS in_heat_table FROM {pd_}")
     at = article_text_expr("html")
     S["fetch_summary"] = (f"WITH t AS (SELECT url, html, {at} AS txt FROM pages), "
-                          f"s AS (SELECT {fetch_status_expr('url', 'html', 'txt')} AS st, {hc('txt')} AS had FROM t) "
+                          f"s AS (SELECT {fetch_status_expr('url', 'html', 'txt')} AS st, ({hc('txt')} AND starts_with(url, 'http://')) AS had FROM t) "
                           f"SELECT count(*) AS total_urls, {cnt('had')} AS already_had_content, {cnt('NOT had')} AS newly_fetched, "
                           f"{cnt("st = 'ok'")} AS successful_fetches, {cnt("starts_with(st, 'error')")} AS failed_fetches, "
                           f"{cnt("starts_with(st, 'skipped')")} AS skipped FROM s")
@@ -457,7 +457,7 @@ def _sql() -> dict:
     S["classify_update"] = (f"SELECT d.doc_id, CASE WHEN l.quality IN (0, 1) THEN l.quality WHEN {content} IS NULL THEN NULL "
                             f"WHEN coalesce(regexp_matches({content}, {q(Q.RELEVANCE_PATTERN)}), false) THEN 1 ELSE 0 END AS is_news, "
                             f"coalesce(l.quality IN (0, 1), false) AS was_labelled FROM documents d LEFT JOIN labels l USING (doc_id) "
-                            f"LEFT JOIN (SELECT conv_id, text FROM conversations WHERE turn = 0) c ON c.conv_id = d.doc_id")
+                            f"LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations GROUP BY conv_id) c ON c.conv_id = d.doc_id")
     valid = f"coalesce(length({strip('content')}) >= 10, false)"
     rel = f"({valid} AND coalesce(regexp_matches(content, {q(Q.RELEVANCE_PATTERN)}), false))"
     anyf = " OR ".join(f"nullif(regexp_extract(content, {q(p)}, 1), '') IS NOT NULL" for _, p in Q.EXTRACT_FIELDS)
@@ -490,6 +490,30 @@ def _sql() -> dict:
                          "m AS (SELECT link, min({'src': src, 'pos': pos, 'meta': meta}) AS b FROM u GROUP BY link) "
                          "SELECT link, b.src AS src, b.pos AS pos, b.meta AS meta FROM m")
     S["heat_conform"] = (f"SELECT {', '.join(cols)} FROM {pd_} p JOIN documents d USING (doc_id) WHERE p.is_relevant = 1")
+    S["article_labels"] = (f"WITH u AS (SELECT d.source AS url, d.doc_id AS pos, d.lang FROM documents d JOIN labels l USING (doc_id)), "
+                           f"f AS (SELECT url, arg_min(lang, pos) AS context FROM u GROUP BY url) "
+                           f"SELECT o.url, f.context, CASE WHEN {valid_c} THEN CAST(regexp_matches(o.content, {q(Q.RELEVANCE_PATTERN)}) AS INTEGER) END AS is_news, "
+                           f"md5(o.content) AS content_md5 FROM {ok_last} o LEFT JOIN f USING (url)")
+    S["update_summary"] = ("WITH t AS (SELECT coalesce(doc_id % 2 = 0 AND quality IN (0, 1), false) AS b, "
+                           "coalesce(doc_id % 3 <> 0 AND quality IN (0, 1), false) AS a FROM labels) "
+                           "SELECT count(*) FILTER (NOT b) AS processed, count(*) FILTER (NOT b AND a) AS updated, count(*) FILTER (b) AS skipped, "
+                           "count(*) FILTER (NOT b AND NOT a) AS errors, CAST(ceil(count(*) FILTER (NOT b) / 50) AS BIGINT) AS batches FROM t")
+    valid_t = f"coalesce(length({strip('text')}) >= 10, false)"
+    S["content_summary"] = (f"WITH t AS (SELECT doc_id, {valid_t} AS v, coalesce(quality IN (0, 1), false) AS l FROM documents LEFT JOIN labels USING (doc_id)) "
+                            "SELECT count(*) AS total, count(*) FILTER (NOT v) AS empty_content, count(*) FILTER (v) AS valid_content, "
+                            "count(*) FILTER (l) AS classified, count(*) FILTER (doc_id % 100 / 100 < 0.6) AS low_confidence, "
+                            "count(*) FILTER (doc_id % 3 = 0) AS fallback_used, count(*) FILTER (doc_id % 3 = 0 AND l) AS fallback_success, "
+                            "count(*) FILTER (doc_id % 7 = 0) AS errors FROM t")
+    S["live_coercion"] = ("WITH t AS (SELECT event_id, user_id AS u, CASE user_id % 4 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN user_id || '.9' "
+                          "WHEN 2 THEN 'abc' ELSE user_id || '.0' END AS n_raw FROM events) "
+                          "SELECT event_id, CASE WHEN u % 4 IN (0, 3) THEN u END AS n, CASE WHEN u % 3 = 0 THEN CAST(u || '.65' AS DOUBLE) END AS f, n_raw, "
+                          "concat_ws(',', CASE WHEN u % 4 IN (1, 2) THEN 'n' END, CASE WHEN u % 3 = 1 THEN 'f' END) AS errors FROM t")
+    S["collect_links"] = ("WITH x AS (SELECT page_id AS m, 0 AS k, 'https://n' || page_id % 97 || '.example.com/a' AS url FROM pages "
+                          "UNION ALL SELECT page_id, 2, 'https://m' || page_id % 53 || '.example.com/b' FROM pages), "
+                          "e AS (SELECT 'https://n' || page_id % 97 || '.example.com/a' AS url, page_id AS pos FROM pages WHERE page_id % 10 = 0), "
+                          "f AS (SELECT url, min({'m': m, 'k': k}) AS o FROM x WHERE url NOT IN (SELECT url FROM e) GROUP BY url), "
+                          "b AS (SELECT url, true AS is_new, o.m AS a, o.k AS c FROM f UNION ALL SELECT url, false, pos, 0 FROM e) "
+                          "SELECT url, row_number() OVER (ORDER BY is_new DESC, a, c) - 1 AS pos, is_new FROM b")
     return S
 
 

@@ -18,7 +18,7 @@ from ..operators import columns as cols
 from ..operators import incremental as inc
 from ..operators import reports
 from ..operators.categorical import with_category
-from ..operators.classify import RuleExtractor, RuleScorer, classify, extract, processing_status
+from ..operators.classify import RuleExtractor, RuleScorer, classify, extract, processing_status, update_labels
 from ..operators.validate import ColumnSpec, FLOAT, INTEGER, TEXT, column_report, validate
 from ..sources.tables import table
 
@@ -106,11 +106,15 @@ def content_attach_left(spark, sf):
     return out.select("doc_id", "url", F.md5("content").alias("content_md5"), "is_news")
 
 
+def _first_turns(spark, sf):
+    """The first turn of every conversation, as the context of a document."""
+    c = inc.first_per_key(_t(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id", ["turn"])
+    return c.select(F.col("conv_id").alias("doc_id"), F.col("text").alias("context"))
+
+
 def content_priority(spark, sf):
     d = _t(spark, sf, "documents")
-    c = _t(spark, sf, "conversations").filter(F.col("turn") == 0).select(
-        F.col("conv_id").alias("doc_id"), F.col("text").alias("context"))
-    j = d.join(c, "doc_id", "left")
+    j = d.join(_first_turns(spark, sf), "doc_id", "left")
     chosen = inc.content_for_classification(F.col("text"), F.col("context"))
     src = (F.when(F.nullif(py_strip("text"), F.lit("")).isNotNull(), F.lit("content"))
            .when(F.nullif(py_strip("context"), F.lit("")).isNotNull(), F.lit("context")))
@@ -165,7 +169,7 @@ def integrity_report(spark, sf):
 
 
 def _processed_documents(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
+    d = _t(spark, sf, "documents").select("doc_id", "source", F.col("text").alias("content"))
     c = classify(d, RuleScorer(RELEVANCE_PATTERN))
     return extract(c, RuleExtractor(EXTRACT_FIELDS), [f for f, _ in EXTRACT_FIELDS])
 
@@ -185,8 +189,9 @@ def three_way_output(spark, sf):
 def fetch_summary(spark, sf):
     p = _t(spark, sf, "pages")
     t = p.select("url", "html", html.article_text("html").alias("txt"))
+    # content of the earlier crawl (the plain http pages), not what this fetch found
     t = t.select(html.fetch_status(predicates.is_platform("url"), F.col("html"), F.col("txt")).alias("scrape_status"),
-                 predicates.has_content("txt").alias("had_content"))
+                 (predicates.has_content("txt") & F.col("url").startswith("http://")).alias("had_content"))
     return reports.fetch_summary(t)
 
 
@@ -462,15 +467,61 @@ def classify_update(spark, sf):
     the first conversation turn; no content -> null label."""
     d = _t(spark, sf, "documents").select("doc_id", "text")
     lab = _t(spark, sf, "labels").select("doc_id", F.col("quality").alias("is_news"))
-    conv = _t(spark, sf, "conversations").filter(F.col("turn") == 0).select(
-        F.col("conv_id").alias("doc_id"), F.col("text").alias("context"))
-    t = d.join(lab, "doc_id", "left").join(conv, "doc_id", "left")
-    content = inc.content_for_classification(F.col("text"), F.col("context"))
-    label_scored = F.when(content.isNull(), F.lit(None).cast("int")).otherwise(
-        model.label_from_reply(RuleScorer(RELEVANCE_PATTERN).reply_expr(content)))
-    new_label = F.when(predicates.is_labelled("is_news"), F.col("is_news")).otherwise(label_scored)
-    return t.select("doc_id", new_label.alias("is_news"),
-                    predicates.is_labelled("is_news").alias("was_labelled"))
+    t = d.join(lab, "doc_id", "left").join(_first_turns(spark, sf), "doc_id", "left")
+    out = update_labels(t, RuleScorer(RELEVANCE_PATTERN), "text")
+    return out.select("doc_id", "is_news", (F.col("label_status") == "skipped").alias("was_labelled"))
+
+
+def article_labels(spark, sf):
+    """Articles with their last ok content, labelled; no valid content, no label."""
+    from .run import run_article_labels
+    d = _t(spark, sf, "documents")
+    urls_t = d.join(_t(spark, sf, "labels"), "doc_id").select(
+        F.col("source").alias("url"), F.col("doc_id").alias("pos"), F.col("lang").alias("context"), F.col("quality").alias("is_news"))
+    out = run_article_labels(_articles(d), urls_t, RuleScorer(RELEVANCE_PATTERN))
+    return out.select("url", "context", "is_news", F.md5("content").alias("content_md5"))
+
+
+def update_summary(spark, sf):
+    lab = _t(spark, sf, "labels")
+    before = lab.select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("quality")).alias("is_news"))
+    after = lab.select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("quality")).alias("is_news"))
+    return reports.update_summary(before, after, "doc_id")
+
+
+def content_summary(spark, sf):
+    d = _t(spark, sf, "documents").join(_t(spark, sf, "labels"), "doc_id", "left")
+    return reports.content_summary(d.select(
+        F.col("text").alias("content"), F.col("quality").alias("is_news"), (F.col("doc_id") % 100 / 100).alias("confidence"),
+        F.when(F.col("doc_id") % 3 == 0, "fallback").otherwise("local").alias("method_used"),
+        F.when(F.col("doc_id") % 7 == 0, "timeout").alias("error_details")))
+
+
+def live_coercion(spark, sf):
+    """Extracted texts typed as a run does it: fractions are no integers, floats
+    are not rounded, what cannot be typed is null and named."""
+    from .run import coerce_fields
+    e = _t(spark, sf, "events")
+    u = F.col("user_id").cast("string")
+    n = F.when(F.col("user_id") % 4 == 0, u).when(F.col("user_id") % 4 == 1, F.concat(u, F.lit(".9"))).when(
+        F.col("user_id") % 4 == 2, F.lit("abc")).otherwise(F.concat(u, F.lit(".0")))
+    f = F.when(F.col("user_id") % 3 == 0, F.concat(u, F.lit(".65"))).when(F.col("user_id") % 3 == 1, F.lit("n/a"))
+    out = coerce_fields(e.select("event_id", n.alias("n"), f.alias("f")), {"n": "integer", "f": "float"})
+    return out.select("event_id", "n", "f", F.element_at("raw_fields", F.lit("n")).alias("n_raw"),
+                      F.array_join("coercion_errors", ",").alias("errors"))
+
+
+def collect_links(spark, sf):
+    """Links of alert mails put before the links known already."""
+    from .run import collect_links as run
+    p = _t(spark, sf, "pages")
+    at = lambda host, n, path: F.concat(F.lit(f"https://{host}"), (F.col("page_id") % n).cast("string"), F.lit(f".example.com/{path}"))
+    a, b = at("n", 97, "a"), at("m", 53, "b")
+    mails = p.select(F.col("page_id").alias("msg_pos"), F.concat(
+        F.lit('<a href="'), a, F.lit('">a</a><a href="https://www.google.com/alerts/remove">x</a><a href="/rel">r</a><a href="'),
+        b, F.lit('">b</a>')).alias("html"))
+    existing = p.filter(F.col("page_id") % 10 == 0).select(a.alias("url"), F.col("page_id").alias("pos"))
+    return run(mails, existing).select("url", "pos", "is_new")
 
 
 # ---------------------------------------------------------------- the incremental run
@@ -515,7 +566,7 @@ def article_refetch(spark, sf):
 def heat_conform(spark, sf):
     """Processed documents in the ordered 39-column output form."""
     from ..operators.validate import HEAT_SPECS, conform
-    d = _processed_documents(spark, sf).join(_t(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    d = _processed_documents(spark, sf)
     staged = d.filter(F.col("is_relevant") == 1).select(
         F.col("doc_id").cast("double").alias("ที่"), F.col("source").alias("ที่มาสื่อออนไลน์"),
         F.col("first_word").alias("หมายเหตุ"))
@@ -573,6 +624,11 @@ QUERIES = {
     "label_parse": label_parse,
     "prompt_render": prompt_render,
     "classify_update": classify_update,
+    "article_labels": article_labels,
+    "update_summary": update_summary,
+    "content_summary": content_summary,
+    "live_coercion": live_coercion,
+    "collect_links": collect_links,
     "incremental_run": incremental_run,
     "consistency": consistency,
     "article_refetch": article_refetch,

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import booleans, dates, numbers, times
+from ..functions import model as model_functions
 from ..functions.common import py_strip
 from ..operators import incremental as inc
 from ..operators import reports
@@ -34,22 +35,45 @@ class RunSettings:
     field_types: dict = field(default_factory=dict)   # name -> integer/float/boolean/date/time/text
     classify_template: str | None = None
     extract_template: str | None = None
+    extract_slots: dict = field(default_factory=dict)  # the extraction template's slots besides content
+    base_enabled: bool = True          # False: every input row is new and no base is written
     run_ts: str = "1970-01-01 00:00:00"
     as_of: str | None = None
 
+    @classmethod
+    def from_config(cls, config, **more) -> "RunSettings":
+        """Settings of a RunConfig: key, mode, base switch, enabled fields with
+        their types, templates and the extraction template's slots."""
+        columns = config.enabled_columns()
+        return cls(**{
+            "key": config.key, "mode": config.mode, "skip_processed": config.skip_processed, "base_enabled": config.base_enabled,
+            "fields": tuple(c["name"] for c in columns), "field_types": {c["name"]: c.get("data_type", "text") for c in columns},
+            "classify_template": config.prompt("classification").get("user_template"),
+            "extract_template": config.prompt("extraction").get("user_template"),
+            "extract_slots": {"fields_description": model_functions.fields_description(columns),
+                              "example_json": model_functions.example_json(columns)}} | more)
+
 
 def coerce_fields(df: DataFrame, types: dict, as_of=None) -> DataFrame:
     """Typed copies of extracted text fields (per row: a bad value is null,
-    never the whole column)."""
-    out = df
+    never the whole column). ``raw_fields`` keeps the texts of the fields that
+    had one, ``coercion_errors`` names those that could not be typed."""
+    names = [n for n in types if n in df.columns]
+    if not names:
+        return df
+    raw = F.map_filter(F.create_map(*[x for n in names for x in (F.lit(n), F.col(f"`{n}`").cast("string"))]),
+                       lambda _, v: v.isNotNull() & (py_strip(v) != ""))
+    out = df.withColumn("raw_fields", raw)
     for name, t in types.items():
         if name not in df.columns:
             continue
         c = F.col(f"`{name}`")
         if t == "integer":
-            out = out.withColumn(name, numbers.integer_result(c, words=False)["value"])
+            # a fraction is an error here, not a whole number
+            whole = numbers.parsed_number(c)
+            out = out.withColumn(name, F.when(whole == F.floor(whole), numbers.integer_result(c, words=False)["value"]))
         elif t == "float":
-            out = out.withColumn(name, numbers.float_result(c)["value"])
+            out = out.withColumn(name, numbers.parsed_number(c))      # not rounded
         elif t == "boolean":
             out = out.withColumn(name, booleans.live_boolean(c))
         elif t == "date":
@@ -58,7 +82,8 @@ def coerce_fields(df: DataFrame, types: dict, as_of=None) -> DataFrame:
             out = out.withColumn(name, times.time_result(c)["value"])
         else:
             out = out.withColumn(name, py_strip(c))
-    return out
+    bad = [F.when(F.map_contains_key("raw_fields", F.lit(n)) & F.col(f"`{n}`").isNull(), F.lit(n)) for n in names]
+    return out.withColumn("coercion_errors", F.filter(F.array(*bad), lambda x: x.isNotNull()))
 
 
 def process(input_df: DataFrame, base: DataFrame | None, classifier, extractor,
@@ -67,7 +92,7 @@ def process(input_df: DataFrame, base: DataFrame | None, classifier, extractor,
     outcomes = reports.FINAL_OUTCOMES if s.retry_unfinished else None
     new = inc.new_rows(input_df, base, s.key, s.skip_processed, s.mode, outcomes)
     c = classify(new, classifier, "content", s.classify_template)
-    x = extract(c, extractor, list(s.fields), "content", s.extract_template)
+    x = extract(c, extractor, list(s.fields), "content", s.extract_template, slots=s.extract_slots)
     x = coerce_fields(x, s.field_types, s.as_of)
     x = x.withColumn("processing_status", processing_status(F.col("is_relevant")))
     return sinks.with_run_columns(x, s.run_ts)
@@ -79,7 +104,7 @@ def run_incremental(spark: SparkSession, input_df: DataFrame, out_root: str, cla
     was nothing new (outputs are then left as they are)."""
     base_path = os.path.join(out_root, "base")
     fs, p, _ = sinks._fs(spark, base_path)
-    base = spark.read.option("mergeSchema", True).parquet(base_path) if fs.exists(p) else None
+    base = spark.read.option("mergeSchema", True).parquet(base_path) if s.base_enabled and fs.exists(p) else None
     processed = process(input_df, base, classifier, extractor, s)
     # the processed rows are written once; nothing new -> nothing published
     filled_path = sinks.write_version(processed, out_root, "filled", publish_empty=False)
@@ -87,15 +112,19 @@ def run_incremental(spark: SparkSession, input_df: DataFrame, out_root: str, cla
         return None
     filled = spark.read.parquet(filled_path)
     sinks.write_version(filled.filter(F.col("is_relevant") == 1), out_root, "heat")
-    sinks.append_rows(filled, base_path)
+    if s.base_enabled:
+        sinks.append_rows(filled.withColumn("batch_id", F.lit(f"run-{os.path.basename(filled_path)}")), base_path)
     return reports.run_summary(filled, total_input=input_df)
 
 
 def run_article_labels(articles: DataFrame, urls_t: DataFrame, classifier) -> DataFrame:
-    """Article-to-label run: attach the last ok content to each URL, label the
-    valid ones with the classifier (invalid -> 0)."""
-    joined = inc.attach_content_inner(articles, urls_t)
-    return classify(joined, classifier, "content", out="is_news").drop("outcome")
+    """Article-to-label run: attach the last ok content to each URL and label
+    the valid ones with the classifier; invalid content and failed calls give a
+    null label. ``context`` is kept."""
+    joined = inc.attach_content_inner(articles, urls_t).drop("is_news")
+    labelled = classify(joined, classifier, "content", out="is_news")
+    done = F.col("outcome").isin(reports.OUTCOME_IRRELEVANT, "relevant")
+    return labelled.withColumn("is_news", F.when(done, F.col("is_news"))).drop("outcome")
 
 
 def collect_links(mails: DataFrame, existing: DataFrame) -> DataFrame:
@@ -113,14 +142,18 @@ def collect_links(mails: DataFrame, existing: DataFrame) -> DataFrame:
 def refetch_missing(articles: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:
     """Fill content only where it is missing: rows that already have content
     are kept as they are; the others take the article text of their page
-    (left join on the URL) and a fetch status. Adds ``had_content``."""
+    (left join on the URL) and a fetch status. Adds ``had_content``. Of several
+    page rows of a URL the largest article text counts, so no row multiplies;
+    the html is reduced to its text before the join."""
     from ..functions import html, predicates
     flagged = articles.withColumn("had_content", predicates.has_content("content"))
-    kept = flagged.filter(F.col("had_content"))
-    todo = flagged.filter(~F.col("had_content")).drop("content", "scrape_status")
-    fetched = todo.join(pages.select(key, "html"), key, "left")
-    fetched = fetched.withColumn("content", html.article_text("html"))
-    fetched = fetched.withColumn("scrape_status", html.fetch_status(
-        predicates.is_platform(key), F.col("html"), F.col("content"))).drop("html")
-    fetched = fetched.withColumn("content", F.when(F.col("scrape_status") == "ok", F.col("content")))
-    return kept.unionByName(fetched)
+    texts = pages.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), (F.col("html").isNotNull() & (F.col("html") != "")).alias("_page"),
+                                                       html.article_text("html").alias("_text"))
+    texts = texts.groupBy("_key").agg(F.max("_page").alias("_page"), F.max("_text").alias("_text"))
+    wanted = F.when(~F.col("had_content"), F.col(key))           # rows that have content look nothing up
+    fetched = flagged.join(texts, wanted == F.col("_key"), "left")
+    page = F.when(F.coalesce(F.col("_page"), F.lit(False)), F.lit("<page>"))
+    status = html.fetch_status(predicates.is_platform(key), page, F.coalesce("_text", F.lit("")))
+    fetched = fetched.withColumn("scrape_status", F.when(F.col("had_content"), F.col("scrape_status")).otherwise(status))
+    return fetched.withColumn("content", F.when(F.col("had_content"), F.col("content")).when(
+        F.col("scrape_status") == "ok", F.col("_text"))).drop("_key", "_page", "_text")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,14 +65,18 @@ def write_version(df: DataFrame, root: str, name: str, partition_by=(), verify:
     while fs.exists(jvm.org.apache.hadoop.fs.Path(p, f"version={n}")):
         n += 1   # skip an unpublished (failed) attempt
     path = os.path.join(root, name, f"version={n}")
-    w = df.write.mode("errorifexists")
+    # rows that entered the write are counted while it runs and compared with what can be read back
+    from pyspark.sql import Observation
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     if verify or not publish_empty:
         written = spark.read.parquet(path).count()
-        if expected_rows is not None and written != expected_rows:
-            raise IOError(f"{name}: wrote {written} rows, expected {expected_rows}")
+        for expected in (seen.get["n"], expected_rows):
+            if expected is not None and written != expected:
+                raise IOError(f"{name}: wrote {written} rows, expected {expected}")
         if written == 0 and not publish_empty:
             return None
     out = fs.create(jvm.org.apache.hadoop.fs.Path(path, MARKER), True)
@@ -88,9 +93,13 @@ def truncate_table(spark: SparkSession, root: str, name: str) -> str:
     return write_version(cur.limit(0), root, name, expected_rows=0)
 
 
-def append_rows(df: DataFrame, path: str, partition_by=("run_date",)) -> None:
-    """Append to an append-only table (the cumulative base)."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+def append_rows(df: DataFrame, path: str, partition_by=("run_date", "batch_id")) -> None:
+    """Add a batch to the base. The rows carry the batch's own ``batch_id``;
+    its partition is written as a whole, so a batch that is replayed replaces
+    what its first try wrote, and other batches are never touched (they are the
+    snapshots of the base: dropping a batch's folders undoes it)."""
+    df.withColumn("batch_id", F.col("batch_id").cast("string")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def with_run_columns(df: DataFrame, run_ts: str) -> DataFrame:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -39,7 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (unit tests) a folder is created.
+    as is. Where it is unset, a folder is created on a local master (tests)
+    and an error raised on any other: a machine-local folder would be lost.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if current:
@@ -47,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="newsledger-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
@@ -56,3 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a new table in the shared folder and read back.
+    Whatever is derived from it sees the same rows, also after lost executors."""
+    spark = df.sparkSession
+    path = work_path(spark, "staged", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

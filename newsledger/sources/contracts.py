@@ -68,31 +68,62 @@ def resolve_url_column(df: DataFrame, aliases=URL_ALIASES) -> DataFrame:
     raise ContractError("no URL-like column found (expected url/link/href)")
 
 
-def _csv(spark: SparkSession, encoding: str):
-    return (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
+def _csv(spark: SparkSession, encoding: str, multiline: bool):
+    return (spark.read.option("header", True).option("multiLine", multiline).option("quote", '"')
             .option("escape", '"').option("mode", "PERMISSIVE").option("encoding", encoding))
 
 
-def detect_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless some line is not valid UTF-8, then latin-1. A distributed
-    scan that stops at the first bad line; nothing is collected but a count."""
-    bad = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1).count()
-    return "iso-8859-1" if bad else "UTF-8"
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """Data files behind a path, folder or glob on any file system Spark reads
+    (file names only; none if nothing is there)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for found in fs.globStatus(p) or []:
+        inner = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
+        out += [f.getPath().toString() for f in inner if f.isFile() and f.getPath().getName()[0] not in "._"]
+    return sorted(out)
+
+
+def not_utf8(spark: SparkSession, files: list[str]) -> list[str]:
+    """The files with a line that is not valid UTF-8: one distributed scan,
+    reduced to file names."""
+    from urllib.parse import unquote
+    rows = spark.read.text(files).select(F.input_file_name().alias("f"), "value")
+    bad = {unquote(r["f"]) for r in rows.where(~F.is_valid_utf8("value")).select("f").distinct().collect()}
+    plain = {f: f.split(":", 1)[-1].lstrip("/") for f in files}
+    ends = {b.split(":", 1)[-1].lstrip("/") for b in bad}
+    return [f for f in files if plain[f] in ends]
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, required=(),
-                   encoding: str | None = None) -> DataFrame:
-    """Read a CSV under a contract: header names checked against ``required``,
-    known columns typed from ``schema`` (never inferred), optional ones added."""
-    enc = encoding or detect_encoding(spark, path)
-    header = _csv(spark, enc).csv(path).columns   # reads the header line only
-    if not header:
-        raise ContractError(f"empty table: {path}")
-    present = T.StructType([next((f for f in schema.fields if f.name == h), T.StructField(h, T.StringType()))
-                            for h in header])
-    df = _csv(spark, enc).schema(present).csv(path)
-    require_columns(df, required)
-    return ensure_columns(df, schema)
+                   encoding: str | None = None, multiline: bool = True) -> DataFrame:
+    """Read CSV files under a contract: header names checked against ``required``,
+    known columns typed from ``schema`` (never inferred), optional ones added.
+    Without ``encoding`` each file is UTF-8, or latin-1 if it is not valid
+    UTF-8. ``multiline`` off lets Spark split large files that have no line
+    breaks inside values."""
+    files = files_of(spark, path)
+    if not files:
+        raise ContractError(f"no such table: {path}")
+    if encoding:
+        groups = [(encoding, files)]
+    else:
+        latin = set(not_utf8(spark, files))
+        groups = [("UTF-8", [f for f in files if f not in latin]), ("iso-8859-1", [f for f in files if f in latin])]
+    out = None
+    for enc, part in groups:
+        if not part:
+            continue
+        header = _csv(spark, enc, multiline).csv(part).columns   # reads the header line only
+        if not header:
+            raise ContractError(f"empty table: {path}")
+        present = T.StructType([next((f for f in schema.fields if f.name == h), T.StructField(h, T.StringType()))
+                                for h in header])
+        df = ensure_columns(require_columns(_csv(spark, enc, multiline).schema(present).csv(part), required), schema)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 def read_article_table(spark: SparkSession, path: str, **kw) -> DataFrame:
@@ -100,8 +131,7 @@ def read_article_table(spark: SparkSession, path: str, **kw) -> DataFrame:
 
 
 def read_url_table(spark: SparkSession, path: str | None, **kw) -> DataFrame:
-    """URL table; an empty typed table when the path is missing."""
-    import os
-    if path is None or not os.path.exists(path):
+    """URL table; an empty typed table when nothing is at the path."""
+    if path is None or not files_of(spark, path):
         return spark.createDataFrame([], URL_TABLE)
     return read_csv_table(spark, path, URL_TABLE, URL_REQUIRED, **kw)

@@ -11,42 +11,17 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Inputs smaller than this are left as read (spreading them costs more than it saves).
-SPREAD_MIN_BYTES = 1 << 20
+#: Optional session setting: partitions for tables that come as one file (a file
+#: of one row group is read by one task). Off unless set; see bench.py.
+PARTITIONS_CONF = "spark.newsledger.tablePartitions"
 
 
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def spread(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Give an under-partitioned input as many partitions as there are task
-    slots (round-robin; filters and column pruning still reach the scan).
-
-    A file written as one row group is read by one task however large it is;
-    every per-row cleaning step after it would then run on one core. Large
-    tables made of many files already have enough partitions and are left
-    untouched, so this adds no shuffle at scale."""
-    spark = df.sparkSession
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()      # plans the scan, reads no data
-    except Exception:                          # e.g. a Spark Connect session: leave the input as read
-        return df
-    if parts >= slots:
-        return df
-    if path is not None and _input_bytes(spark, path) < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(slots)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    """Read one parquet table; Catalyst prunes columns and pushes filters."""
+def table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """Read one parquet table; Catalyst prunes columns and pushes filters.
+    ``partitions`` (or the session setting) deals the rows out anew, which only
+    small test tables of one file need."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    return spread(df, path) if spread_rows else df
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    partitions = partitions or int(spark.conf.get(PARTITIONS_CONF, "0"))
+    return df.repartition(partitions) if partitions else df

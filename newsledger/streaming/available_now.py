@@ -6,40 +6,65 @@ is anti-joined against the base table, processed, and appended to the base
 ``Trigger.AvailableNow`` the query drains whatever files exist and stops -
 the streaming equivalent of re-running the batch job. The source checkpoint
 records which files were consumed, so a restarted job neither skips nor
-repeats a file; a batch that failed half-way is re-run and its rows are
-skipped by the anti-join if they reached the base.
+repeats a file. A batch that failed half-way is re-run with its old number: it
+does not see its own earlier rows in the base and replaces them, so it leaves
+the same rows as if it had run once. Of rows of one key in a batch the first by
+value is processed; rows without a key all are.
 """
 
 from __future__ import annotations
 
 import os
+from dataclasses import replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.incremental import first_per_key
 from ..plans import run as runmod
 from ..plans import sinks
-from ..session import ensure_checkpoint_dir
+from ..session import staged
+
+
+def drop_batch(spark: SparkSession, base_path: str, run: str) -> None:
+    """Remove what an earlier try of this batch wrote (under whatever date)."""
+    fs, _, jvm = sinks._fs(spark, base_path)
+    for found in fs.globStatus(jvm.org.apache.hadoop.fs.Path(base_path, f"run_date=*/batch_id={run}")) or []:
+        fs.delete(found.getPath(), True)
 
 
 def start(spark: SparkSession, input_dir: str, schema: T.StructType, out_root: str, classifier,
-          extractor, settings: runmod.RunSettings, checkpoint: str | None = None,
+          extractor, settings: runmod.RunSettings, checkpoint: str,
           max_files_per_trigger: int | None = None, fmt: str = "parquet"):
-    """Start the available-now query; returns the StreamingQuery."""
+    """Start the available-now query; returns the StreamingQuery. ``checkpoint``
+    must be a lasting shared folder: without it a restart would read all files
+    again. Each batch is stamped with its own start time unless the settings
+    name a fixed ``run_ts``."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(input_dir)
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", "incremental_run")
+    fixed = settings.run_ts != runmod.RunSettings.run_ts
     base_path = os.path.join(out_root, "base")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        s = runmod.RunSettings(**{**settings.__dict__, "run_ts": settings.run_ts})
-        fs, p, _ = sinks._fs(batch.sparkSession, base_path)
-        base = batch.sparkSession.read.option("mergeSchema", True).parquet(base_path) if fs.exists(p) else None
-        processed = runmod.process(batch, base, classifier, extractor, s)
-        sinks.append_rows(processed.withColumn("batch_id", F.lit(batch_id)), base_path)
+        now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        s = replace(settings, run_ts=settings.run_ts if fixed else now)
+        run = str(batch_id)
+        session = batch.sparkSession
+        fs, p, _ = sinks._fs(session, base_path)
+        base = session.read.option("mergeSchema", True).parquet(base_path).where(
+            F.coalesce(F.col("batch_id").cast("string") != run, F.lit(True))) if s.base_enabled and fs.exists(p) else None
+        keyed = batch.where(F.col(s.key).isNotNull())
+        others = [c for c in batch.columns if c != s.key]
+        rows = first_per_key(keyed, s.key, others).unionByName(batch.where(F.col(s.key).isNull()))
+        # one stored table: the model is called once per row, also if the append is tried again
+        processed = staged(runmod.process(rows, base, classifier, extractor, s).withColumn("batch_id", F.lit(run)), "batch")
+        if fs.exists(p):
+            drop_batch(session, base_path, run)
+        sinks.append_rows(processed, base_path)
 
-    return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt)
+    return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -52,7 +52,7 @@ def test_attach_content(spark):
     urls_t = spark.createDataFrame([("u1", 1, 1), ("u1", 2, 0), ("u2", 3, 1), ("u4", 4, 1)],
                                    "url string, pos int, is_news int")
     inner = dict((r[0], (r[1], r[2])) for r in rows(inc.attach_content_inner(art, urls_t)))
-    assert inner == {"u1": ("second text here", 1), "u2": ("short", 1)}
+    assert inner == {"u1": ("second text here", 1), "u2": ("short", None)}    # invalid content clears the label
     left = sorted(rows(inc.attach_content_left(urls_t, art).select("url", "pos", "is_news")), key=lambda r: r[1])
     assert left == [("u1", 1, 1), ("u1", 2, 0), ("u2", 3, None), ("u4", 4, None)]
 

@@ -39,8 +39,8 @@ def test_python_model_with_retry(spark):
     c = classify(df, flaky)
     assert sorted(r["is_relevant"] for r in c.collect()) == [0, 0, 0, 1, 1, 1]
     fails = lambda batch: (_ for _ in ()).throw(RuntimeError("down"))
-    replies, err, attempts = call_with_retry(fails, ["a"], max_retries=2, delay=0.0, sleep=lambda s: None)
-    assert replies is None and "down" in err and attempts == 3
+    replies, err, attempts = call_with_retry(fails, "a", max_retries=2, delay=0.0, sleep=lambda s: None)
+    assert replies is None and "down" in err and attempts == 2
     assert calls["n"] == 0
 
 
