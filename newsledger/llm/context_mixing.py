@@ -1,8 +1,8 @@
 """Language-model scoring by logistic context mixing over bits.
 
 A text is predicted byte by byte, each byte as eight bits from the top, and an
-end byte closes it. For every bit six hashed contexts (the last 1, 2, 3, 4 and
-6 bytes and the bytes of the current word so far) look up how often the bit was
+end byte closes it. For every bit five hashed contexts (the last 2, 3, 4 and 6
+bytes and the bytes of the current word so far) look up how often the bit was
 1 and 0 after them; the logits of these counts are inputs of a mixer whose
 weights are the sum of two gated sets: one chosen by the bit's place and how
 often the two longest contexts were seen, one by the byte's bits known so far. A refinement table (same gate, 33 steps of the mixed probability) maps
@@ -46,14 +46,14 @@ from pyspark.sql import functions as F
 
 from .common import hashed_id, stored
 
-ORDERS = (1, 2, 3, 4, 6, 0)               # 0: the current word
-LOG2 = (16, 18, 20, 21, 22, 22)           # slots of each table
+ORDERS = (2, 3, 4, 6, 0)                  # 0: the current word
+LOG2 = (18, 20, 21, 22, 22)               # slots of each table
 DEPTH = 6                                 # bytes of context
 CHUNK = 2048                              # slots that travel together
 STEPS = 33
 GATES = 128                               # 8 places of the bit x how often the two longest contexts were seen
 NODES = 256                               # a second gate: the bits of the byte already known
-GATING = (4, 5)                           # their tables
+GATING = (3, 4)                           # their tables
 FREQUENT = 2_000_000
 SLICE = 1 << 22                           # bytes looked at at once
 CACHE = 22                                # log2 of remembered windows (12 bytes each)
@@ -110,7 +110,7 @@ def tally(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarra
     return keys[first], n
 
 
-def tallies(texts: Iterator[list[bytes]], most: int = 1 << 23) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def tallies(texts: Iterator[list[bytes]], most: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Tallied windows of many texts, at most about ``most`` at once."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     for group in texts:
@@ -127,7 +127,7 @@ def tallies(texts: Iterator[list[bytes]], most: int = 1 << 23) -> Iterator[tuple
 
 
 def contexts(keys: np.ndarray) -> list[np.ndarray]:
-    """Hash of each of the six contexts."""
+    """Hash of each of the contexts."""
     before = keys >> np.uint64(8)
     word = np.zeros_like(before)
     open_ = np.ones(len(keys), bool)
@@ -272,7 +272,8 @@ def token_counts(texts: DataFrame, most: int = 1 << 18) -> DataFrame:
             held.clear()
         for b in batches:
             for t in b.column(0):
-                held.update(tokens(t.as_py().encode()))
+                text = t.as_py().encode()
+                held.update(text.lower().split() if len(text) <= SLICE else tokens(text))
                 held[b""] += 1
                 if len(held) > most:
                     yield from out()
