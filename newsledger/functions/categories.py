@@ -79,7 +79,6 @@ SUBDISTRICT_PREFIX = rf"(?U)^(ต\.|ตำบล){WS_U}*"
 FUZZY_CUTOFF = 0.6
 PARTIAL_MIN_CHARS = 3
 PARTIAL_MIN_SCORE = 0.3
-MAX_LITERAL_VOCABULARY = 5000
 
 
 @dataclass(frozen=True)
@@ -187,8 +186,6 @@ def category_result(c, vocab: Vocabulary, fuzzy_col: Column | None = None) -> Co
 
     ``fuzzy_col`` carries the fuzzy stage's answer when the caller computed it
     (see ``operators.categorical.with_category``)."""
-    if len(vocab.all_terms) > MAX_LITERAL_VOCABULARY:
-        raise ValueError("vocabulary too large for literal matching; use a vocabulary table join")
     raw = col_of(c).cast("string")
 
     def body(vals):
@@ -243,8 +240,9 @@ def _close_match_fn():
 
 
 def fuzzy_udf(vocab: Vocabulary):
-    """Vectorised helper: best fuzzy term per value (vocabulary bounded by
-    MAX_LITERAL_VOCABULARY, shipped with the function)."""
+    """Vectorised helper: best fuzzy term per value (the vocabulary is a list in
+    the code or config and is shipped with the function; a vocabulary that is a
+    table is matched by ``operators.categorical.with_vocabulary_table``)."""
     terms = tuple(vocab.all_terms)
     cutoff = vocab.cutoff
     close = _close_match_fn()

@@ -113,7 +113,7 @@ def strip_tracking_params(c) -> Column:
             F.split(query, "&"),
             lambda x: F.struct(
                 form_decode(F.substring_index(x, "=", 1)).alias("k"),
-                form_decode(F.substring(x, F.instr(x, "=") + 1, F.lit(1 << 30))).alias("v"),
+                form_decode(F.substring(x, F.instr(x, "=") + 1, F.length(x))).alias("v"),
                 (F.instr(x, "=") > 0).alias("has_eq"),
             ),
         )

@@ -86,6 +86,16 @@ SPARK_TYPES = {INTEGER: "bigint", FLOAT: "double", DATE: "date", TIME: "string",
                MULTICLASS: "string", TEXT: "string"}
 
 
+def vocabulary_of(spec: ColumnSpec) -> categories.Vocabulary:
+    """The vocabulary of a multiclass column."""
+    kw = {}
+    if spec.vocabulary is not None:
+        kw["terms"] = tuple(spec.vocabulary)
+    if spec.default is not None:
+        kw["default"] = spec.default
+    return categories.vocabulary_for(spec.name, **kw)
+
+
 def result_expr(spec: ColumnSpec, c, as_of=None, normalize_unicode: bool = True):
     """Result struct (value, is_valid, error, ...) for one column."""
     rng = spec.value_range
@@ -102,12 +112,8 @@ def result_expr(spec: ColumnSpec, c, as_of=None, normalize_unicode: bool = True)
         tv, fv = booleans.column_terms(spec.name)
         return booleans.boolean_result(c, tv + HEAT_TRUE_TERMS, fv + HEAT_FALSE_TERMS)
     if spec.data_type == MULTICLASS:
-        kw = {"fuzzy": False}
-        if spec.vocabulary is not None:
-            kw["terms"] = tuple(spec.vocabulary)
-        if spec.default is not None:
-            kw["default"] = spec.default
-        return categories.category_result(c, categories.vocabulary_for(spec.name, **kw))
+        # one expression, so without the fuzzy stage, which is an operator: validate runs it
+        return categories.category_result(c, vocabulary_of(spec))
     prof = text.profile_for(spec.name, normalize_unicode=normalize_unicode,
                             **({"max_length": spec.max_length} if spec.max_length else {}))
     res = text.text_result(c, prof)
@@ -140,11 +146,19 @@ def validate(df: DataFrame, specs, keep=(), as_of=None, normalize_unicode: bool
         elif s.data_type == DATE:
             lo, hi = rng or (2020, 2030)
             staged = staged_ops.with_date(staged, raw, f"_res{i}", lo, hi, as_of=as_of)
+        elif s.data_type == MULTICLASS:
+            from .categorical import with_category
+            staged = with_category(staged, f"_raw{i}", vocabulary_of(s), f"_res{i}")
         else:
             staged = staged.withColumn(f"_res{i}", result_expr(s, raw, as_of, normalize_unicode))
+    def error_of(i: int, s: ColumnSpec):
+        error = F.col(f"_res{i}.error")
+        missing = error.isNull() & F.col(f"_res{i}.value").isNull()
+        return F.when(missing, F.lit("required")).otherwise(error) if s.required else error
+
     errors = F.array(*[F.struct(F.lit(s.name).alias("column"), F.col(f"_raw{i}").alias("raw"),
-                                F.col(f"_res{i}.error").alias("error"),
-                                F.col(f"_res{i}.is_valid").alias("is_valid"),
+                                error_of(i, s).alias("error"),
+                                (F.col(f"_res{i}.is_valid") & error_of(i, s).isNull()).alias("is_valid"),
                                 F.col(f"_res{i}.value").isNull().alias("is_null"))
                        for i, s in enumerate(specs)]) if specs else F.array()
     return staged.select(

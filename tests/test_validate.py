@@ -55,3 +55,25 @@ def test_custom_spec(spark):
     df = spark.createDataFrame([("5",), ("500",)], "n string")
     v = validate(df, [ColumnSpec("n", "integer", (0, 120), clamp=True)])
     assert sorted(r[0] for r in rows(v.select("n"))) == [5, 120]
+
+
+def test_validate_runs_the_fuzzy_stage_and_required(spark):
+    from newsledger.functions.categories import PROVINCES
+    from newsledger.operators.validate import MULTICLASS, ColumnSpec, error_report, validate
+    specs = (ColumnSpec("จังหวัด", MULTICLASS), ColumnSpec("ชื่อ", required=True))
+    near = "เชียงไหม่"
+    df = spark.createDataFrame([(near, "x"), (None, " "), ("zzz", None)], "`จังหวัด` string, `ชื่อ` string")
+    v = validate(df, specs)
+    assert "เชียงใหม่" in PROVINCES and sorted(r["จังหวัด"] == "เชียงใหม่" for r in v.collect()) == [False, False, True]
+    assert [r["error"] for r in error_report(v).collect()] == ["required", "required"]
+
+
+def test_vocabulary_table(spark):
+    from newsledger.operators.categorical import with_vocabulary_table
+    terms = spark.createDataFrame([(f"term{i}", None, i) for i in range(6000)] + [("term1", "alias", 0), ("term2", "ALIAS", 1), ("term3", "term4", 9)],
+                                  "term string, synonym string, rank int")
+    df = spark.createDataFrame([("TERM5999 ",), ("alias",), ("term4",), (None,), ("",), ("other",)] + [("term1",)] * 50, "v string")
+    got = [tuple(r.c) for r in with_vocabulary_table(df, "v", terms, "c", default="?").collect()]
+    assert sorted(got) == sorted([("term5999", "exact"), ("term1", "synonym"), ("term3", "synonym"), ("?", "blank"), ("?", "blank"), ("?", "none")] + [("term1", "exact")] * 50)
+    strict = with_vocabulary_table(df, "v", terms, "c", case_sensitive=True).where("v = 'TERM5999 '").head()
+    assert strict.c.match_kind == "none"
