@@ -77,10 +77,25 @@ def _ymd(y, m, d):
     return F.struct(y.alias("y"), m.alias("m"), d.alias("d"))
 
 
-def with_date(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_year: int = 2030,
-              as_of=None, allow_future: bool = False, cutoff: int = dates.BUDDHIST_CUTOFF) -> DataFrame:
+def with_date(df: DataFrame, raw: Column, out: str, *rules, **named_rules) -> DataFrame:
     """Add ``out`` = STRUCT<value DATE, is_valid, error> (same rules as
-    ``functions.dates.date_result``), computed in stages."""
+    ``functions.dates.date_result``). Each distinct text is parsed once and
+    joined back: there are far fewer spellings of dates than rows."""
+    text, key = _tmp(out, "text"), _tmp(out, "key")
+    given = df.withColumn(text, raw.cast("string"))
+    parsed = date_stages(given.select(F.col(text).alias(key)).where(F.col(key).isNotNull()).distinct(), F.col(key), out, *rules, **named_rules)
+    none = _result(F.lit(None).cast("date"), F.lit(None).cast("string"))
+    # null texts match nothing and are spread over the tasks
+    spread = F.concat(F.lit("\u0000"), (F.monotonically_increasing_id() % 1024).cast("string"))
+    given = given.withColumn(text, F.coalesce(text, spread))
+    found = _tmp(out, "found")
+    joined = given.join(parsed.select(key, F.col(out).alias(found)), F.col(text) == F.col(key), "left")
+    return joined.withColumn(out, F.coalesce(found, none)).drop(text, key, found)
+
+
+def date_stages(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_year: int = 2030,
+                as_of=None, allow_future: bool = False, cutoff: int = dates.BUDDHIST_CUTOFF) -> DataFrame:
+    """The parse itself for every row of ``df``, in stages."""
     T = lambda k: _tmp(out, k)
     I = dates._int
     rawc = raw.cast("string")
@@ -152,12 +167,9 @@ def with_date(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_ye
 
 
 def with_nfkc(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Add ``out`` = Unicode NFKC of ``column``. Only rows with a non-ASCII
-    character go through the Python helper (ASCII text is already in NFKC);
-    the two halves are unioned back."""
+    """Add ``out`` = Unicode NFKC of ``column``. Texts of ASCII characters are in
+    NFKC already and are sent to the Python helper as nulls; the input is read once."""
     from ..functions.text import nfkc
     c = F.col(column)
-    non_ascii = F.coalesce(c.rlike(r"[^\x00-\x7F]"), F.lit(False))
-    plain = df.filter(~non_ascii).withColumn(out, c)
-    other = df.filter(non_ascii).withColumn(out, nfkc(c))
-    return plain.unionByName(other)
+    sent = F.when(F.octet_length(c) != F.char_length(c), c)
+    return df.withColumn(out, F.coalesce(nfkc(sent), c))
