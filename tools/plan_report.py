@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from newsledger.plans.queries import QUERIES  # noqa: E402
 from newsledger.session import local_session  # noqa: E402
 
 
@@ -27,7 +27,7 @@ def main():
           "broadcasts below are static estimates).\n")
     print("| query | exchanges | joins | aggregates | python | scans (columns read; pushed filters) |")
     print("|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, sf).explain("formatted")
