@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 BLOCK = 1 << 16               # matches encoded at once
 SHORT = 1 << 18               # characters of a text that is split in one go
-REMEMBERED = 1 << 19          # matches kept by a worker (about 100 MB)
+REMEMBERED = 1 << 18          # matches kept by a worker (about 60 MB)
 
 
 def byte_chars() -> list[str]:
@@ -82,7 +82,8 @@ class Coder:
         for t, r in ranks.items():
             self.bytes[r] = t
         self.names = [str(i) for i in range(size)]
-        self.known: dict[str, list[int]] = {}
+        self.numbers = list(range(size))                # one object per id, shared by all remembered matches
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def blocks(self, text: str) -> Iterator[list[str]]:
         """The matches of a text, at most ``BLOCK`` at a time if it is long."""
@@ -99,7 +100,8 @@ class Coder:
             if len(self.known) + len(new) > REMEMBERED:
                 self.known.clear()
                 new = list(set(matches))
-            self.known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False))))
+            coded = self.tokenizer.encode_batch(new, add_special_tokens=False)
+            self.known.update(zip(new, (tuple([self.numbers[i] for i in e.ids]) for e in coded)))
         return chain.from_iterable(map(self.known.__getitem__, matches))
 
     def ids(self, text: str) -> list[int]:

@@ -173,11 +173,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, id_
         for b in batches:
             for row in range(b.num_rows):
                 at, n = counts(b.column(2)[row].as_py(), log2)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, 1), b.column(1).slice(row, 1), pa.array([at], pa.list_(pa.int64())),
-                                                  pa.array([n], pa.list_(pa.int64()))], ["id", "label", "at", "n"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, 1), b.column(1).slice(row, 1), pa.array([at], pa.list_(pa.int32())),
+                                                  pa.array([n], pa.list_(pa.int32()))], ["id", "label", "at", "n"])
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(b.column(1)[i].as_py(), np.array(b.column(2)[i].values), np.array(b.column(3)[i].values), b.column(0)[i].as_py())
+        rows = [(b.column(1)[i].as_py(), b.column(2)[i].values.to_numpy(), b.column(3)[i].values.to_numpy(), b.column(0)[i].as_py())
                 for b in batches for i in range(b.num_rows)]
         rows.sort(key=lambda r: (r[3], r[0], len(r[1]), r[2].sum()))   # whatever order tasks ended in
         kinds = {r[0] for r in rows}
@@ -192,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, id_
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     sample = texts.join(F.broadcast(some), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-    rows = sample.mapInArrow(hashed, f"id {kind}, label int, at array<bigint>, n array<bigint>")
+    rows = sample.mapInArrow(hashed, f"id {kind}, label int, at array<int>, n array<int>")
     found = rows.repartition(1).mapInArrow(fitted, "table binary, constant double").head()
     if found is None or found.table is None:
         return Model(None, log2, 0.5 if found is None else found.constant)
@@ -204,10 +204,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     shared = docs.sparkSession.sparkContext.broadcast(model)
     carry = docs.columns if carry is None else carry
 
+    given = docs.select(*carry, *([] if text_col in carry else [text_col]))
+    at = given.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p = shared.value.scores(b.column(b.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p)], [*carry, out])
-    given = docs.select(*carry, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
+            p = shared.value.scores([t or "" for t in b.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(carry)], pa.array(p)], [*carry, out])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:len(carry)])
     return given.mapInArrow(run, f"{schema}, `{out}` double")
