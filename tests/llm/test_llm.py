@@ -263,6 +263,49 @@ def test_line_dedup(spark, few, monkeypatch):
     assert line_dedup.dedup(empty(spark)).count() == 0
 
 
+def slow_char_lines(texts, size=5, least=0.8):
+    """Groups of lines by ordinary character shingles: {line: first similar line}."""
+    lines = list(dict.fromkeys(texts))
+    sets = [frozenset(x[i:i + size] for i in range(len(x) - size + 1)) or {x} for x in lines]
+    s = Sets(len(lines))
+    for i in range(len(lines)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                s.join(i, j)
+    return {x: lines[s.find(i)] for i, x in enumerate(lines)}
+
+
+@pytest.mark.parametrize("few", [line_dedup.FEW, 1])
+def test_line_dedup_by_characters(spark, few, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    texts = [r.text for r in read(spark, SF, "documents").orderBy("doc_id").collect()]
+    occ = [(i, k, x) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if len(x.split()) >= 5]
+    group, first, gone = slow_char_lines([x for *_, x in occ]), {}, collections.defaultdict(list)
+    for i, k, x in occ:
+        if group[x] in first:
+            gone[i].append((k, *first[group[x]]))
+        else:
+            first[group[x]] = (i, k)
+    got = {r.doc_id: [tuple(c) for c in r.copies] for r in line_dedup.cleaned(docs_of(spark, texts).coalesce(1)).collect()}
+    assert got == {i: gone.get(i, []) for i in range(len(texts))}
+
+
+def test_line_dedup_one_character(spark):
+    # one character changed, dropped or added anywhere in lines of 12 to 30 words
+    rng = np.random.default_rng(7)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzé🎉"), rng.integers(3, 9)))
+    texts = []
+    for n in (12, 13, 15, 20, 30) * 4:
+        t = " ".join(word() for _ in range(n))
+        at = int(rng.integers(1, len(t) - 1))
+        texts += [t, t[:at] + "#" + t[at + 1:], t[:at] + t[at + 1:], t[:at] + "#" + t[at:]]
+    first = {t: i for i, t in reversed(list(enumerate(texts)))}
+    group = slow_char_lines(texts)
+    assert len(set(group.values())) == 20
+    got = {r.doc_id: [c.doc_id for c in r.copies] for r in line_dedup.cleaned(docs_of(spark, texts).coalesce(1)).collect()}
+    assert got == {i: [] if group[t] == t else [first[group[t]]] for i, t in enumerate(texts)}
+
+
 # ---- 8: link graph
 
 def test_link_graph(spark):
