@@ -1,17 +1,17 @@
-"""License scan: MinHash bands over overlapping windows retrieve templates,
-exact shingle containment verifies them.
+"""License scan: the lowest shingle hashes of a template (its bottom-k MinHash
+sketch) retrieve windows, exact shingle containment verifies them.
 
 Words are runs of ASCII letters and digits, lower-cased; shingles are five
 consecutive words. For a template of m words every window of m consecutive
-document words is a window of its own. A window and a template collide if one
-of ``BANDS`` minima over their shingle hashes agrees (one row per band): at a
-shingle similarity of 0.8 that happens with 1 - 0.2^5 = 99.97 %, at 1 always.
-Colliding windows are kept if at least ``LEAST`` of the template's distinct
-shingles are in the window, compared as words.
+document words is a window of its own. Of a template's n distinct shingles a
+window may miss n - ceil(0.8 n), so it must hold one of any
+n - ceil(0.8 n) + 1 of them: those with the lowest hashes are the sketch. Every
+window that holds one of them is a candidate, so none of that containment is
+missed. Candidates are kept if at least ``LEAST`` of the template's distinct
+shingles are in the window, by their hashes and then compared as words.
 
-A minimum can only agree if the document has the very shingle whose hash is the
-template's minimum, so documents without any of those need no windows; the test
-is exact. Templates are a fixed table of the library, not data.
+Documents without any shingle of a sketch need no windows; the test is exact.
+Templates are a fixed table of the library, not data.
 
 Row rules: null text has no words and no license. Each row is scanned by itself,
 so repeated rows, further columns and empty tables are plain cases.
@@ -25,10 +25,8 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, stored, text_or_empty
 from .decontaminate import at_each, gram_hashes
 
-SHINGLE, BANDS, LEAST = 5, 5, 0.8
+SHINGLE, LEAST = 5, 0.8
 WORD = "[a-z0-9]+"
-#: Flips of the hash bits, one per band: each gives another order of the shingles.
-MASKS = [int.from_bytes(bytes((b * 37 + 11 * k + 5) % 256 for k in range(8)), "big", signed=True) for b in range(0, BANDS * 7, 7)]
 
 # Usual license notices (identifier, whether terms are restrictive, text).
 TEMPLATES = [
@@ -60,48 +58,39 @@ def shingles(w: Column) -> Column:
     return F.array_distinct(at_each(F.size(w) - (SHINGLE - 1), lambda i: F.array_join(F.slice(w, i, SHINGLE), " ")))
 
 
-def flipped(hashes: str, mask: int) -> Column:
-    return F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(mask)))
-
-
-def minima(hashes: str) -> list[Column]:
-    return [F.array_min(flipped(hashes, m)) for m in MASKS]
-
-
 def signatures(templates: DataFrame) -> DataFrame:
-    """(template, license, m words, shingles, band, least) from (license,
-    restrictive, text); notices of fewer than five words are refused."""
+    """(template, license, restrictive, m words, shingles, grams: their hashes,
+    h: a hash of the sketch) from (license, restrictive, text), one row per hash;
+    null for notices of fewer than five words."""
     known = templates.select(F.xxhash64("license", "text").alias("template"), "license", "restrictive", words(F.col("text")).alias("w"))
-    known = known.select("*", F.size("w").alias("m"), gram_hashes(F.col("w"), SHINGLE).alias("g"))
-    return known.select("template", "license", "restrictive", "m", shingles(F.col("w")).alias("shingles"),
-                        F.posexplode(F.array(*minima("g"))).alias("band", "least"))
+    known = known.select("*", F.size("w").alias("m"), F.array_sort(F.array_distinct(gram_hashes(F.col("w"), SHINGLE))).alias("grams"))
+    may_miss = F.size("grams") - F.ceil(F.size("grams") * LEAST - 1e-9).cast("int")
+    return known.select("template", "license", "restrictive", "m", shingles(F.col("w")).alias("shingles"), "grams",
+                        F.explode_outer(F.slice("grams", F.lit(1), may_miss + 1)).alias("h"))
 
 
 def matches(docs: DataFrame, templates: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(all rows with a row number and n_words, matches: row, license,
     restrictive, first word, words, containment)."""
     signs = stored(signatures(templates), "templates")
-    found = signs.select("m", "band", "least").collect()          # BANDS rows per template
+    found = signs.select("m", "h").collect()                      # a few rows per template
     if any(r.m < SHINGLE for r in found):
         raise ValueError("a template needs at least five words")
-    keys = sorted({r.least ^ MASKS[r.band] for r in found})       # the hashes that are minima
+    keys = sorted({r.h for r in found})
     rest = [c for c in docs.columns if c != text_col]
     split = docs.select(*rest, words(text_or_empty(text_col)).alias("w")).withColumn("g", gram_hashes(F.col("w"), SHINGLE))
     possible = F.arrays_overlap("g", F.lit(keys).cast("array<bigint>"))
     rows = stored(split.select(*rest, F.size("w").cast("long").alias("n_words"), F.when(possible, F.col("w")).alias("w"),
                                F.monotonically_increasing_id().alias("row")), "scanned")
     some = stored(rows.where(F.col("w").isNotNull()).select("row", "w", gram_hashes(F.col("w"), SHINGLE).alias("g")), "possible")
-    # windows that hold a template's minimum, and in which it is the minimum
-    masks = F.lit(MASKS).cast("array<bigint>")
-    wanted = signs.select("template", "m", F.get(masks, F.col("band")).alias("mask"), "least").withColumn(
-        "h", F.col("least").bitwiseXOR(F.col("mask")))
-    spots = some.select("row", F.posexplode("g").alias("at", "h")).join(wanted, "h").drop("h")
+    # windows that hold a hash of a template's sketch
+    spots = some.select("row", F.posexplode("g").alias("at", "h")).join(signs.select("template", "m", "grams", "h"), "h").drop("h")
     first, last = F.greatest(F.col("at") - F.col("m") + SHINGLE, F.lit(0)), F.least(F.col("at"), F.size("g") + SHINGLE - 1 - F.col("m"))
     windows = spots.join(some.select("row", "g"), "row").where(first <= last).select(
-        "row", "template", "m", "mask", "least", "g", F.explode(F.sequence(first, last)).alias("first"))
-    lowest = F.array_min(F.transform(F.slice("g", F.col("first") + 1, F.col("m") - SHINGLE + 1), lambda h: h.bitwiseXOR(F.col("mask"))))
-    hit = windows.where(lowest == F.col("least")).select("row", "template", "first").distinct()
-    known = signs.where("band = 0").drop("band", "least")
+        "row", "template", "m", "grams", "g", F.explode(F.sequence(first, last)).alias("first"))
+    held = F.size(F.array_intersect("grams", F.slice("g", F.col("first") + 1, F.col("m") - SHINGLE + 1))) / F.size("grams")
+    hit = windows.where(held >= LEAST).select("row", "template", "first").distinct()
+    known = signs.drop("h", "grams").dropDuplicates(["template"])
     checked = hit.join(known, "template").join(rows.select("row", "w"), "row").select(
         "row", "license", "restrictive", "first", F.col("m").alias("words"),
         (F.size(F.array_intersect("shingles", shingles(F.slice("w", F.col("first") + 1, F.col("m"))))) / F.size("shingles")).alias("containment"))

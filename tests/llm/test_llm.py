@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -347,6 +348,21 @@ def test_license_scan(spark):
     assert license_scan.scan(empty(spark), license_scan.template_table(spark)).count() == 0
 
 
+def test_license_substitutions_equal_sql(spark):
+    # every word of every template replaced, dropped or followed by another one, against all windows
+    texts = [t for *_, t in license_scan.TEMPLATES]
+    for *_, t in license_scan.TEMPLATES:
+        w = t.split()
+        for i in range(len(w)):
+            texts += [" ".join(["so"] + w[:i] + new + w[i + 1:] + ["and", "on"]) for new in (["zzz"], [], [w[i], "zzz"])]
+    got = {tuple(r) for r in license_scan.scan(docs_of(spark, texts), license_scan.template_table(spark)).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    assert got == set(con.execute(license_scan.scan_sql()).fetchall())
+    assert sum(r[3] > 0 for r in got) > len(license_scan.TEMPLATES) * 3
+
+
 # ---- 6: surrogates
 
 def test_surrogates(spark):
