@@ -10,6 +10,9 @@ if distrust is more than ``LEAST_DISTRUST`` of its distrust and trust.
 A page's own rule comes first: rules (host, path) fit the host and all its
 subdomains if the url's path starts with the rule's; the longest rule wins.
 Hosts and edges are aggregated before every shuffle, ranks are stored tables.
+Ranks are passed on until no new host is reached and one more round changes all
+ranks together by at most ``TOLERANCE`` of the seeds' mass; the ranks are then
+within 0.85 / 0.15 of that of the fixed point.
 
 Row rules: a null url, or one without ``://``, has empty host and path, no rule
 and the verdict of the empty host (allow). Null html has no links. Repeated
@@ -19,12 +22,15 @@ distrust and are allowed. Without any seed, or any page, nothing is propagated.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import UPPER, lower_ascii, stored
 
-DAMPING, ROUNDS, TOLERANCE, LEAST_DISTRUST = 0.85, 10, 1e-9, 0.5
+DAMPING, TOLERANCE, LEAST_DISTRUST = 0.85, 1e-9, 0.5
+ROUNDS = 10                   # of the SQL only; enough where links stay on their host, as in the given tables
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 HREF = r"""(?i)\bhref\s*=\s*["']([^"']*)"""
 ABSOLUTE = r"(?s)^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
@@ -54,17 +60,17 @@ def linked_hosts(html: Column, own: Column) -> Column:
         u.rlike(ABSOLUTE), lower_ascii(F.regexp_extract(u, ABSOLUTE, 1))).otherwise(own)))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """(host, rank): personalised PageRank over ``edges`` (src, dst, n) from
     ``seeds`` (host, mass). Mass of hosts without links returns to the seeds;
-    ranks sum to the seeds' mass."""
+    ranks sum to the seeds' mass. ``rounds`` ends it early."""
     total = seeds.agg(F.sum("mass")).head()[0] or 0.0
     rank = seeds.select("host", F.col("mass").alias("rank"))
     if not total:
         return rank
     outward = edges.groupBy("src").agg(F.sum("n").alias("all"))
     shares = stored(edges.join(outward, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")), "shares")
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         moved = rank.join(shares, rank.host == shares.src).groupBy(F.col("dst").alias("host")).agg(
             F.sum(F.col("rank") * F.col("share")).alias("moved"))
         moved = stored(moved, "moved")
@@ -73,15 +79,15 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         now = stored(moved.join(seeds, "host", "full").join(rank, "host", "full").select(
             "host", (F.coalesce("moved", F.lit(0.0)) * damping + F.coalesce("mass", F.lit(0.0)) * back).alias("rank"),
             F.coalesce("rank", F.lit(0.0)).alias("before")), "ranks")
-        change = now.agg(F.sum(F.abs(F.col("rank") - F.col("before")))).head()[0] or 0.0
+        change, reached = now.agg(F.sum(F.abs(F.col("rank") - F.col("before"))), F.count(F.when(F.expr("rank > 0 and before = 0"), 1))).head()
         rank = now.select("host", "rank")
-        if change <= TOLERANCE * total:
+        if (change or 0.0) <= TOLERANCE * total and not reached:
             break
     return rank
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url",
-          html_col: str = "html", rounds: int = ROUNDS) -> DataFrame:
+          html_col: str = "html", rounds: int | None = None) -> DataFrame:
     """One row per page: id, host, path, rule, verdict."""
     given = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"),
                          F.col(html_col).alias("html"))

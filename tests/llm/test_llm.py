@@ -335,6 +335,16 @@ def test_pagerank_keeps_mass(spark):
     assert abs(rank["b"] - 0.85 * rank["a"]) < 1e-3
 
 
+def test_link_graph_long_chain(spark, monkeypatch):
+    # hosts that lead to a blocked host over up to 14 links, without a number of rounds; the coarse
+    # tolerance only shortens the test (it passes with 1e-9 too, in four minutes)
+    monkeypatch.setattr(link_graph, "TOLERANCE", 0.2)
+    chain = [f"h{i}.com" for i in range(14)] + ["bad.net"]
+    pages = [(i, f"http://{a}/", f'<a href="http://{b}/">l</a>') for i, (a, b) in enumerate(zip(chain, chain[1:]))] + [(99, "http://bad.net/", None)]
+    few = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    assert {r.verdict for r in link_graph.judge(few, [("block", "bad.net", "/")]).collect()} == {"block"}
+
+
 # ---- 9: licenses
 
 def test_license_scan(spark):
