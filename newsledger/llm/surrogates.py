@@ -15,6 +15,10 @@ SHA-512(key, kind, entity, attempt):
   mention ("+1 (650) 555-0100" and "+1 650 555 0100" agree);
 * distinctness: surrogates of a kind are compared with each other and with all
   entities; of equal ones all but the first are drawn again until none is left.
+  After ``ATTEMPTS`` draws surrogates get longer by letters or digits, two more
+  with every draw, so there are enough of them for any number of entities (IP
+  addresses keep their form and come from 240.0.0.0/4 then). Symbols of a
+  password without digits and letters become letters.
 
 Equal texts are replaced once. All steps are built-in functions.
 
@@ -24,13 +28,15 @@ Repeated rows, long texts, other columns and empty tables are plain cases.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_side, stored, text_or_empty
 
 BROADCAST_ROWS = 250_000
-ATTEMPTS = 40
+ATTEMPTS = 8                  # draws in the entity's own length
 
 # Titles by gender, given names by gender and script, syllables.
 TITLES = {"m": ["Mr", "Herr", "Señor", "Monsieur", "Sr", "г-н", "Господин"],
@@ -117,9 +123,13 @@ def luhn_sum(digits: Column) -> Column:
         F.lit(0), lambda a, x: a + x)
 
 
+def with_stream(entities: DataFrame, key: str) -> DataFrame:
+    return entities.withColumn("h", F.sha2(F.concat_ws("|", F.lit(key), "kind", "canon", "gender", "script", "attempt"), 512))
+
+
 def draw(entities: DataFrame, key: str) -> DataFrame:
     """``core``: the surrogate of each (kind, canon, gender, script, fixed) at its attempt."""
-    df = entities.withColumn("h", F.sha2(F.concat_ws("|", F.lit(key), "kind", "canon", "gender", "script", "attempt"), 512))
+    df = with_stream(entities, key)
     n = F.char_length("canon")
     digits = swapped(F.col("canon"))
     card = F.concat(F.col("canon").substr(F.lit(1), F.lit(1)), digits.substr(F.lit(2), n - 2))
@@ -140,15 +150,30 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
             .when(F.col("kind").isin("phone", "iban"), F.concat("fixed", swapped(F.expr("substring(canon, char_length(fixed) + 1)"))))
             .when(F.col("kind") == "hex", swapped(F.col("canon"), hex_only=True))
             .otherwise(digits))
-    return df.withColumn("core", core).drop("h", "card")
+    bare = (F.col("kind") == "password") & ~F.col("canon").rlike(r"[\p{L}0-9]")
+    letters = F.array_join(F.transform(F.split("canon", ""), lambda c, i: pick(LETTERS["[a-z]"], i)), "")
+    return df.withColumn("core", F.when(bare, letters).otherwise(core)).drop("h", "card")
+
+
+def lengthened(entities: DataFrame, key: str, by: int) -> DataFrame:
+    """``core`` made longer by that many characters."""
+    more = lambda of: F.concat(*[pick(of, F.lit(k)) for k in range(3, 3 + by)])
+    ip = F.concat_ws(".", drawn(F.lit(3), 16) + 240, *[drawn(F.lit(k), 256) for k in (4, 5, 6)])
+    return with_stream(entities, key).withColumn("core", F.when(F.col("kind") == "ip", ip)
+        .when(F.col("kind") == "email", F.concat(more(LETTERS["[a-z]"]), "core"))
+        .when(F.col("kind").isin("password", "person"), F.concat("core", more(LETTERS["[a-z]"])))
+        .otherwise(F.concat("core", more("0123456789")))).drop("h")
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """Distinct entities with distinct surrogates that are no entity either."""
     todo, done = entities.withColumn("attempt", F.lit(0)), None
     real = entities.select("kind", F.lower("canon").alias("low")).distinct()
-    for attempt in range(ATTEMPTS):
-        drawn_now = stored(draw(todo, key).withColumn("low", F.lower("core")), "drawn")
+    for attempt in count():
+        now = draw(todo, key)
+        if attempt >= ATTEMPTS:
+            now = lengthened(stored(now, "short"), key, min(4 + 2 * (attempt - ATTEMPTS), 60))
+        drawn_now = stored(now.withColumn("low", F.lower("core")), "drawn")
         ok = drawn_now.join(real, ["kind", "low"], "left_anti")
         if done is not None:
             ok = ok.join(done.select("kind", "low"), ["kind", "low"], "left_anti")
@@ -161,14 +186,14 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
             "attempt", F.lit(attempt + 1))
         if todo.isEmpty():
             return done.drop("low", "attempt")
-    raise ValueError(f"no distinct surrogates after {ATTEMPTS} draws")
 
 
 def rendered(mention: str, fixed: str, body: str, core: str) -> Column:
     """The surrogate in the mention's format and case."""
+    tail = lambda a: F.concat(a.o, F.col("rest").substr(a.k + 1, F.char_length("rest")))
     walked = F.aggregate(F.split(body, ""), F.struct(F.lit("").alias("o"), F.lit(0).alias("k")), lambda a, c: F.when(
         c.rlike(r"[\p{L}\p{N}]"), F.struct(F.concat(a.o, F.col("rest").substr(a.k + 1, F.lit(1))).alias("o"), (a.k + 1).alias("k"))
-    ).otherwise(F.struct(F.concat(a.o, c).alias("o"), a.k.alias("k")))).o
+    ).otherwise(F.struct(F.concat(a.o, c).alias("o"), a.k.alias("k"))), tail)
     cased = F.when((F.upper(body) == F.col(body)) & (F.lower(body) != F.col(body)), F.upper(core)).otherwise(F.col(core))
     letters = F.array_join(F.zip_with(F.split(body, ""), F.split(core, ""), lambda m, c: F.when(m != F.lower(m), F.upper(c)).otherwise(c)), "")
     return (F.when(F.col("kind").isin("phone", "iban", "ssn", "card"), F.concat(fixed, walked))

@@ -407,6 +407,16 @@ def test_surrogates_are_distinct(spark):
     assert len(set(new)) == len(mails) and not set(new) & set(mails)
 
 
+def test_surrogates_without_limit(spark):
+    # bodies without letters or digits, and every password of four digits: no other one of that form is left
+    mentions = ["password: ****", "pwd=____", "pwd=!!!!!"] + [f"pwd={i:04}" for i in range(10000)]
+    table = surrogates.replacements(spark.createDataFrame([(m,) for m in mentions], "mention string").coalesce(4), "k").collect()
+    new = {r.mention: r.surrogate for r in table}
+    assert set(new) == set(mentions) and len(set(new.values())) == len(mentions)
+    assert not set(new.values()) & set(mentions) and re.fullmatch("password: [a-z]{4}", new["password: ****"])
+    assert all(n.startswith("pwd=") for m, n in new.items() if m.startswith("pwd="))
+
+
 # ---- 10: quality classifier
 
 def test_quality_held_out(spark):
