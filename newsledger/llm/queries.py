@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, context_mixing, decontaminate, exact_dedup, license_scan, line_dedup, link_graph, quality, simhash_dedup, surrogates
+from . import bpe, context_mixing, decontaminate, exact_dedup, license_scan, line_dedup, link_graph, quality, simhash_dedup, squares, surrogates
 from .common import hashed_id, read
 
 
@@ -75,8 +75,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= QUALITY_LEAST, 1).otherwise(0).alias("predicted"))
 
 
+def op13_square_catching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return squares.report(docs, text_col=squares.planted("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (op1_context_mixing, op2_line_dedup, op3_decontaminate, op4_byte_bpe, op5_exact_dedup, op6_surrogates, op7_simhash_dedup, op8_link_graph,
-                                  op9_license_scan, op10_quality_classifier)}
+                                  op9_license_scan, op10_quality_classifier, op13_square_catching)}
 
 SQL = {
     "op8_link_graph": link_graph.judge_sql(URL_RULES),
