@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, context_mixing, decontaminate, exact_dedup, license_scan, line_dedup, link_graph, quality, simhash_dedup, squares, surrogates
+from . import bpe, context_mixing, decontaminate, exact_dedup, license_scan, line_dedup, link_graph, quality, simhash_dedup, squares, surrogates, treap, wavelet
 from .common import hashed_id, read
 
 
@@ -75,13 +75,29 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= QUALITY_LEAST, 1).otherwise(0).alias("predicted"))
 
 
+#: The end id that the contract appends to every text.
+WORD_TOKENIZER, END_ID = public_tokenizers.path("word_bpe_49k.json"), 2
+
+
+def op11_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return wavelet.spans(wavelet.write(docs, WORD_TOKENIZER, END_ID), docs.schema["doc_id"].dataType.simpleString())
+
+
+LISTED = 50
+
+
+def op12_k2_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap.search(treap.build(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"), LISTED)
+
+
 def op13_square_catching(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return squares.report(docs, text_col=squares.planted("doc_id", "text"))
 
 
 QUERIES = {f.__name__: f for f in (op1_context_mixing, op2_line_dedup, op3_decontaminate, op4_byte_bpe, op5_exact_dedup, op6_surrogates, op7_simhash_dedup, op8_link_graph,
-                                  op9_license_scan, op10_quality_classifier, op13_square_catching)}
+                                  op9_license_scan, op10_quality_classifier, op11_wavelet_matrix, op12_k2_treap, op13_square_catching)}
 
 SQL = {
     "op8_link_graph": link_graph.judge_sql(URL_RULES),
@@ -111,4 +127,20 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS raw,
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
        row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(raw) DESC, doc_id)""",
+    "op12_k2_treap": r"""
+WITH dt AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+it AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+len AS (SELECT doc_id, count(*) AS n FROM dt GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM len),
+m AS (SELECT doc_id, 100 - 50 + ((50 * n * nn) // ll) AS m FROM len, total),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM dt WHERE term IN (SELECT term FROM it) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+           FROM it JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50""",
 }
