@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.categories import (Vocabulary, category_result, clean_value, exact_match,
                                     fuzzy_udf, synonym_match)
 from ..functions.common import py_strip
+from ..session import staged
+from .fuzzy import Measure, closest, closest_folded
 
 
 def with_category(df: DataFrame, column: str, vocab: Vocabulary, out: str | None = None) -> DataFrame:
@@ -36,20 +38,31 @@ def with_category(df: DataFrame, column: str, vocab: Vocabulary, out: str | None
 
 
 def with_vocabulary_table(df: DataFrame, column: str, terms: DataFrame, out: str, default: str | None = None,
-                          prefixes: tuple = (), case_sensitive: bool = False) -> DataFrame:
+                          prefixes: tuple = (), case_sensitive: bool = False, similar: Measure | None = None) -> DataFrame:
     """Exact and synonym match against a vocabulary table (term, synonym, rank)
     of any size: ``synonym`` is null for the term itself; of equal spellings the
-    synonym wins, then the lowest rank. Adds ``out`` = (value, match_kind).
+    synonym wins, then the lowest rank. With ``similar`` a value that has neither
+    takes the most similar term (case matters first, then, unless
+    ``case_sensitive``, it does not). Adds ``out`` = (value, match_kind).
 
     The distinct values of the column are looked up, so a hot value costs one
     row in the join; blank and unmatched values take the default."""
     fold = (lambda c: c) if case_sensitive else F.lower
     spelled = terms.select(fold(F.coalesce("synonym", "term")).alias("_key"), F.struct(
         F.col("synonym").isNull().alias("_own"), "rank", "term").alias("_hit")).groupBy("_key").agg(F.min("_hit").alias("_hit"))
-    key = fold(clean_value(F.col(column).cast("string"), Vocabulary((), (), prefixes)))
-    values = df.select(key.alias("_key")).where(F.coalesce(F.col("_key") != "", F.lit(False))).distinct()
-    found = values.join(spelled, "_key").select(F.col("_key").alias("_value"), F.struct(
+    cleaned = clean_value(F.col(column).cast("string"), Vocabulary((), (), prefixes))
+    key = cleaned if similar else fold(cleaned)
+    values = df.select(key.alias("_value")).where(F.coalesce(F.col("_value") != "", F.lit(False))).distinct().withColumn(
+        "_key", fold(F.col("_value")))
+    found = values.join(spelled, "_key").select("_value", F.struct(
         F.col("_hit.term").alias("value"), F.when(F.col("_hit._own"), "exact").otherwise("synonym").alias("match_kind")).alias("_found"))
+    if similar:
+        found = staged(found, "spelled")
+        open_ = staged(values, "values").join(found.select("_value"), "_value", "left_anti").select(F.col("_value").alias("text"))
+        own = terms.groupBy(F.col("term").alias("text")).agg(F.min("rank").alias("rank"))
+        near = (closest(open_, own.select("text"), similar) if case_sensitive else closest_folded(open_, own, similar))
+        found = found.unionByName(near.select(F.col("value").alias("_value"), F.struct(
+            F.col("term").alias("value"), F.lit("fuzzy").alias("match_kind")).alias("_found")))
     blank = F.coalesce(F.col("_k") == "", F.lit(True))
     spread = F.concat(F.lit("\u0000"), (F.monotonically_increasing_id() % 1024).cast("string"))
     keyed = df.withColumn("_k", key).withColumn("_j", F.when(blank, spread).otherwise(F.col("_k")))

@@ -514,6 +514,16 @@ def _sql() -> dict:
                           "f AS (SELECT url, min({'m': m, 'k': k}) AS o FROM x WHERE url NOT IN (SELECT url FROM e) GROUP BY url), "
                           "b AS (SELECT url, true AS is_new, o.m AS a, o.k AS c FROM f UNION ALL SELECT url, false, pos, 0 FROM e) "
                           "SELECT url, row_number() OVER (ORDER BY is_new DESC, a, c) - 1 AS pos, is_new FROM b")
+    S["category_table_fuzzy"] = (
+        "WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]{5,}')[1] AS w FROM documents), "
+        "d AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN substr(w, 1, 2) || substr(w, 4) ELSE w END AS raw FROM w), "
+        "t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS term FROM benchmark), "
+        "p AS (SELECT raw, term, levenshtein(raw, term) AS e, greatest(length(raw), length(term)) AS n FROM (SELECT DISTINCT raw FROM d) v, t "
+        "WHERE raw <> '' AND raw NOT IN (SELECT term FROM t)), "
+        "b AS (SELECT raw, max({'s': 1 - e / n, 't': term}).t AS near FROM p WHERE e <= floor(n * (1 - 0.7) + 1e-9) GROUP BY raw) "
+        "SELECT doc_id, d.raw, coalesce(t.term, b.near, 'none') AS value, CASE WHEN coalesce(d.raw, '') = '' THEN 'blank' "
+        "WHEN t.term IS NOT NULL THEN 'exact' WHEN b.near IS NOT NULL THEN 'fuzzy' ELSE 'none' END AS match_kind "
+        "FROM d LEFT JOIN t ON d.raw = t.term LEFT JOIN b ON b.raw = d.raw")
     return S
 
 

@@ -17,7 +17,8 @@ from ..functions.common import py_strip
 from ..operators import columns as cols
 from ..operators import incremental as inc
 from ..operators import reports
-from ..operators.categorical import with_category
+from ..operators.categorical import with_category, with_vocabulary_table
+from ..operators.fuzzy import Measure
 from ..operators.classify import RuleExtractor, RuleScorer, classify, extract, processing_status, update_labels
 from ..operators.validate import ColumnSpec, FLOAT, INTEGER, TEXT, column_report, validate
 from ..sources.tables import table
@@ -382,6 +383,19 @@ def category_fuzzy(spark, sf):
     return out.select("p_partkey", F.col("r.value").alias("value"), F.col("r.match_kind").alias("match_kind"))
 
 
+def category_table_fuzzy(spark, sf):
+    """The first long word of every document (every other one lacking its third
+    letter) against the benchmark's words as a vocabulary table: exact, then the
+    nearest by edit distance."""
+    d, b = _t(spark, sf, "documents"), _t(spark, sf, "benchmark")
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))
+    terms = b.select(F.explode(words).alias("term")).distinct().select("term", F.lit(None).cast("string").alias("synonym"), F.lit(0).alias("rank"))
+    word = F.get(words, F.lit(0))
+    raw = F.when(F.col("doc_id") % 2 == 0, F.concat(F.substring(word, 1, 2), F.substring(word, 4, 1000))).otherwise(word)
+    out = with_vocabulary_table(d.select("doc_id", raw.alias("raw")), "raw", terms, "r", "none", similar=Measure("edit", 0.7))
+    return out.select("doc_id", "raw", F.col("r.value").alias("value"), F.col("r.match_kind").alias("match_kind"))
+
+
 def age_group(spark, sf):
     p = _t(spark, sf, "part")
     return p.select("p_partkey", categories.age_group(F.col("p_size") * 2 - 5).alias("age_group"))
@@ -616,6 +630,7 @@ QUERIES = {
     "boolean_map": boolean_map,
     "category_cascade": category_cascade,
     "category_fuzzy": category_fuzzy,
+    "category_table_fuzzy": category_table_fuzzy,
     "age_group": age_group,
     "multi_category": multi_category,
     "category_counts": category_counts,
