@@ -41,6 +41,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,8 +53,9 @@ from .common import stored, unused
 SHARD_TOKENS = 1 << 21        # a task holds one shard: 4 bytes a token and as much again per plane in turn
 BLOCK_BITS = 1 << 15          # 4 KiB a block
 MAGIC = b"WVLTMTX2"
-LATER = 0xD5                  # first byte of characters above Cyrillic, left to the library with their marks
-REMEMBERED = 1 << 19          # chunks kept by a worker, and as many parts (about 100 MB each)
+SLICE_BYTES = 1 << 23         # of text encoded at once
+WORDS_AT_ONCE = 1 << 8        # new words of one text for the library
+REMEMBERED = 1 << 19          # chunks kept by a worker, and as many parts (about 80 MB each)
 STRETCH = 20                  # log2 of the tokens of a stretch, by which places meet their files
 SHORT_CHUNK = 48              # bytes; what is longer is encoded but not remembered
 
@@ -222,67 +224,188 @@ class Reader:
 
 # ---- encoding
 
-class Remembered:
-    """What was looked up lately: two tables, the younger becomes the older
-    one when it is full, so what is frequent stays."""
+class Lists:
+    """Lists of ids, one after the other."""
 
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most // 2, {}, {}
+    def __init__(self, sizes: np.ndarray, flat: np.ndarray):
+        self.sizes, self.flat, self.begin = sizes, flat, np.cumsum(sizes) - sizes
 
-    def get(self, key: bytes) -> tuple[int, ...] | None:
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
+    def take(self, at: np.ndarray) -> "Lists":
+        sizes = self.sizes[at]
+        before = np.cumsum(sizes) - sizes
+        return Lists(sizes, self.flat[np.repeat(self.begin[at] - before, sizes) + np.arange(int(sizes.sum()))])
 
-    def put(self, key: bytes, value: tuple[int, ...]) -> None:
-        if len(self.young) >= self.most:
-            self.young, self.old = {}, self.young
-        self.young[key] = value
+    def add(self, more: "Lists") -> "Lists":
+        return Lists(np.concatenate([self.sizes, more.sizes]), np.concatenate([self.flat, more.flat]))
+
+    @staticmethod
+    def none() -> "Lists":
+        return Lists(np.zeros(0, np.int64), np.zeros(0, np.uint32))
+
+
+class Remembered:
+    """Ids of what was looked up lately; when there is too much of it, what was
+    not asked for the longest goes."""
+
+    def __init__(self, most: int):
+        self.most, self.turn = most, 0
+        self.keys, self.ids, self.used = pa.array([], pa.binary()), Lists.none(), np.zeros(0, np.int64)
+
+    def find(self, keys: pa.BinaryArray) -> np.ndarray:
+        """Where each key is; -1: nowhere."""
+        self.turn += 1
+        at = pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy().astype(np.int64)
+        self.used[at[at >= 0]] = self.turn
+        return at
+
+    def put(self, keys: pa.BinaryArray, ids: Lists) -> None:
+        short = np.flatnonzero(pc.binary_length(keys).to_numpy(zero_copy_only=False) <= SHORT_CHUNK)
+        self.keys = pa.concat_arrays([self.keys, keys.take(pa.array(short))])
+        self.ids = self.ids.add(ids.take(short))
+        self.used = np.append(self.used, np.full(len(short), self.turn))
+        if len(self.keys) > self.most:
+            stay = np.sort(np.argsort(-self.used, kind="stable")[:self.most // 2])
+            self.keys, self.ids, self.used = self.keys.take(pa.array(stay)), self.ids.take(stay), self.used[stay]
+
+
+def binary(raw: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """Byte strings that lie one after the other."""
+    offsets = np.append(0, ends).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw))])
+
+
+def bytes_of(a: pa.BinaryArray | pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets of the strings in them, one more than there are)."""
+    if not len(a) or a.buffers()[2] is None:
+        return np.zeros(0, np.uint8), np.zeros(len(a) + 1, np.int32)
+    offsets = np.frombuffer(a.buffers()[1], np.int32)[a.offset:a.offset + len(a) + 1]
+    return np.frombuffer(a.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def chunks_of(texts: pa.StringArray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The chunks between ASCII white space of all texts, and the number of
+    the first chunk of each text (one more at the end)."""
+    raw, bounds = bytes_of(texts)
+    inside = ~IS_SPACE[raw]
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    first = bounds[:-1][bounds[:-1] < len(raw)]
+    start[first] = inside[first]                         # a text ends a chunk
+    starts = np.flatnonzero(start)
+    before = np.cumsum(inside, dtype=np.int32)
+    ends = np.append(before[starts[1:]] - 1, before[-1]) if len(starts) else np.zeros(0, np.int32)
+    return binary(raw[inside], ends), np.searchsorted(starts, bounds)
+
+
+def _table(members: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(members)] = True
+    return out
+
+
+MARKS = b".,;:!?"
+IS_SPACE, IS_MARK = _table(b"\t\n\v\f\r "), _table(MARKS)
+IS_LETTER = _table(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+#: After the byte C3: the letters of U+00C0 to U+00FF, i.e. all but the two signs there.
+IS_LATIN = _table(bytes(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)))
 
 
 class Coder:
     """Ids of whole texts by the tokenizers library. The tokenizer drops white
     space and no rule of it looks across, so a text is encoded by its chunks
     between ASCII white space. It also parts letters from the mark after them
-    and lower-cases, so a chunk of letters, with one of ``MARKS`` or without, is
-    encoded by its lower-cased letters and its mark. What is known is not sent
-    to the library again."""
-
-    MARKS = frozenset(b".,;:!?")
+    and lower-cases, so a chunk of Latin letters, with one of ``MARKS`` or
+    without, is encoded by its letters and its mark: all new ones as words of one
+    text, without the pattern, which would find each whole again. Other chunks
+    are sent as they are. What is known is not sent again."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ascii, self.latin = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
+        self.ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()                  # small ASCII letters stay what they are
+        self.latin.normalizer = normalizers.Lowercase()
+        self.latin.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.chunks, self.parts = Remembered(REMEMBERED), Remembered(REMEMBERED)
 
-    def _library(self, parts: list[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """Ids of each part, by one call for all."""
-        return {p: tuple(e.ids) for p, e in zip(parts, self.tokenizer.encode_batch([p.decode() for p in parts], add_special_tokens=False))}
-
-    def _split(self, chunk: bytes) -> tuple[bytes, ...]:
-        letters, mark = (chunk[:-1], chunk[-1:]) if chunk[-1] in self.MARKS else (chunk, b"")
-        if letters.isalpha() or not letters.isascii() and max(letters) < LATER and letters.decode().isalpha():
-            return (letters.lower(), mark) if mark else (letters.lower(),)
-        return (chunk,)
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        split = [t.encode().split() for t in texts]
-        found = {w: self.chunks.get(w) for w in set(chain.from_iterable(split))}
-        new = {w: self._split(w) for w, ids in found.items() if ids is None}
-        parts = {p: self.parts.get(p) for p in set(chain.from_iterable(new.values()))}
-        fresh = self._library([p for p, ids in parts.items() if ids is None])
-        parts |= fresh
-        for p, ids in fresh.items():
-            if len(p) <= SHORT_CHUNK:
-                self.parts.put(p, ids)
-        for w, cut in new.items():
-            found[w] = ids = sum((parts[p] for p in cut[1:]), parts[cut[0]])
-            if len(w) <= SHORT_CHUNK:
-                self.chunks.put(w, ids)
-        return [np.fromiter(chain.from_iterable(map(found.__getitem__, words)), np.uint32) for words in split]
+    @staticmethod
+    def _split(chunks: pa.BinaryArray) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
+        """(what is left of each chunk without its mark and in small letters if
+        that is a word, the mark or 0, whether it is a word)."""
+        raw, offsets = bytes_of(chunks)
+        starts, ends = offsets[:-1], offsets[1:]
+        after = np.append(np.uint8(0), raw[:-1]) == 0xC3
+        letter = np.where(after, IS_LATIN[raw], IS_LETTER[raw] | (raw == 0xC3))
+        mark = np.where(IS_MARK[raw[ends - 1]] & (ends - starts > 1), raw[ends - 1], 0)
+        letter[ends[mark > 0] - 1] = True                # the mark is left out of the test
+        word = np.logical_and.reduceat(letter, starts)
+        mark = np.where(word, mark, 0)
+        keep = np.ones(len(raw), bool)
+        keep[ends[mark > 0] - 1] = False
+        small = np.where(np.repeat(word, ends - starts) & IS_LETTER[raw], raw | 0x20, raw)[keep]
+        return binary(small, np.cumsum(ends - starts - (mark > 0))), mark, word
+
+    def _library(self, parts: pa.BinaryArray, word: np.ndarray) -> Lists:
+        """Ids of each part: words by the letters only, others by every rule."""
+        found, raw = [np.zeros(0, np.uint32)] * len(parts), parts.to_pylist()
+        is_ascii = [w and p.isascii() for w, p in zip(word.tolist(), raw)]
+        for tokenizer, chosen in ((self.ascii, [i for i, x in enumerate(is_ascii) if x]),
+                                  (self.latin, [i for i, x in enumerate(is_ascii) if word[i] and not x])):
+            blocks = [chosen[at:at + WORDS_AT_ONCE] for at in range(0, len(chosen), WORDS_AT_ONCE)]
+            coded = tokenizer.encode_batch([b" ".join([raw[i] for i in block]).decode() for block in blocks], add_special_tokens=False)
+            for block, e in zip(blocks, coded):
+                ids = np.array(e.ids, np.uint32)
+                cuts = np.searchsorted(np.array(e.word_ids), np.arange(len(block) + 1)).tolist()
+                for i, a, b in zip(block, cuts, cuts[1:]):
+                    found[i] = ids[a:b]
+        rest = np.flatnonzero(~word).tolist()
+        for i, e in zip(rest, self.tokenizer.encode_batch([raw[i].decode() for i in rest], add_special_tokens=False)):
+            found[i] = np.array(e.ids, np.uint32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return Lists(sizes, np.concatenate(found) if found else np.zeros(0, np.uint32))
+
+    def _part_ids(self, parts: pa.BinaryArray, word: np.ndarray) -> Lists:
+        at = self.parts.find(parts)
+        new = np.flatnonzero(at < 0)
+        fresh = self._library(parts.take(pa.array(new)), word[new])
+        at[new] = len(self.parts.ids.sizes) + np.arange(len(new))
+        out = self.parts.ids.add(fresh).take(at)
+        self.parts.put(parts.take(pa.array(new)), fresh)
+        return out
+
+    def _new_ids(self, chunks: pa.BinaryArray) -> Lists:
+        if not len(chunks):
+            return Lists.none()
+        left, mark, word = self._split(chunks)
+        marks = pa.array([bytes([m]) for m in MARKS], pa.binary())
+        coded = pa.concat_arrays([marks, left]).dictionary_encode()
+        codes = coded.indices.to_numpy()
+        is_word = np.zeros(len(coded.dictionary), bool)
+        is_word[codes[len(MARKS):][word]] = True          # a text is a word wherever it stands
+        ids = self._part_ids(coded.dictionary, is_word)
+        ids = ids.add(Lists(np.zeros(1, np.int64), np.zeros(0, np.uint32)))                  # the list of no mark
+        of_mark = np.full(256, len(ids.sizes) - 1)
+        of_mark[list(MARKS)] = codes[:len(MARKS)]
+        both = np.stack([codes[len(MARKS):], of_mark[mark]], axis=1).ravel()
+        joined = ids.take(both)
+        return Lists(joined.sizes.reshape(-1, 2).sum(axis=1), joined.flat)
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each). No text is null."""
+        chunks, first = chunks_of(texts)
+        coded = chunks.dictionary_encode()
+        at = self.chunks.find(coded.dictionary)
+        new = np.flatnonzero(at < 0)
+        keys = coded.dictionary.take(pa.array(new))
+        fresh = self._new_ids(keys)
+        at[new] = len(self.chunks.ids.sizes) + np.arange(len(new))
+        ids = self.chunks.ids.add(fresh).take(at[coded.indices.to_numpy()])
+        self.chunks.put(keys, fresh)
+        before = np.append(0, np.cumsum(ids.sizes))
+        return ids.flat, np.diff(before[first])
 
 
 @lru_cache(maxsize=2)
@@ -290,6 +413,17 @@ def load(path: str) -> Coder:
     return Coder(path)
 
 
+def slices(texts: pa.StringArray, most: int) -> Iterator[tuple[int, pa.StringArray]]:
+    """(first row, texts) of at most so many bytes, one text at least."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        done = int(sizes[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, done + most, side="right")))
+        yield at, texts.slice(at, end - at)
+        at = end
+
+
 def write(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
           folder: str | None = None, shard_tokens: int = SHARD_TOKENS, tasks: int | None = None) -> DataFrame:
     """Encode, write the shards' files and return their manifest: (shard, path,
@@ -304,30 +438,34 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
         coder, part, seq = load(tokenizer), TaskContext.get().partitionId(), 0
         attempt = uuid.uuid4().hex                      # a second try of the task writes other files
         tokens: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
         ids: list[pa.Array] = []
         size = 0
 
         def close() -> pa.RecordBatch:
-            nonlocal tokens, ids, size, seq
-            lengths = np.array([len(t) for t in tokens], np.int64)
+            nonlocal tokens, lengths, ids, size, seq
+            each = np.concatenate(lengths)
             uri = f"{folder}/{part:06d}-{seq:06d}-{attempt}.wm"
-            n_bytes = Writer.write(uri, np.concatenate(tokens), np.cumsum(lengths) - lengths, pa.concat_arrays(ids))
-            row = [part, seq, uri, size, len(tokens), n_bytes]
-            tokens, ids, size, seq = [], [], 0, seq + 1
+            n_bytes = Writer.write(uri, np.concatenate(tokens), np.cumsum(each) - each, pa.concat_arrays(ids))
+            row = [part, seq, uri, size, len(each), n_bytes]
+            tokens, lengths, ids, size, seq = [], [], [], 0, seq + 1
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["part", "seq", "path", "n_tokens", "n_texts", "bytes"])
 
-        end = np.array([end_id], np.uint32)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                piece = b.slice(at, 256)
-                for k, found in enumerate(coder.encode(piece.column(1).to_pylist())):
-                    tokens.append(np.append(found, end))
-                    ids.append(piece.column(0).slice(k, 1))
-                    size += len(found) + 1
+            for row, texts in slices(b.column(1), SLICE_BYTES):
+                found, each = coder.encode(texts)
+                found, each = np.insert(found, np.cumsum(each), end_id), each + 1
+                ends, at = np.cumsum(each), 0
+                while at < len(each):                   # texts up to the one that fills the shard
+                    done = int(ends[at - 1]) if at else 0
+                    to = min(len(each), int(np.searchsorted(ends, done + shard_tokens - size)) + 1)
+                    tokens.append(found[done:int(ends[to - 1])])
+                    lengths.append(each[at:to])
+                    ids.append(b.column(0).slice(row + at, to - at))
+                    size += int(ends[to - 1]) - done
+                    at = to
                     if size >= shard_tokens:
                         yield close()
-                if len(ids) > 4096:
-                    ids = [pa.concat_arrays(ids)]
         if size:
             yield close()
     df = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),

@@ -57,10 +57,22 @@ TEXTS = ["Hello, world! It's 3.5 o'clock.", None, "", " \n\t ", "a\x1cb c", "ÉC
 def test_ids_are_those_of_the_library():
     coder = wavelet.Coder(PATH)
     for _ in range(2):
-        assert [x.tolist() for x in coder.encode([t or "" for t in TEXTS])] == library(TEXTS)
+        assert encoded(coder, TEXTS) == library(TEXTS)
     coder.chunks, coder.parts = wavelet.Remembered(6), wavelet.Remembered(4)
     for t, ids in zip(TEXTS * 2, library(TEXTS) * 2):
-        assert coder.encode([t or ""])[0].tolist() == ids
+        assert encoded(coder, [t]) == [ids]
+    assert encoded(coder, []) == [] and encoded(coder, ["", None]) == [[], []]
+
+
+def encoded(coder, texts):
+    ids, sizes = coder.encode(pa.array(["skipped", *(t or "" for t in texts)], pa.string()).slice(1))
+    return [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] if len(texts) else []
+
+
+def test_every_letter_and_its_neighbours_as_the_library_has_them():
+    letters = [chr(c) for c in range(0x20, 0x600)] + ["\u0130x", "a\u0307", "\u1e9e", "\u01c5", "\u0345", "\u2126"]
+    texts = [a + b for a in letters for b in ("", ".", "x", "s\u0301.")]
+    assert encoded(wavelet.Coder(PATH), texts) == library(texts)
 
 
 def test_shards_of_a_table(spark):
