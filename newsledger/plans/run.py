@@ -3,14 +3,16 @@
 incremental run: read input and base -> anti-join on the key (only final
 outcomes count as processed) -> stop if nothing is new -> classify ->
 extract for relevant rows -> clean the extracted fields -> metadata ->
-write 'filled' (all processed rows) once, then derive 'heat' (relevant rows)
-and the base append from the written table, so the model never runs twice
-and the lineage is cut at a table in shared storage.
+write 'filled' (all processed rows) once, then derive 'heat' (relevant rows),
+the base append and the run's keys from the written table, so the model never
+runs twice and the lineage is cut at a table in shared storage -> name all four
+in the run ledger, which is the one commit.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,9 @@ from ..functions.common import py_strip
 from ..operators import incremental as inc
 from ..operators import reports
 from ..operators.classify import classify, extract, processing_status
+from ..operators.key_index import KeyIndex
 from . import sinks
+from .ledger import Ledger
 
 
 @dataclass
@@ -90,7 +94,11 @@ def process(input_df: DataFrame, base: DataFrame | None, classifier, extractor,
             s: RunSettings) -> DataFrame:
     """The lazy plan of one run (no action)."""
     outcomes = reports.FINAL_OUTCOMES if s.retry_unfinished else None
-    new = inc.new_rows(input_df, base, s.key, s.skip_processed, s.mode, outcomes)
+    return process_new(inc.new_rows(input_df, base, s.key, s.skip_processed, s.mode, outcomes), classifier, extractor, s)
+
+
+def process_new(new: DataFrame, classifier, extractor, s: RunSettings) -> DataFrame:
+    """The lazy plan from the rows that are new to the output rows."""
     c = classify(new, classifier, "content", s.classify_template)
     x = extract(c, extractor, list(s.fields), "content", s.extract_template, slots=s.extract_slots)
     x = coerce_fields(x, s.field_types, s.as_of)
@@ -98,23 +106,53 @@ def process(input_df: DataFrame, base: DataFrame | None, classifier, extractor,
     return sinks.with_run_columns(x, s.run_ts)
 
 
+def key_index(spark: SparkSession, out_root: str) -> KeyIndex:
+    return KeyIndex(spark, os.path.join(out_root, "keys"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def new_to_base(spark: SparkSession, input_df: DataFrame, out_root: str, s: RunSettings) -> DataFrame:
+    """Input rows that no committed run has finished, by the key index."""
+    runs = [b["folder"].removeprefix("run=") for b in Ledger(spark, out_root).batches("keys")]
+    if not runs or not s.base_enabled or not s.skip_processed or s.mode == "full" or s.key not in input_df.columns:
+        return input_df
+    return key_index(spark, out_root).new_rows(input_df, runs, s.key, s.retry_unfinished)
+
+
 def run_incremental(spark: SparkSession, input_df: DataFrame, out_root: str, classifier, extractor,
-                    s: RunSettings) -> DataFrame | None:
+                    s: RunSettings, source: str | None = None, batch: str | None = None) -> DataFrame | None:
     """Execute one run. Returns the run summary (one row) or None when there
-    was nothing new (outputs are then left as they are)."""
-    base_path = os.path.join(out_root, "base")
-    fs, p, _ = sinks._fs(spark, base_path)
-    base = spark.read.option("mergeSchema", True).parquet(base_path) if s.base_enabled and fs.exists(p) else None
-    processed = process(input_df, base, classifier, extractor, s)
+    was nothing new (outputs are then left as they are). ``source`` names what
+    the input is (a stream's batch): a source that was committed is not run
+    again. ``batch`` names the base's batch."""
+    ledger = Ledger(spark, out_root)
+    if source is not None and ledger.find(source):
+        return None
+    number = ledger.next_number()
+    processed = process_new(new_to_base(spark, input_df, out_root, s), classifier, extractor, s)
     # the processed rows are written once; nothing new -> nothing published
-    filled_path = sinks.write_version(processed, out_root, "filled", publish_empty=False)
+    filled_path = sinks.write_version(processed, out_root, "filled", publish_empty=False, publish=False)
     if filled_path is None:
         return None
     filled = spark.read.parquet(filled_path)
-    sinks.write_version(filled.filter(F.col("is_relevant") == 1), out_root, "heat")
+    heat_path = sinks.write_version(filled.filter(F.col("is_relevant") == 1), out_root, "heat", publish=False)
+    version = lambda path: int(path.rsplit("=", 1)[1])
+    entry = {"tables": {"filled": version(filled_path), "heat": version(heat_path)}, "run_ts": s.run_ts, "source": source}
     if s.base_enabled:
-        sinks.append_rows(filled.withColumn("batch_id", F.lit(f"run-{os.path.basename(filled_path)}")), base_path)
-    return reports.run_summary(filled, total_input=input_df)
+        batch = batch or f"run-{os.path.basename(filled_path)}"
+        sinks.append_rows(filled.withColumn("batch_id", F.lit(batch)), os.path.join(out_root, "base"))
+        entry["batches"] = {"base": {"folder": f"run_date={s.run_ts[:10]}/batch_id={quoted(batch)}"}}
+        if s.key in filled.columns:
+            keys = f"{number:08d}-{uuid.uuid4().hex}"
+            key_index(spark, out_root).append(filled, keys, s.key, F.col("outcome").isin(*reports.FINAL_OUTCOMES))
+            entry["batches"]["keys"] = {"folder": f"run={keys}"}
+    summary = reports.run_summary(filled, total_input=input_df)
+    ledger.commit(entry | {"summary": summary.first().asDict()}, number)
+    return summary
+
+
+def quoted(name: str) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    return name.replace("%", "%25").replace("=", "%3D").replace(":", "%3A").replace("/", "%2F")
 
 
 def run_article_labels(articles: DataFrame, urls_t: DataFrame, classifier) -> DataFrame:

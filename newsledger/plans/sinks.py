@@ -1,9 +1,10 @@
 """Versioned table writes.
 
 A table is a folder of versions ``<root>/<name>/version=<n>``; readers take
-the newest complete version. A write never touches the version being read,
+the newest published version. A write never touches the version being read,
 so 'overwrite the input' is safe; the previous versions are the backups. The
-write is verified by re-reading its row count before it is published.
+write is verified by re-reading its row count before it is published: by a
+marker of its own, or by the run that names it in the ledger.
 """
 
 from __future__ import annotations
@@ -16,25 +17,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ledger import Ledger, file_system, read_batches
+
 _VERSION = re.compile(r"^version=(\d+)$")
 MARKER = "_PUBLISHED"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+_fs = file_system
 
 
 def published_versions(spark: SparkSession, root: str, name: str) -> list[int]:
     fs, p, jvm = _fs(spark, os.path.join(root, name))
     if not fs.exists(p):
         return []
-    out = []
+    out = set(Ledger(spark, root).versions(name))
     for st in fs.listStatus(p):
         m = _VERSION.match(st.getPath().getName())
         if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), MARKER)):
-            out.append(int(m.group(1)))
+            out.add(int(m.group(1)))
     return sorted(out)
 
 
@@ -51,11 +51,12 @@ def read_latest(spark: SparkSession, root: str, name: str, schema=None) -> DataF
 
 
 def write_version(df: DataFrame, root: str, name: str, partition_by=(), verify: bool = True,
-                  expected_rows: int | None = None, order_by=(), publish_empty: bool = True) -> str | None:
+                  expected_rows: int | None = None, order_by=(), publish_empty: bool = True, publish: bool = True) -> str | None:
     """Write ``df`` as the next version and publish it after a row-count check.
     ``order_by`` sorts the output (a range-partitioned sort, e.g. by url).
     With ``publish_empty=False`` an empty result is left unpublished and None
-    is returned (the plan runs once; no separate emptiness probe)."""
+    is returned (the plan runs once; no separate emptiness probe). With
+    ``publish=False`` the version is left for a run of the ledger to name."""
     if order_by:
         df = df.orderBy(*order_by)
     spark = df.sparkSession
@@ -79,6 +80,8 @@ def write_version(df: DataFrame, root: str, name: str, partition_by=(), verify:
                 raise IOError(f"{name}: wrote {written} rows, expected {expected}")
         if written == 0 and not publish_empty:
             return None
+    if not publish:
+        return path
     out = fs.create(jvm.org.apache.hadoop.fs.Path(path, MARKER), True)
     out.write(bytearray(json.dumps({"version": n}).encode()))
     out.close()
@@ -102,6 +105,11 @@ def append_rows(df: DataFrame, path: str, partition_by=("run_date", "batch_id"))
         "partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def read_base(spark: SparkSession, root: str) -> DataFrame | None:
+    """The base: all batches that committed runs name."""
+    return read_batches(spark, root, "base")
+
+
 def with_run_columns(df: DataFrame, run_ts: str) -> DataFrame:
     """Metadata columns: one literal timestamp per run, and its date."""
     ts = F.to_timestamp(F.lit(run_ts))

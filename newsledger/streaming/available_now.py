@@ -1,20 +1,20 @@
 """Incremental run over arriving input files.
 
-Each micro-batch of new input files is handled by ``foreachBatch``: the batch
-is anti-joined against the base table, processed, and appended to the base
-(the append happens inside the batch, so the next batch sees it). With
-``Trigger.AvailableNow`` the query drains whatever files exist and stops -
-the streaming equivalent of re-running the batch job. The source checkpoint
-records which files were consumed, so a restarted job neither skips nor
-repeats a file. A batch that failed half-way is re-run with its old number: it
-does not see its own earlier rows in the base and replaces them, so it leaves
-the same rows as if it had run once. Of rows of one key in a batch the first by
-value is processed; rows without a key all are.
+Each micro-batch of new input files is a run of its own (``foreachBatch``): the
+rows that no committed run has finished are processed and filled, heat, base and
+keys are written and named in the run ledger by one commit, with the counts of
+the run. With ``Trigger.AvailableNow`` the query drains whatever files exist and
+stops - the streaming equivalent of re-running the batch job. The source
+checkpoint records which files were consumed, so a restarted job neither skips
+nor repeats a file. A batch is known by its checkpoint and number: one that was
+committed is not run again when it is replayed, one that failed half-way has
+left nothing that is read and runs anew. Of rows of one key in a batch the first
+by value is processed; rows without a key all are.
 """
 
 from __future__ import annotations
 
-import os
+import zlib
 from dataclasses import replace
 from datetime import datetime, timezone
 
@@ -24,15 +24,14 @@ from pyspark.sql import types as T
 
 from ..operators.incremental import first_per_key
 from ..plans import run as runmod
-from ..plans import sinks
-from ..session import staged
+from ..plans.ledger import Ledger
 
 
-def drop_batch(spark: SparkSession, base_path: str, run: str) -> None:
-    """Remove what an earlier try of this batch wrote (under whatever date)."""
-    fs, _, jvm = sinks._fs(spark, base_path)
-    for found in fs.globStatus(jvm.org.apache.hadoop.fs.Path(base_path, f"run_date=*/batch_id={run}")) or []:
-        fs.delete(found.getPath(), True)
+def batch_name(spark: SparkSession, out_root: str, checkpoint: str, batch_id: int) -> str:
+    """The batch's number; if a run of another source has that name, with a
+    mark of this checkpoint."""
+    taken = {b["folder"].rsplit("=", 1)[1] for b in Ledger(spark, out_root).batches("base")}
+    return str(batch_id) if str(batch_id) not in taken else f"s{zlib.crc32(checkpoint.encode()):08x}-{batch_id}"
 
 
 def start(spark: SparkSession, input_dir: str, schema: T.StructType, out_root: str, classifier,
@@ -47,24 +46,18 @@ def start(spark: SparkSession, input_dir: str, schema: T.StructType, out_root: s
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(input_dir)
     fixed = settings.run_ts != runmod.RunSettings.run_ts
-    base_path = os.path.join(out_root, "base")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         s = replace(settings, run_ts=settings.run_ts if fixed else now)
-        run = str(batch_id)
-        session = batch.sparkSession
-        fs, p, _ = sinks._fs(session, base_path)
-        base = session.read.option("mergeSchema", True).parquet(base_path).where(
-            F.coalesce(F.col("batch_id").cast("string") != run, F.lit(True))) if s.base_enabled and fs.exists(p) else None
+        session, source = batch.sparkSession, f"{checkpoint}#{batch_id}"
+        if Ledger(session, out_root).find(source):
+            return
         keyed = batch.where(F.col(s.key).isNotNull())
         others = [c for c in batch.columns if c != s.key]
         rows = first_per_key(keyed, s.key, others).unionByName(batch.where(F.col(s.key).isNull()))
-        # one stored table: the model is called once per row, also if the append is tried again
-        processed = staged(runmod.process(rows, base, classifier, extractor, s).withColumn("batch_id", F.lit(run)), "batch")
-        if fs.exists(p):
-            drop_batch(session, base_path, run)
-        sinks.append_rows(processed, base_path)
+        runmod.run_incremental(session, rows, out_root, classifier, extractor, s, source,
+                               batch_name(session, out_root, checkpoint, batch_id))
 
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
