@@ -167,13 +167,14 @@ def batch_progress(df: DataFrame, order: list[str], batch_size: int = 50) -> Dat
 def prepend_new(collected: DataFrame, existing: DataFrame, key: str = "url",
                 pos: str = "pos") -> DataFrame:
     """New keys (not in ``existing``) first in collected order, then the
-    existing rows in their order. Adds ``is_new`` and a fresh ``pos``."""
+    existing rows in their order. Adds ``is_new`` and a dense ``pos``: each side
+    is numbered by itself and the existing rows move up by the number of new
+    ones, so the two never meet in a sort."""
     fresh = collected.join(existing.select(key).where(F.col(key).isNotNull()).distinct(), on=key, how="left_anti")
-    both = (fresh.withColumn("is_new", F.lit(True)).withColumn("_grp", F.lit(0))
-            .unionByName(existing.withColumn("is_new", F.lit(False)).withColumn("_grp", F.lit(1)),
-                         allowMissingColumns=True))
-    both = both.withColumnRenamed(pos, "_old_pos")
-    return with_row_index(both, ["_grp", "_old_pos"], pos).drop("_grp", "_old_pos")
+    fresh = with_row_index(fresh, [pos], "_pos").drop(pos)
+    old = with_row_index(existing, [pos], "_pos").drop(pos).withColumn("_pos", F.col("_pos") + F.lit(fresh.count()))
+    return fresh.withColumn("is_new", F.lit(True)).unionByName(
+        old.withColumn("is_new", F.lit(False)), allowMissingColumns=True).withColumnRenamed("_pos", pos)
 
 
 def union_by_name(*dfs: DataFrame) -> DataFrame:

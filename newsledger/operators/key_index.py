@@ -3,8 +3,11 @@
 Every run adds its own keys as a partition ``run=<name>``, cut into the same
 buckets by the key's hash. To find out what is new, only the distinct keys of
 the input are shuffled, into the index's buckets, and each bucket is joined where
-it lies: the base itself is not read and no stored key is moved again. A run's
-keys count once the caller names the run (a run that failed is never named).
+it lies: the base itself is not read and no stored key is moved again (as long as
+the index has no fewer buckets than the session has shuffle partitions; with fewer
+Spark prefers to deal both sides anew). A run's keys count once the caller names
+the run (a run that failed is never named). ``merge`` writes the keys of many runs
+as one, so that a bucket is not read from many small files for ever.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.ledger import file_system
+from ..session import staged
 
 BUCKETS = 256            # of a new index; about the tasks that should read it
 META = "_index.json"
@@ -50,7 +54,8 @@ class KeyIndex:
         with. A run that is added again replaces what its first try added."""
         done = F.lit(True) if final is None else F.coalesce(final, F.lit(False))
         keys = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("key")).agg(F.max(done).alias("final"))
-        keys.repartition(self.buckets, "key").createOrReplaceTempView(view := f"{self.table}_new")
+        # stored first: the rows may have been found by this index
+        staged(keys, "keys").repartition(self.buckets, "key").createOrReplaceTempView(view := f"{self.table}_new")
         self.spark.sql(f"INSERT OVERWRITE {self.table} PARTITION (run = '{run}') SELECT key, final FROM {view}")
         self.spark.catalog.dropTempView(view)
 
@@ -63,7 +68,12 @@ class KeyIndex:
     def known(self, rows: DataFrame, runs: Sequence[str], key: str = "url", only_final: bool = True) -> DataFrame:
         """(key): which of the rows' distinct keys are in the index."""
         asked = rows.select(F.col(key).cast("string").alias("key")).where(F.col("key").isNotNull()).distinct()
-        return asked.repartition(self.buckets, "key").join(self.entries(runs, only_final).hint("merge"), "key", "left_semi")
+        return asked.join(self.entries(runs, only_final).hint("merge"), "key", "left_semi")
+
+    def merge(self, runs: Sequence[str], into: str) -> None:
+        """Write the keys of the named runs once more as the run ``into``."""
+        found = self.spark.read.schema("key string, final boolean").parquet(*[os.path.join(self.path, f"run={r}") for r in runs])
+        self.append(found, into, "key", F.col("final"))
 
     def new_rows(self, rows: DataFrame, runs: Sequence[str], key: str = "url", only_final: bool = True) -> DataFrame:
         """Rows whose key is in no named run. Null keys and rows of one key

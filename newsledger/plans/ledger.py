@@ -76,8 +76,11 @@ class Ledger:
         return sorted(r["tables"][table] for r in self.runs() if table in r.get("tables", {}))
 
     def batches(self, table: str) -> list[dict]:
-        """Batches of an appended table, oldest first."""
-        return [r["batches"][table] for r in self.runs() if table in r.get("batches", {})]
+        """Batches of an appended table, oldest first, without those that a
+        later batch replaces."""
+        found = [r["batches"][table] for r in self.runs() if table in r.get("batches", {})]
+        gone = {f for b in found for f in b.get("replaces", ())}
+        return [b for b in found if b["folder"] not in gone]
 
     def summaries(self) -> DataFrame | None:
         """One row per run: its number and its counts."""
@@ -86,12 +89,13 @@ class Ledger:
         return self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], ", ".join(f"`{n}` long" for n in names)) if rows else None
 
     def remove_orphans(self) -> list[str]:
-        """Delete what no committed run names (call it while no run is going
-        on): unpublished versions, batches and key runs. Returns the paths."""
+        """Delete what no committed run names or a later one replaces (call it
+        while no run is going on): unpublished versions, batches and key runs.
+        Returns the paths."""
         fs, root, jvm = file_system(self.spark, self.root)
         runs, gone = self.runs(), []
         named = {(t, f"version={v}") for r in runs for t, v in r.get("tables", {}).items()}
-        named |= {(t, b["folder"]) for r in runs for t, b in r.get("batches", {}).items()}
+        named |= {(t, b["folder"]) for t in {t for r in runs for t in r.get("batches", {})} for b in self.batches(t)}
         for pattern in ("*/version=*", "*/batch=*", "*/run=*", "*/run_date=*/batch_id=*"):
             for found in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, pattern)) or []:
                 p = found.getPath()

@@ -524,6 +524,23 @@ def _sql() -> dict:
         "SELECT doc_id, d.raw, coalesce(t.term, b.near, 'none') AS value, CASE WHEN coalesce(d.raw, '') = '' THEN 'blank' "
         "WHEN t.term IS NOT NULL THEN 'exact' WHEN b.near IS NOT NULL THEN 'fuzzy' ELSE 'none' END AS match_kind "
         "FROM d LEFT JOIN t ON d.raw = t.term LEFT JOIN b ON b.raw = d.raw")
+    S["two_runs"] = (
+        f"WITH a AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'empty_content' ELSE outcome END AS outcome, "
+        f"CASE WHEN doc_id % 7 = 0 THEN 0 ELSE is_relevant END AS is_relevant, CASE WHEN doc_id % 7 <> 0 THEN first_word END AS first_word FROM {pd_}) "
+        "SELECT *, 1 AS run FROM a WHERE doc_id % 3 <> 1 UNION ALL "
+        "SELECT *, 2 AS run FROM a WHERE doc_id % 3 = 1 OR outcome NOT IN ('extracted', 'irrelevant')")
+    S["key_index_new"] = (
+        "WITH f AS (SELECT url, max(page_id % 3 <> 0) AS final FROM pages WHERE page_id % 4 = 0 GROUP BY url), "
+        "n AS (SELECT * FROM pages WHERE page_id % 4 < 2 AND url NOT IN (SELECT url FROM f WHERE final)), "
+        "s AS (SELECT url, max(page_id % 5 <> 0) AS final FROM n GROUP BY url) "
+        "SELECT page_id, url FROM pages WHERE url NOT IN (SELECT url FROM f WHERE final UNION ALL SELECT url FROM s WHERE final)")
+    S["link_batches"] = (
+        "WITH m AS (SELECT 2 AS run, 'https://n' || page_id % 53 || '.example.com/' AS url, page_id AS k FROM pages WHERE page_id % 2 = 0 UNION ALL "
+        "SELECT 1, 'https://n' || page_id % 97 || '.example.com/', page_id FROM pages UNION ALL "
+        "SELECT 0, 'https://n' || page_id % 60 || '.example.com/', page_id FROM pages), "
+        "f AS (SELECT url, max({'run': run, 'k': -k}) AS x FROM m GROUP BY url), "
+        "r AS (SELECT url, x.run AS run, -x.k AS k FROM f) "
+        "SELECT url, row_number() OVER (ORDER BY run, k) - 1 AS pos, dense_rank() OVER (ORDER BY run) - 1 AS batch FROM r")
     return S
 
 

@@ -8,6 +8,8 @@ work grows with the tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from ..operators.categorical import with_category, with_vocabulary_table
 from ..operators.fuzzy import Measure
 from ..operators.classify import RuleExtractor, RuleScorer, classify, extract, processing_status, update_labels
 from ..operators.validate import ColumnSpec, FLOAT, INTEGER, TEXT, column_report, validate
+from ..session import work_path
 from ..sources.tables import table
 
 # Parameters of the checkable runs.
@@ -538,7 +541,44 @@ def collect_links(spark, sf):
     return run(mails, existing).select("url", "pos", "is_new")
 
 
+def link_batches(spark, sf):
+    """A link table after three collections, the last of which brings nothing
+    new: every run writes its new links only."""
+    from . import links as store
+    p = _t(spark, sf, "pages")
+    root = work_path(spark, "queries", uuid.uuid4().hex)
+    at = lambda n: F.concat(F.lit("https://n"), (F.col("page_id") % n).cast("string"), F.lit(".example.com/"))
+    mails = lambda n, rows: rows.select(F.col("page_id").alias("msg_pos"), F.concat(F.lit('<a href="'), at(n), F.lit('">a</a>')).alias("html"))
+    for rows in (mails(53, p.where("page_id % 2 = 0")), mails(97, p), mails(60, p)):
+        store.run_collect_links(spark, rows, root)
+    return store.read_links(spark, root).select("url", "pos", "batch")
+
+
 # ---------------------------------------------------------------- the incremental run
+def two_runs(spark, sf):
+    """Two incremental runs into one base, the second over all documents: the
+    base afterwards, with the run that each row came from."""
+    from . import sinks
+    from .run import RunSettings, run_incremental
+    d = _t(spark, sf, "documents").select("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("url"),
+                                          F.when(F.col("doc_id") % 7 != 0, F.col("text")).alias("content"))
+    root = work_path(spark, "queries", uuid.uuid4().hex)
+    for day, rows in (("2025-01-01", d.where("doc_id % 3 <> 1")), ("2025-01-02", d)):
+        run_incremental(spark, rows, root, RuleScorer(RELEVANCE_PATTERN), RuleExtractor(EXTRACT_FIELDS),
+                        RunSettings(fields=tuple(f for f, _ in EXTRACT_FIELDS), run_ts=f"{day} 00:00:00"))
+    return sinks.read_base(spark, root).select("doc_id", "outcome", "is_relevant", "first_word", F.dayofmonth("run_date").alias("run"))
+
+
+def key_index_new(spark, sf):
+    """Pages that two earlier runs have not finished, by the key index."""
+    from ..operators.key_index import KeyIndex
+    p = _t(spark, sf, "pages").select("page_id", "url")
+    index = KeyIndex(spark, work_path(spark, "queries", uuid.uuid4().hex), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    index.append(p.where("page_id % 4 = 0"), "first", final=F.col("page_id") % 3 != 0)
+    index.append(index.new_rows(p.where("page_id % 4 < 2"), ["first"]), "second", final=F.col("page_id") % 5 != 0)
+    return index.new_rows(p, ["first", "second"])
+
+
 def incremental_run(spark, sf):
     """Pages -> article text -> fetch status -> skip already processed URLs ->
     classify -> extract -> metadata columns."""
@@ -645,6 +685,9 @@ QUERIES = {
     "live_coercion": live_coercion,
     "collect_links": collect_links,
     "incremental_run": incremental_run,
+    "two_runs": two_runs,
+    "key_index_new": key_index_new,
+    "link_batches": link_batches,
     "consistency": consistency,
     "article_refetch": article_refetch,
     "heat_conform": heat_conform,

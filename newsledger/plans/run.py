@@ -150,6 +150,16 @@ def run_incremental(spark: SparkSession, input_df: DataFrame, out_root: str, cla
     return summary
 
 
+def merge_keys(spark: SparkSession, out_root: str) -> None:
+    """Write the keys of all runs as one; one commit replaces the many."""
+    ledger = Ledger(spark, out_root)
+    number, folders = ledger.next_number(), [b["folder"] for b in ledger.batches("keys")]
+    if len(folders) > 1:
+        into = f"{number:08d}-{uuid.uuid4().hex}"
+        key_index(spark, out_root).merge([f.removeprefix("run=") for f in folders], into)
+        ledger.commit({"batches": {"keys": {"folder": f"run={into}", "replaces": folders}}}, number)
+
+
 def quoted(name: str) -> str:
     """A partition value as Spark writes it in a folder's name."""
     return name.replace("%", "%25").replace("=", "%3D").replace(":", "%3A").replace("/", "%2F")
@@ -165,16 +175,22 @@ def run_article_labels(articles: DataFrame, urls_t: DataFrame, classifier) -> Da
     return labelled.withColumn("is_news", F.when(done, F.col("is_news"))).drop("outcome")
 
 
-def collect_links(mails: DataFrame, existing: DataFrame) -> DataFrame:
-    """Links from alert mails (msg_pos, html) prepended to the URL table
-    (url, pos): only new links, first occurrence wins, in mail order."""
+def mail_links(mails: DataFrame) -> DataFrame:
+    """(url, pos): the links of alert mails (msg_pos, html), first occurrence
+    wins, in mail order."""
     from ..functions import urls
     ex = mails.select("msg_pos", F.posexplode(urls.extract_hrefs("html")).alias("link_pos", "href"))
     ex = ex.filter(F.col("href").startswith("http")).withColumn("url", urls.canonical_link("href"))
     ex = ex.filter(~urls.is_excluded_link("url"))
     firsts = inc.first_per_key(ex.select("url", "msg_pos", "link_pos"), "url", ["msg_pos", "link_pos"])
-    collected = inc.with_row_index(firsts, ["msg_pos", "link_pos"], "pos").select("url", "pos")
-    return inc.prepend_new(collected, existing.select("url", "pos"))
+    return inc.with_row_index(firsts, ["msg_pos", "link_pos"], "pos").select("url", "pos")
+
+
+def collect_links(mails: DataFrame, existing: DataFrame) -> DataFrame:
+    """Links from alert mails prepended to a URL table (url, pos) that is not
+    kept in batches: only new links, in mail order. ``plans.links`` keeps a link
+    table to which runs only add."""
+    return inc.prepend_new(mail_links(mails), existing.select("url", "pos"))
 
 
 def refetch_missing(articles: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:
