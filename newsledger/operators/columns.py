@@ -60,21 +60,43 @@ def with_float(df: DataFrame, raw: Column, out: str, rng: numbers.NumberRange =
     return df.withColumn(out, _result(value, error)).drop(d_, b_)
 
 
-def _month_hit(s: Column) -> Column:
-    """1-based index into MONTH_TERMS of the first month name contained in
-    ``s`` (Thai full names exact-case first, then the variations in any case)."""
-    low = F.lower(s)
-    hits = [F.contains(low, F.lit(lt)) if ci else F.contains(s, F.lit(t)) for t, lt, _m, ci in MONTH_TERMS]
-    pos = F.array_position(F.array(*hits), F.lit(True))   # first listed hit, 0 when none
-    return F.when(pos > 0, pos.cast("int"))
-
-
+#: Month terms in the order they are looked for: Thai full names in exact case, then the variations in any case.
 MONTH_TERMS = ([(n, n, i + 1, False) for i, n in enumerate(dates.THAI_MONTHS)]
                + [(a, a.lower(), m, True) for a, m in dates.MONTH_VARIATIONS])
 
 
-def _ymd(y, m, d):
-    return F.struct(y.alias("y"), m.alias("m"), d.alias("d"))
+def _month_term(s: Column) -> Column:
+    """STRUCT<t, m>: the first listed month term contained in ``s``."""
+    terms = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(low).alias("low"), F.lit(m).alias("m"), F.lit(ci).alias("ci")) for t, low, m, ci in MONTH_TERMS])
+    return F.get(F.filter(terms, lambda x: F.when(x["ci"], F.contains(F.lower(s), x["low"])).otherwise(F.contains(s, x["t"]))), 0)
+
+
+#: What a number may be, by its length and value: m and M a month (one digit, two digits; so also a day), d and D a day,
+#: 2 two other digits, 4 four digits, x nothing.
+def _number_class(t: Column) -> Column:
+    v = t.try_cast("int")
+    two = F.length(t) == 2
+    return (F.when(F.length(t) == 4, "4").when(F.length(t) > 2, "x").when(v.between(1, 12), F.when(two, "M").otherwise("m"))
+            .when(v.between(1, 31), F.when(two, "D").otherwise("d")).when(two, "2").otherwise("x"))
+
+
+def layout_orders() -> dict[str, str]:
+    """Shape -> where year, month and day are, by the eight numeric layouts in
+    their order. A shape is the separator and the classes of the three numbers; it
+    has one order at most, as month-first fits whenever both fit."""
+    month, day, last = "mM", "mMdD", {"/": "4MD2", "-": "4"}
+    out = {}
+    for sep in "/-":
+        for a in "mMdD24":
+            for b in day:
+                for c in "mMdD24":
+                    if a in day and c in last[sep]:
+                        order = "201" if a in month else "210" if b in month else None
+                    else:
+                        order = "012" if a == "4" and b in month and c in day else None
+                    if order:
+                        out[sep + a + b + c] = order
+    return out
 
 
 def with_date(df: DataFrame, raw: Column, out: str, *rules, **named_rules) -> DataFrame:
@@ -95,75 +117,53 @@ def with_date(df: DataFrame, raw: Column, out: str, *rules, **named_rules) -> Da
 
 def date_stages(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_year: int = 2030,
                 as_of=None, allow_future: bool = False, cutoff: int = dates.BUDDHIST_CUTOFF) -> DataFrame:
-    """The parse itself for every row of ``df``, in stages."""
-    T = lambda k: _tmp(out, k)
-    I = dates._int
-    rawc = raw.cast("string")
-    df = df.withColumn(T("raw"), rawc)
-    df = df.withColumn(T("s"), thai_digits_to_ascii(F.regexp_replace(py_strip(F.col(T("raw"))),
-                                                                     dates.DATE_PREFIX_PATTERN, "")))
-    s = F.col(T("s"))
-    has_letter = s.rlike(r"[^0-9\s/.,\-]")
-    idx = F.when(has_letter, _month_hit(s))
-    df = df.withColumn(T("idx"), idx)
-    i = F.col(T("idx"))
-    # element_at is guarded: a null index must not reach it
-    df = (df.withColumn(T("term"), F.when(i.isNotNull(), F.element_at(F.array(*[F.lit(t) for t, _, _, _ in MONTH_TERMS]), i)))
-          .withColumn(T("month"), F.when(i.isNotNull(), F.element_at(F.array(*[F.lit(m) for _, _, m, _ in MONTH_TERMS]), i)))
-          .withColumn(T("n"), dates.normalize_separators(s)))
-    n = F.col(T("n"))
-    df = (df.withColumn(T("nums"), F.when(F.col(T("term")).isNotNull(),
-                                          F.regexp_extract_all(F.replace(s, F.col(T("term")), F.lit("")),
-                                                               F.lit(r"(\d+)"), F.lit(1))))
-          .withColumn(T("parts"), F.when(n.rlike(r"^\d+[/-]\d+[/-]\d+$"), F.split(n, "[/-]")))
-          .withColumn(T("n3"), F.regexp_extract_all(n, F.lit(r"(\d+)"), F.lit(1))))
-    nums, parts, n3 = F.col(T("nums")), F.col(T("parts")), F.col(T("n3"))
-    ny, nm, nd = dates._shift(I(F.get(nums, 1)), cutoff), F.col(T("month")), I(F.get(nums, 0))
-    named = F.when((F.size(nums) >= 2) & dates.valid_ymd(ny, nm, nd), _ymd(ny, nm, nd))
-    # numeric layouts in order: the text has the layout's shape, the date
-    # exists as written and after the Buddhist shift
-    a, b, c = F.get(parts, 0), F.get(parts, 1), F.get(parts, 2)
-    # the text already has the digits-separator-digits shape, so each layout
-    # field test is a length and range check (no regex per field)
-    la, lb, lc = F.length(a), F.length(b), F.length(c)
-    ai_, bi_, ci_ = I(a), I(b), I(c)
-    flags = {"slash": n.contains("/"), "dash": n.contains("-"), "ai": ai_, "bi": bi_, "ci": ci_,
-             "ma": (la <= 2) & ai_.between(1, 12), "mb": (lb <= 2) & bi_.between(1, 12),
-             "da": (la <= 2) & ai_.between(1, 31), "db": (lb <= 2) & bi_.between(1, 31),
-             "dc": (lc <= 2) & ci_.between(1, 31), "y4a": la == 4, "y4c": lc == 4, "y2c": lc == 2}
-    df = df.withColumn(T("f"), F.when(parts.isNotNull(), F.struct(*[v.alias(k) for k, v in flags.items()])))
-    f = F.col(T("f"))
-    slash, dash, ma, mb, da, db, dc, y4a, y4c, y2c = (f[k] for k in ("slash", "dash", "ma", "mb", "da", "db", "dc",
-                                                                     "y4a", "y4c", "y2c"))
-    ai, bi, ci = f["ai"], f["bi"], f["ci"]
-    y2 = F.when(ci <= 68, ci + 2000).otherwise(ci + 1900)
-    layouts = [
-        (slash & ma & db & y4c, ai, bi, ci), (slash & da & mb & y4c, bi, ai, ci), (slash & y4a & mb & dc, bi, ci, ai),
-        (dash & ma & db & y4c, ai, bi, ci), (dash & da & mb & y4c, bi, ai, ci), (dash & y4a & mb & dc, bi, ci, ai),
-        (slash & ma & db & y2c, ai, bi, y2), (slash & da & mb & y2c, bi, ai, y2),
-    ]
-    layout = F.coalesce(*[F.when(cond & dates.valid_shifted(y, m, d, cutoff), _ymd(dates._shift(y, cutoff), m, d))
-                          for cond, m, d, y in layouts])
-    x0, x1, x2 = I(F.get(n3, 0)), I(F.get(n3, 1)), I(F.get(n3, 2))
-
-    def yy(y):
-        return (F.when(y > cutoff, y - dates.BUDDHIST_OFFSET)
-                .when(y < 100, F.when(y < 50, y + 2000).otherwise(y + 1900)).otherwise(y))
-    three = F.coalesce(*[F.when(dates.valid_ymd(yy(y), m, d), _ymd(yy(y), m, d))
-                         for m, d, y in ((x0, x1, x2), (x1, x0, x2), (x2, x1, x0))])
-    df = (df.withColumn(T("named"), named)
-          .withColumn(T("layout"), F.when(f.isNotNull(), layout))
-          .withColumn(T("three"), F.when(F.size(n3) == 3, three)))
-    df = df.withColumn(T("d"), dates.ymd_date(F.coalesce(F.col(T("named")), F.col(T("layout")), F.col(T("three")))))
-    d = F.col(T("d"))
+    """The parse itself for every row of ``df``, in stages: the text is reduced
+    to its numbers and their shape, the shape's field order is looked up, and of
+    the few (year, month, day) that come into question the first that exists is
+    taken by one test."""
+    T = lambda k: _tmp(out, k)
+    col = lambda k: F.col(T(k))
+    df = df.withColumn(T("raw"), raw.cast("string"))
+    df = df.withColumn(T("s"), thai_digits_to_ascii(F.regexp_replace(py_strip(col("raw")), dates.DATE_PREFIX_PATTERN, "")))
+    numbers_in = lambda t: F.regexp_extract_all(t, F.lit(r"(\d+)"), F.lit(1))
+    df = df.withColumn(T("term"), F.when(col("s").rlike(r"[^0-9\s/.,\-]"), _month_term(col("s")))).withColumn(
+        T("n"), dates.normalize_separators(col("s")))
+    df = df.withColumn(T("named"), F.when(col("term").isNotNull(), numbers_in(F.replace(col("s"), col("term.t"), F.lit(""))))).withColumn(
+        T("x"), numbers_in(col("n")))
+    x = lambda i: F.get(col("x"), i)
+    separator = F.when(col("n").rlike(r"^\d+/\d+/\d+$"), "/").when(col("n").rlike(r"^\d+-\d+-\d+$"), "-")
+    df = df.withColumn(T("shape"), F.when(F.size(col("x")) == 3, F.concat(separator, *[_number_class(x(i)) for i in range(3)])))
+    orders = F.create_map(*[F.lit(v) for pair in layout_orders().items() for v in pair])
+    df = df.withColumn(T("order"), F.when(col("shape").isNotNull(), F.element_at(orders, col("shape")))).withColumn(
+        T("v"), F.transform(col("x"), lambda t: t.try_cast("long")))
+
+    def ymd(w, y, m, d):
+        """A date in question: the year as written and as meant."""
+        return F.struct(w.cast("long").alias("w"), y.cast("long").alias("y"), m.cast("long").alias("m"), d.cast("long").alias("d"))
+    v = lambda i: F.get(col("v"), i)
+    at = lambda k: F.get(col("v"), F.substring(col("order"), k + 1, 1).cast("int"))
+    pivot = lambda y, top: F.when(y < 100, F.when(y < top, y + 2000).otherwise(y + 1900)).otherwise(y)
+    four = F.substring(col("shape"), 2, 3).contains("4")
+    written = F.when(four, at(0)).otherwise(pivot(at(0), 69))
+    near = lambda y: F.when(y > cutoff, y - dates.BUDDHIST_OFFSET).otherwise(pivot(y, 50))
+    by_name = lambda i: F.get(col("named"), i).try_cast("long")
+    shifted = dates._shift(by_name(1), cutoff)
+    questions = F.array(
+        F.when(F.size(col("named")) >= 2, ymd(shifted, shifted, col("term.m"), by_name(0))),
+        F.when(col("order").isNotNull(), ymd(written, dates._shift(written, cutoff), at(1), at(2))),
+        *[F.when(F.size(col("v")) == 3, ymd(near(v(y)), near(v(y)), v(m), v(d))) for m, d, y in ((0, 1, 2), (1, 0, 2), (2, 1, 0))])
+    leap = lambda y: ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    exists = lambda q: F.coalesce(dates.valid_ymd(q["y"], q["m"], q["d"]) & q["w"].between(1, 9999)
+                                  & (~((q["m"] == 2) & (q["d"] == 29)) | leap(q["w"])), F.lit(False))
+    df = df.withColumn(T("d"), dates.ymd_date(F.get(F.filter(questions, exists), 0)))
+    d = col("d")
     today = F.current_date() if as_of is None else (F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of)
-    blank = is_blank(F.col(T("raw")))
+    blank = is_blank(col("raw"))
     error = (F.when(blank, F.lit(None)).when(d.isNull(), F.lit("unparsable"))
              .when(~F.year(d).between(min_year, max_year), F.lit("out_of_range"))
              .when(F.lit(not allow_future) & (d > today), F.lit("future")))
     df = df.withColumn(out, _result(F.when(error.isNull() & ~blank, d), error))
-    return df.drop(*[T(k) for k in ("raw", "s", "idx", "f", "term", "month", "n", "nums", "parts", "n3", "named", "layout",
-                                      "three", "d")])
+    return df.drop(*[T(k) for k in ("raw", "s", "term", "n", "named", "x", "shape", "order", "v", "d")])
 
 
 def with_nfkc(df: DataFrame, column: str, out: str) -> DataFrame:
