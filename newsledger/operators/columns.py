@@ -10,11 +10,13 @@ code — no expression-tree copies and no interpreted lambdas.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers
-from ..functions.common import is_blank, py_strip, thai_digits_to_ascii
+from ..functions.common import is_blank, py_strip, sql_str, thai_digits_to_ascii
 
 
 def _tmp(out: str, k: str) -> str:
@@ -65,19 +67,15 @@ MONTH_TERMS = ([(n, n, i + 1, False) for i, n in enumerate(dates.THAI_MONTHS)]
                + [(a, a.lower(), m, True) for a, m in dates.MONTH_VARIATIONS])
 
 
-def _month_term(s: Column) -> Column:
-    """STRUCT<t, m>: the first listed month term contained in ``s``."""
-    terms = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(low).alias("low"), F.lit(m).alias("m"), F.lit(ci).alias("ci")) for t, low, m, ci in MONTH_TERMS])
-    return F.get(F.filter(terms, lambda x: F.when(x["ci"], F.contains(F.lower(s), x["low"])).otherwise(F.contains(s, x["t"]))), 0)
+def _sql_terms() -> str:
+    """MONTH_TERMS as a SQL array."""
+    return "array(%s)" % ", ".join(f"struct({sql_str(t)} AS t, {sql_str(low)} AS low, {m} AS m, {str(ci).lower()} AS ci)" for t, low, m, ci in MONTH_TERMS)
 
 
-#: What a number may be, by its length and value: m and M a month (one digit, two digits; so also a day), d and D a day,
-#: 2 two other digits, 4 four digits, x nothing.
-def _number_class(t: Column) -> Column:
-    v = t.try_cast("int")
-    two = F.length(t) == 2
-    return (F.when(F.length(t) == 4, "4").when(F.length(t) > 2, "x").when(v.between(1, 12), F.when(two, "M").otherwise("m"))
-            .when(v.between(1, 31), F.when(two, "D").otherwise("d")).when(two, "2").otherwise("x"))
+#: What a number (text t) may be, by its length and value: m and M a month (one digit, two digits; so also a day), d and
+#: D a day, 2 two other digits, 4 four digits, x nothing.
+NUMBER_CLASS = """CASE WHEN length(t) = 4 THEN '4' WHEN length(t) > 2 THEN 'x' WHEN int(t) BETWEEN 1 AND 12 THEN if(length(t) = 2, 'M', 'm')
+    WHEN int(t) BETWEEN 1 AND 31 THEN if(length(t) = 2, 'D', 'd') WHEN length(t) = 2 THEN '2' ELSE 'x' END"""
 
 
 def layout_orders() -> dict[str, str]:
@@ -123,39 +121,38 @@ def date_stages(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_
     taken by one test."""
     T = lambda k: _tmp(out, k)
     col = lambda k: F.col(T(k))
+
+    def stage(df: DataFrame, **exprs: str) -> DataFrame:
+        """Columns by SQL text, in which $name is a column of an earlier stage."""
+        return df.withColumns({T(k): F.expr(re.sub(r"\$(\w+)", lambda m: f"`{T(m[1])}`", e)) for k, e in exprs.items()})
     df = df.withColumn(T("raw"), raw.cast("string"))
     df = df.withColumn(T("s"), thai_digits_to_ascii(F.regexp_replace(py_strip(col("raw")), dates.DATE_PREFIX_PATTERN, "")))
-    numbers_in = lambda t: F.regexp_extract_all(t, F.lit(r"(\d+)"), F.lit(1))
-    df = df.withColumn(T("term"), F.when(col("s").rlike(r"[^0-9\s/.,\-]"), _month_term(col("s")))).withColumn(
-        T("n"), dates.normalize_separators(col("s")))
-    df = df.withColumn(T("named"), F.when(col("term").isNotNull(), numbers_in(F.replace(col("s"), col("term.t"), F.lit(""))))).withColumn(
-        T("x"), numbers_in(col("n")))
-    x = lambda i: F.get(col("x"), i)
-    separator = F.when(col("n").rlike(r"^\d+/\d+/\d+$"), "/").when(col("n").rlike(r"^\d+-\d+-\d+$"), "-")
-    df = df.withColumn(T("shape"), F.when(F.size(col("x")) == 3, F.concat(separator, *[_number_class(x(i)) for i in range(3)])))
-    orders = F.create_map(*[F.lit(v) for pair in layout_orders().items() for v in pair])
-    df = df.withColumn(T("order"), F.when(col("shape").isNotNull(), F.element_at(orders, col("shape")))).withColumn(
-        T("v"), F.transform(col("x"), lambda t: t.try_cast("long")))
-
-    def ymd(w, y, m, d):
-        """A date in question: the year as written and as meant."""
-        return F.struct(w.cast("long").alias("w"), y.cast("long").alias("y"), m.cast("long").alias("m"), d.cast("long").alias("d"))
-    v = lambda i: F.get(col("v"), i)
-    at = lambda k: F.get(col("v"), F.substring(col("order"), k + 1, 1).cast("int"))
-    pivot = lambda y, top: F.when(y < 100, F.when(y < top, y + 2000).otherwise(y + 1900)).otherwise(y)
-    four = F.substring(col("shape"), 2, 3).contains("4")
-    written = F.when(four, at(0)).otherwise(pivot(at(0), 69))
-    near = lambda y: F.when(y > cutoff, y - dates.BUDDHIST_OFFSET).otherwise(pivot(y, 50))
-    by_name = lambda i: F.get(col("named"), i).try_cast("long")
-    shifted = dates._shift(by_name(1), cutoff)
-    questions = F.array(
-        F.when(F.size(col("named")) >= 2, ymd(shifted, shifted, col("term.m"), by_name(0))),
-        F.when(col("order").isNotNull(), ymd(written, dates._shift(written, cutoff), at(1), at(2))),
-        *[F.when(F.size(col("v")) == 3, ymd(near(v(y)), near(v(y)), v(m), v(d))) for m, d, y in ((0, 1, 2), (1, 0, 2), (2, 1, 0))])
-    leap = lambda y: ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
-    exists = lambda q: F.coalesce(dates.valid_ymd(q["y"], q["m"], q["d"]) & q["w"].between(1, 9999)
-                                  & (~((q["m"] == 2) & (q["d"] == 29)) | leap(q["w"])), F.lit(False))
-    df = df.withColumn(T("d"), dates.ymd_date(F.get(F.filter(questions, exists), 0)))
+    df = df.withColumn(T("n"), dates.normalize_separators(col("s")))
+    df = stage(df, term=rf"""CASE WHEN $s RLIKE r'[^0-9\s/.,\-]' THEN get(filter({_sql_terms()}, x ->
+                             CASE WHEN x.ci THEN contains(lower($s), x.low) ELSE contains($s, x.t) END), 0) END""",
+               x=r"regexp_extract_all($n, r'(\d+)', 1)")
+    df = stage(df, named=r"CASE WHEN $term IS NOT NULL THEN transform(regexp_extract_all(replace($s, $term.t, ''), r'(\d+)', 1), t -> try_cast(t AS BIGINT)) END",
+               v="transform($x, t -> try_cast(t AS BIGINT))",
+               shape=rf"""CASE WHEN size($x) = 3 THEN CASE WHEN $n RLIKE r'^\d+/\d+/\d+$' THEN '/' WHEN $n RLIKE r'^\d+-\d+-\d+$' THEN '-' END
+                          || array_join(transform($x, t -> {NUMBER_CLASS}), '') END""")
+    orders = ", ".join(f"{sql_str(k)}, {sql_str(o)}" for k, o in layout_orders().items())
+    df = stage(df, order=f"CASE WHEN $shape IS NOT NULL THEN element_at(map({orders}), $shape) END")
+    shift = lambda y: f"if({y} > {cutoff}, {y} - {dates.BUDDHIST_OFFSET}, {y})"
+    pivot = lambda y, top: f"CASE WHEN {y} >= 100 THEN {y} WHEN {y} < {top} THEN {y} + 2000 ELSE {y} + 1900 END"
+    at = lambda k: f"get($v, int(substring($order, {k}, 1)))"
+    df = stage(df, year=f"CASE WHEN substring($shape, 2) LIKE '%4%' THEN {at(1)} ELSE {pivot(at(1), 69)} END",
+               years=f"transform($v, y -> if(y > {cutoff}, y - {dates.BUDDHIST_OFFSET}, {pivot('y', 50)}))", named_year=shift("get($named, 1)"))
+    # the dates that come into question: the year as written (w) and as meant (y)
+    date = lambda w, y, m, d: f"struct(bigint({w}) AS w, bigint({y}) AS y, bigint({m}) AS m, bigint({d}) AS d)"
+    questions = [f"CASE WHEN size($named) >= 2 THEN {date('$named_year', '$named_year', '$term.m', 'get($named, 0)')} END",
+                 f"CASE WHEN $order IS NOT NULL THEN {date('$year', shift('$year'), at(2), at(3))} END",
+                 *[f"CASE WHEN size($v) = 3 THEN {date(f'$years[{y}]', f'$years[{y}]', f'$v[{m}]', f'$v[{d}]')} END"
+                   for m, d, y in ((0, 1, 2), (1, 0, 2), (2, 1, 0))]]
+    leap = lambda y: f"({y} % 4 = 0 AND {y} % 100 <> 0 OR {y} % 400 = 0)"
+    exists = (f"q.y BETWEEN 1 AND 9999 AND q.w BETWEEN 1 AND 9999 AND q.m BETWEEN 1 AND 12 AND q.d BETWEEN 1 AND 31 AND "
+              f"CASE WHEN q.m = 2 THEN q.d <= 28 OR q.d = 29 AND {leap('q.y')} AND {leap('q.w')} WHEN q.m IN (4, 6, 9, 11) THEN q.d <= 30 ELSE true END")
+    df = stage(df, q=f"get(filter(array({', '.join(questions)}), q -> coalesce({exists}, false)), 0)")
+    df = stage(df, d="CASE WHEN $q IS NOT NULL THEN make_date(int($q.y), int($q.m), int($q.d)) END")
     d = col("d")
     today = F.current_date() if as_of is None else (F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of)
     blank = is_blank(col("raw"))
@@ -163,7 +160,7 @@ def date_stages(df: DataFrame, raw: Column, out: str, min_year: int = 2020, max_
              .when(~F.year(d).between(min_year, max_year), F.lit("out_of_range"))
              .when(F.lit(not allow_future) & (d > today), F.lit("future")))
     df = df.withColumn(out, _result(F.when(error.isNull() & ~blank, d), error))
-    return df.drop(*[T(k) for k in ("raw", "s", "term", "n", "named", "x", "shape", "order", "v", "d")])
+    return df.drop(*[T(k) for k in ("raw", "s", "n", "term", "x", "named", "v", "shape", "order", "year", "years", "named_year", "q", "d")])
 
 
 def with_nfkc(df: DataFrame, column: str, out: str) -> DataFrame:
