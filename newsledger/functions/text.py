@@ -146,3 +146,18 @@ def text_result(c, profile: TextProfile = TextProfile(), unicode_fn=None) -> Col
         )
     # the cleaned text is bound once: it is long and used several times
     return let(clean_text(t, profile), body)
+
+
+def utf8_result(c, drop: bool = True) -> Column:
+    """STRUCT<value STRING, is_valid BOOLEAN, error STRING> of bytes (or of a
+    string), per value: the text without the pieces that are not UTF-8 (with
+    ``drop=False`` U+FFFD stands for each), and whether there was one. A U+FFFD that
+    the bytes hold themselves stays."""
+    raw = col_of(c).cast("string")                     # bytes are taken as they are
+    valid = F.is_valid_utf8(raw)
+    kept = F.make_valid_utf8(raw)
+    if drop:
+        own = "\uFDD0"                                 # no character: stands for U+FFFD meanwhile
+        kept = F.replace(F.replace(F.make_valid_utf8(F.replace(raw, F.lit("\uFFFD"), F.lit(own))), F.lit("\uFFFD"), F.lit("")), F.lit(own), F.lit("\uFFFD"))
+    return F.struct(F.when(valid, raw).otherwise(kept).alias("value"), valid.alias("is_valid"),
+                    F.when(~valid, F.lit("invalid_utf8")).alias("error"))

@@ -14,6 +14,7 @@ folder before the next stage, so no record is sent twice and none is lost.
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass
 
@@ -197,46 +198,98 @@ def text_pipeline(model_type: str = "nb", num_features: int = 1 << 16):
     return Pipeline(stages=[tok, tf, idf, clf])
 
 
-def train_classifier(labelled: DataFrame, model_type: str = "nb", folds: int = 3, seed: int = 42,
-                     gate: float = 0.70):
-    """Fit on (text, label); report accuracy on a held-out split, the
-    cross-validated mean/std accuracy and whether the 0.70 gate passes.
+HELD_OUT = 5           # one in so many ids is held out
+
+
+def id_fold(id_col: Column, n: int, salt: str = "") -> Column:
+    """Fold 0 to n - 1 of a row by its id: the same on every run, however the
+    rows are partitioned."""
+    return F.pmod(F.xxhash64(F.lit(salt), id_col.cast("string")), F.lit(n)).cast("int")
+
+
+def train_classifier(labelled: DataFrame, model_type: str = "nb", folds: int = 3, gate: float = 0.70,
+                     id_col: str | None = None, num_features: int = 1 << 16):
+    """Fit on (text, label); report accuracy on held-out rows, the
+    cross-validated mean/std accuracy and whether the 0.70 gate passes. Held-out
+    rows and folds go by the hash of ``id_col`` (without one, of the text, so that
+    copies stay together). Rows without text or label are left out.
     Returns (PipelineModel, metrics DataFrame)."""
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    data = labelled.select("text", F.col("label").cast("double").alias("label"))
-    train, test = data.randomSplit([0.8, 0.2], seed=seed)
-    pipe = text_pipeline(model_type)
+    by = F.col(id_col or "text")
+    data = labelled.where(F.col("text").isNotNull() & F.col("label").isNotNull()).select(
+        "text", F.col("label").cast("double").alias("label"),
+        (id_fold(by, HELD_OUT) == 0).alias("held_out"), id_fold(by, folds, "folds").alias("fold"))
+    data = staged(data, "labelled")
+    train, test = data.where("NOT held_out").drop("held_out"), data.where("held_out")
     ev = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                        numFolds=folds, seed=seed, collectSubModels=False)
+    cv = CrossValidator(estimator=text_pipeline(model_type, num_features), estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
+                        numFolds=folds, foldCol="fold", collectSubModels=False)
     cv_model = cv.fit(train)
     acc = ev.evaluate(cv_model.transform(test))
-    spark = labelled.sparkSession
-    std = float(cv_model.stdMetrics[0])
-    metrics = spark.createDataFrame(
-        [(model_type, float(acc), float(cv_model.avgMetrics[0]), std, bool(acc >= gate))],
-        "model_type string, accuracy double, cv_mean double, cv_std double, passed_gate boolean")
+    metrics = labelled.sparkSession.createDataFrame(
+        [(model_type, train.count(), test.count(), float(acc), float(cv_model.avgMetrics[0]), float(cv_model.stdMetrics[0]), bool(acc >= gate))],
+        "model_type string, n_train long, n_held_out long, accuracy double, cv_mean double, cv_std double, passed_gate boolean")
     return cv_model.bestModel, metrics
 
 
+@dataclass(frozen=True)
+class WordWeights:
+    """Expression model: label and confidence of a text from the weights of its
+    different words, all inside the JVM. Weights are thousandths of log odds."""
+    weights: tuple         # ((word, weight), ...)
+    bias: int = 0
+
+    def margin(self, text: Column) -> Column:
+        known = F.create_map(*[F.lit(x) for pair in self.weights for x in pair]) if self.weights else F.create_map().cast("map<string,int>")
+        words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
+        return F.aggregate(words, F.lit(self.bias).cast("long"), lambda s, w: s + F.coalesce(F.element_at(known, w), F.lit(0)))
+
+    def scored_expr(self, text: Column) -> Column:
+        """STRUCT<label INT, confidence DOUBLE>."""
+        return F.get(F.transform(F.array(self.margin(text)), lambda m: F.struct(
+            (m > 0).cast("int").alias("label"), (1 / (1 + F.exp(-F.abs(m) / 1000.0))).alias("confidence"))), 0)
+
+
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def fit_word_weights(labelled: DataFrame, words: int = 64, least_rows: int = 5) -> WordWeights:
+    """Word weights of (text, label 0/1): log odds of a word's rows in both
+    classes, add-one smoothed, of the ``words`` words with the greatest ones that
+    occur in ``least_rows`` rows at least. One aggregate over the words of all rows;
+    the model, its size a parameter, is what comes to the driver."""
+    data = labelled.where(F.col("text").isNotNull() & F.col("label").isin(0, 1)).select("text", F.col("label").cast("int").alias("label"))
+    ones, zeros = data.agg(F.coalesce(F.sum("label"), F.lit(0)), F.coalesce(F.sum(1 - F.col("label")), F.lit(0))).first()
+    each = data.select("label", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("word"))
+    n = each.groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).where(F.col("a") + F.col("b") >= least_rows)
+    weight = F.floor(1000 * F.log((F.col("a") + 1) * (zeros + 2) / ((F.col("b") + 1) * (ones + 2)))).cast("int")
+    best = n.select("word", weight.alias("w")).orderBy(F.desc(F.abs("w")), "word").limit(words).collect()
+    return WordWeights(tuple((r.word, r.w) for r in best), math.floor(1000 * math.log((ones + 1) / (zeros + 1))))
+
+
 def two_stage_classify(df: DataFrame, local_model, fallback, text_col: str = "content",
                        threshold: float = 0.6, out: str = "is_relevant") -> DataFrame:
     """Local model first; rows whose confidence (max class probability) is
-    below ``threshold`` go to the fallback model. Adds confidence,
-    method_used and fallback_triggered."""
-    from pyspark.ml.functions import vector_to_array
-
+    below ``threshold`` go to the fallback model. The local model is a fitted
+    pipeline or an expression model that gives label and confidence
+    (``scored_expr``); with an expression fallback no row leaves the JVM. Adds
+    confidence, method_used and fallback_triggered."""
     # the local model needs a text; rows without valid content are unsure by definition
     text = unused_name(df, "text") if text_col != "text" else "text"
     given = df if text_col == "text" else df.withColumn("text", F.col(text_col)) if text == "text" else \
         df.withColumnRenamed("text", text).withColumn("text", F.col(text_col))
     filled = given.withColumn("_raw", F.col("text")).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
-    scored = local_model.transform(filled).withColumn("confidence", F.when(
-        content_is_valid("_raw"), F.array_max(vector_to_array(F.col("probability")))))
-    scored = scored.withColumn("_local", F.col("prediction").cast("int")).drop(
-        "_tokens", "_tf", "features", "rawPrediction", "probability", "prediction")
+    if hasattr(local_model, "scored_expr"):
+        scored = filled.withColumn("_scored", local_model.scored_expr(F.col("text"))).withColumn(
+            "confidence", F.when(content_is_valid("_raw"), F.col("_scored.confidence"))).withColumn("_local", F.col("_scored.label")).drop("_scored")
+    else:
+        from pyspark.ml.functions import vector_to_array
+        scored = local_model.transform(filled).withColumn("confidence", F.when(
+            content_is_valid("_raw"), F.array_max(vector_to_array(F.col("probability")))))
+        scored = scored.withColumn("_local", F.col("prediction").cast("int")).drop(
+            "_tokens", "_tf", "features", "rawPrediction", "probability", "prediction")
     unsure = F.coalesce(F.col("confidence") < threshold, F.lit(True))
     called = responses(scored.withColumn("_unsure", unsure).withColumn("_need", F.col("_unsure") & content_is_valid("_raw")),
                        fallback, F.col("_raw"), F.col("_need"), "_response")

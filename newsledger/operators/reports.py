@@ -134,3 +134,92 @@ def update_counts(rows: DataFrame, before: str, after: str, batch_size: int = 50
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` rows (a display helper; the limit is the feature)."""
     return df.limit(n)
+
+
+# --------------------------------------------------------------------------
+# consistency of independent tables
+# --------------------------------------------------------------------------
+MOST_TABLES = 62
+
+
+def presence(tables: dict[str, DataFrame], key: str = "url") -> DataFrame:
+    """Which keys are in which of the tables: one row per pattern that occurs
+    (``tables``: their names, comma-joined in the given order) with the number of
+    keys and of rows. One union of keys with a bit per table and one aggregate,
+    combined map-side, whatever the number of tables; null keys are counted as the
+    pattern ``null key`` of their table."""
+    if not 0 < len(tables) <= MOST_TABLES:
+        raise ValueError(f"one to {MOST_TABLES} tables can be compared")
+    parts = [t.select(F.col(key).cast("string").alias("key"), F.lit(1 << i).cast("long").alias("bit")) for i, t in enumerate(tables.values())]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    # rows of null keys are a key of their own per table
+    keyed = both.groupBy("key", F.when(F.col("key").isNull(), F.col("bit")).alias("alone")).agg(
+        F.bit_or("bit").alias("bits"), F.count(F.lit(1)).alias("n"))
+    counted = keyed.groupBy("bits", F.col("key").isNull().alias("no_key")).agg(F.count(F.lit(1)).alias("n_keys"), F.sum("n").alias("n_rows"))
+    names = F.filter(F.array(*[F.when(F.col("bits").bitwiseAND(1 << i) != 0, F.lit(n)) for i, n in enumerate(tables)]), lambda x: x.isNotNull())
+    joined = F.array_join(names, ",")
+    return counted.select(F.when(F.col("no_key"), F.concat(F.lit("null key: "), joined)).otherwise(joined).alias("tables"),
+                          "bits", F.when(F.col("no_key"), 0).otherwise(F.col("n_keys")).cast("long").alias("n_keys"), "n_rows")
+
+
+def subset_violations(tables: dict[str, DataFrame], rules, key: str = "url") -> DataFrame:
+    """For every rule (a, b), keys of ``a`` that are not in ``b``: (rule,
+    n_keys, is_consistent), all rules from one pass of ``presence``."""
+    names = list(tables)
+    p = presence(tables, key)
+    counts = p.agg(*[F.coalesce(F.sum(F.when((F.col("bits").bitwiseAND(1 << names.index(a)) != 0) & (F.col("bits").bitwiseAND(1 << names.index(b)) == 0),
+                                             F.col("n_keys"))), F.lit(0)).cast("long").alias(f"r{i}") for i, (a, b) in enumerate(rules)])
+    rows = F.array(*[F.struct(F.lit(f"{a} in {b}").alias("rule"), F.col(f"r{i}").alias("n_keys")) for i, (a, b) in enumerate(rules)])
+    return counts.select(F.inline(rows)).withColumn("is_consistent", F.col("n_keys") == 0)
+
+
+# --------------------------------------------------------------------------
+# counts by place, cause, month
+# --------------------------------------------------------------------------
+def counts_by(df: DataFrame, dimensions, sets, measure: str | None = None, multi: dict[str, str] | None = None,
+              unknown: str = "unknown") -> DataFrame:
+    """Counts and sums of ``measure`` by several sets of dimensions in one
+    aggregate (GROUPING SETS). ``multi``: dimensions that hold lists, with their
+    separator; a row counts for each of its different values. Where a set leaves a
+    list out, the row counts once. Blank and missing values are ``unknown``; in the
+    result a dimension outside the row's set is null, ``grouping`` names the set.
+    """
+    multi = multi or {}
+    if len(multi) > 3:
+        raise ValueError("at most three dimensions can hold lists")
+    out = df.select(*[F.col(f"`{d}`").cast("string").alias(d) for d in dimensions],
+                    (F.col(f"`{measure}`") if measure else F.lit(0)).alias("_m"))
+    for d in dimensions:
+        if d in multi:
+            items = F.array_distinct(F.filter(F.transform(F.split(F.col(f"`{d}`"), multi[d]), py_strip), lambda x: x != ""))
+            some = F.when(F.size(items) > 0, items).otherwise(F.array(F.lit(unknown)))
+            out = out.select(*[F.col(f"`{c}`") for c in out.columns if c != d], F.posexplode(some).alias(f"_at_{d}", d))
+        else:
+            out = out.withColumn(d, F.coalesce(F.nullif(py_strip(F.col(f"`{d}`")), F.lit("")), F.lit(unknown)))
+    lists = list(multi)
+    # per subset of lists left out: the rows that stand for the whole row there
+    once = {}
+    for mask in range(1 << len(lists)):
+        first = F.lit(True)
+        for i, d in enumerate(lists):
+            if mask >> i & 1:
+                first = first & (F.col(f"_at_{d}") == 0)
+        once[mask] = first
+    aggs = [c for mask, first in once.items() for c in (F.sum(F.when(first, 1).otherwise(0)).alias(f"_n{mask}"), F.sum(F.when(first, F.col("_m"))).alias(f"_s{mask}"))]
+    columns = [F.col(f"`{d}`") for d in dimensions]
+    grouped = out.groupingSets([[F.col(f"`{d}`") for d in s] for s in sets], *columns).agg(
+        *[F.grouping(c).alias(f"_g_{d}") for c, d in zip(columns, dimensions)], *aggs)
+
+    def pick(kind: str):
+        value = F.col(f"_{kind}0")
+        for mask in range(1, 1 << len(lists)):
+            out_ = F.lit(True)
+            for i, d in enumerate(lists):
+                out_ = out_ & (F.col(f"_g_{d}") == (mask >> i & 1))
+            value = F.when(out_, F.col(f"_{kind}{mask}")).otherwise(value)
+        return value
+    name = F.array_join(F.filter(F.array(*[F.when(F.col(f"_g_{d}") == 0, F.lit(d)) for d in dimensions]), lambda x: x.isNotNull()), ",")
+    return grouped.select(name.alias("grouping"), *dimensions, pick("n").cast("long").alias("n"),
+                          *([F.coalesce(pick("s"), F.lit(0)).alias(f"sum_{measure}")] if measure else []))

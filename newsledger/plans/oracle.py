@@ -541,6 +541,58 @@ def _sql() -> dict:
         "f AS (SELECT url, max({'run': run, 'k': -k}) AS x FROM m GROUP BY url), "
         "r AS (SELECT url, x.run AS run, -x.k AS k FROM f) "
         "SELECT url, row_number() OVER (ORDER BY run, k) - 1 AS pos, dense_rank() OVER (ORDER BY run) - 1 AS batch FROM r")
+    S["incident_counts"] = (
+        "WITH r AS (SELECT l_orderkey, l_linenumber, CASE WHEN n_nationkey > 0 THEN n_name ELSE 'unknown' END AS place, p_name, "
+        "CAST(month(l_shipdate) AS VARCHAR) AS month, CAST(trunc(l_quantity) AS BIGINT) AS q FROM lineitem JOIN part ON l_partkey = p_partkey "
+        "JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey), "
+        "x AS (SELECT place, month, q, unnest(list_distinct(string_split(p_name, ' '))) AS cause FROM r) "
+        "SELECT 'place' AS grouping, place, NULL AS cause, NULL AS month, count(*) AS n, CAST(sum(q) AS BIGINT) AS sum_quantity FROM r GROUP BY place UNION ALL "
+        "SELECT 'month', NULL, NULL, month, count(*), CAST(sum(q) AS BIGINT) FROM r GROUP BY month UNION ALL "
+        "SELECT '', NULL, NULL, NULL, count(*), CAST(sum(q) AS BIGINT) FROM r UNION ALL "
+        "SELECT 'cause', NULL, cause, NULL, count(*), CAST(sum(q) AS BIGINT) FROM x GROUP BY cause UNION ALL "
+        "SELECT 'place,cause', place, cause, NULL, count(*), CAST(sum(q) AS BIGINT) FROM x GROUP BY place, cause")
+    icd = "CASE WHEN o_orderkey % 5 < 3 THEN 'J' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') WHEN o_orderkey % 5 = 3 THEN o_orderpriority END"
+    icd_v = truncate_expr(clean_text_expr("icd", text.profile_for("ICD 10", normalize_unicode=False, max_length=20)), 20)
+    S["error_report"] = (
+        f"WITH t AS (SELECT o_orderkey, year(o_orderdate) + 26 AS y, {icd} AS icd FROM orders) "
+        "SELECT o_orderkey, 'ปี' AS \"column\", CAST(y AS VARCHAR) AS raw, 'out_of_range' AS error FROM t WHERE y NOT BETWEEN 2020 AND 2024 UNION ALL "
+        f"SELECT o_orderkey, 'ICD 10', icd, 'pattern' FROM t WHERE icd IS NOT NULL AND NOT regexp_matches({icd_v}, {q(Q.VALIDATION_SPEC[2].pattern)})")
+    from ..operators.validate import HEAT_SPECS
+    S["column_order"] = "WITH h AS (" + S["heat_conform"] + ") " + " UNION ALL ".join(
+        f"SELECT {i} AS position, {q(x.name)} AS name, count(\"{x.name}\") AS n_filled FROM h" for i, x in enumerate(HEAT_SPECS))
+    S["enabled_columns"] = f"SELECT doc_id, first_word, token FROM {pd_}"
+    ids = ("SELECT CAST(doc_id AS VARCHAR) AS id, 1 AS b FROM documents UNION ALL SELECT CAST(doc_id AS VARCHAR), 2 FROM labels UNION ALL "
+           "SELECT CAST(conv_id AS VARCHAR), 4 FROM conversations UNION ALL SELECT CAST(page_id AS VARCHAR), 8 FROM pages UNION ALL "
+           "SELECT CAST(item_id AS VARCHAR), 16 FROM benchmark")
+    S["table_presence"] = (
+        f"WITH k AS (SELECT id, bit_or(b) AS bits, count(*) AS n FROM ({ids}) WHERE id IS NOT NULL GROUP BY id) "
+        "SELECT concat_ws(',', CASE WHEN bits & 1 > 0 THEN 'documents' END, CASE WHEN bits & 2 > 0 THEN 'labels' END, "
+        "CASE WHEN bits & 4 > 0 THEN 'conversations' END, CASE WHEN bits & 8 > 0 THEN 'pages' END, CASE WHEN bits & 16 > 0 THEN 'benchmark' END) AS tables, "
+        "count(*) AS n_keys, CAST(sum(n) AS BIGINT) AS n_rows FROM k GROUP BY bits")
+    rule = lambda a, b, x, y, c, d: (f"SELECT '{a} in {b}' AS rule, count(*) AS n_keys, count(*) = 0 AS is_consistent FROM (SELECT DISTINCT {c} AS id FROM {a} "
+                                     f"WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {d} FROM {b} WHERE {d} IS NOT NULL))")
+    key = {"documents": "doc_id", "labels": "doc_id", "conversations": "conv_id", "pages": "page_id", "benchmark": "item_id"}
+    S["table_consistency"] = " UNION ALL ".join(rule(a, b, None, None, key[a], key[b]) for a, b in (
+        ("labels", "documents"), ("conversations", "documents"), ("documents", "labels"), ("benchmark", "pages"), ("documents", "conversations")))
+    # whole characters within the bytes of the cut, and whether they fill it
+    S["utf8_bytes"] = (
+        "WITH d AS (SELECT doc_id, text, doc_id % 400 + 1 AS n FROM documents), "
+        "k AS (SELECT doc_id, text, n, list_max(list_filter(generate_series(0, n), lambda i: strlen(substr(text, 1, i)) <= n)) AS k FROM d) "
+        "SELECT doc_id, strlen(substr(text, 1, k)) = least(n, strlen(text)) AS is_valid, md5(substr(text, 1, k)) AS value_md5, "
+        "length(substr(text, 1, k)) AS n_chars FROM k")
+    word = "list_distinct(regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+    S["two_stage_classify"] = (
+        f"WITH l AS (SELECT doc_id, quality AS y, {word} AS w FROM documents JOIN labels USING (doc_id) WHERE doc_id % 5 <> 0), "
+        "c AS (SELECT sum(y) AS n1, sum(1 - y) AS n0 FROM l), e AS (SELECT y, unnest(w) AS word FROM l), "
+        "n AS (SELECT word, sum(y) AS a, sum(1 - y) AS b FROM e GROUP BY word HAVING count(*) >= 5), "
+        "m AS (SELECT word, CAST(floor(1000 * ln(((a + 1) * (n0 + 2))::DOUBLE / ((b + 1) * (n1 + 2))::DOUBLE)) AS BIGINT) AS w FROM n, c ORDER BY abs(w) DESC, word LIMIT 64), "
+        f"d AS (SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN text END AS t, {word} AS w FROM documents), "
+        "s AS (SELECT doc_id, sum(m.w) AS s FROM (SELECT doc_id, unnest(w) AS word FROM d) JOIN m USING (word) GROUP BY doc_id), "
+        "g AS (SELECT doc_id, t, CAST(floor(1000 * ln((n1 + 1)::DOUBLE / (n0 + 1)::DOUBLE)) AS BIGINT) + coalesce(s, 0) AS g FROM d LEFT JOIN s USING (doc_id), c), "
+        f"p AS (SELECT doc_id, t, g, {valid_t.replace('text', 't')} AS ok, 1 / (1 + exp(-abs(g) / 1000.0)) AS conf FROM g) "
+        f"SELECT doc_id, CAST(CASE WHEN ok AND conf >= 0.6 THEN g > 0 ELSE ok AND regexp_matches(t, {q(Q.RELEVANCE_PATTERN)}) END AS INTEGER) AS is_relevant, "
+        "CASE WHEN ok AND conf >= 0.6 THEN 'local' ELSE 'fallback' END AS method_used, NOT (ok AND conf >= 0.6) AS fallback_triggered, "
+        "CASE WHEN ok THEN round(conf, 4) END AS confidence FROM p")
     return S
 
 

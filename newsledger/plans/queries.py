@@ -423,6 +423,18 @@ def category_counts(spark, sf):
                                                F.coalesce(F.sum("n_orders"), F.lit(0)).cast("long").alias("n_orders"))
 
 
+def incident_counts(spark, sf):
+    """Counts and quantities by place, cause and month at once: causes are the
+    words of the part's name, so a row counts under each of them."""
+    li, o = _t(spark, sf, "lineitem"), _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c, n = _t(spark, sf, "customer").select("c_custkey", "c_nationkey"), _t(spark, sf, "nation")
+    p = _t(spark, sf, "part").select("p_partkey", F.concat("p_name", F.lit(" "), "p_name").alias("cause"))
+    rows = (li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+            .join(n, c.c_nationkey == n.n_nationkey).select(F.when(F.col("n_nationkey") > 0, F.col("n_name")).alias("place"), "cause",
+                                                            F.month("l_shipdate").alias("month"), F.col("l_quantity").cast("long").alias("quantity")))
+    return reports.counts_by(rows, ["place", "cause", "month"], [["place"], ["cause"], ["month"], ["place", "cause"], []], "quantity", {"cause": " "})
+
+
 # ---------------------------------------------------------------- validation
 VALIDATION_SPEC = (
     ColumnSpec("ที่", FLOAT, (1, 99999)),
@@ -441,6 +453,88 @@ def schema_validate(spark, sf):
     return column_report(v)
 
 
+def error_report(spark, sf):
+    """Every failing cell of the validated orders."""
+    from ..operators.validate import error_report as failing
+    o = _t(spark, sf, "orders")
+    df = o.select("o_orderkey", (F.year("o_orderdate") + 26).cast("string").alias("ปี"), F.when(
+        F.col("o_orderkey") % 5 < 3, F.concat(F.lit("J"), F.lpad((F.col("o_orderkey") % 100).cast("string"), 2, "0"))).when(
+        F.col("o_orderkey") % 5 == 3, F.col("o_orderpriority")).alias("ICD 10"))
+    specs = (ColumnSpec("ปี", INTEGER, (2020, 2024)), ColumnSpec("ICD 10", TEXT, max_length=20, pattern=VALIDATION_SPEC[2].pattern))
+    return failing(validate(df, specs, keep=["o_orderkey"], normalize_unicode=False), ["o_orderkey"])
+
+
+def column_order(spark, sf):
+    """The 39 columns of the conformed output in their order, with the number of
+    rows that have a value."""
+    from ..operators.validate import column_order_report
+    out = heat_conform(spark, sf)
+    assert not column_order_report(out.columns)
+    counts = out.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(out.columns)])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("name"), F.col(f"c{i}").alias("n_filled"))
+                                            for i, c in enumerate(out.columns)])))
+
+
+#: A run configuration whose group switches turn a group on and another off.
+COLUMNS_CONFIG = {"columns": {"bulk_operations": {"enable_all_basic_info": False, "enable_all_location": True},
+                              "column_groups": {"basic_info": ["first_number"], "location": ["token"]},
+                              "schema": [{"name": "first_word", "enabled": True}, {"name": "first_number", "enabled": True, "data_type": "integer"},
+                                         {"name": "token", "enabled": False}, {"name": "outcome", "enabled": False}]}}
+
+
+def enabled_columns(spark, sf):
+    """Processed documents with the columns that the configuration enables."""
+    from ..sources.config import RunConfig, apply_group_switches
+    names = [c["name"] for c in RunConfig(apply_group_switches(COLUMNS_CONFIG)).enabled_columns()]
+    return _processed_documents(spark, sf).select("doc_id", *names)
+
+
+def table_presence(spark, sf):
+    """Which document ids are in which tables, for five tables at once."""
+    return reports.presence(_id_tables(spark, sf), "id").drop("bits")
+
+
+def _id_tables(spark, sf):
+    ids = {"documents": "doc_id", "labels": "doc_id", "conversations": "conv_id", "pages": "page_id", "benchmark": "item_id"}
+    return {t: _t(spark, sf, t).select(F.col(c).alias("id")) for t, c in ids.items()}
+
+
+def table_consistency(spark, sf):
+    """Ids that should be in another table and are not."""
+    rules = [("labels", "documents"), ("conversations", "documents"), ("documents", "labels"), ("benchmark", "pages"), ("documents", "conversations")]
+    return reports.subset_violations(_id_tables(spark, sf), rules, "id")
+
+
+def utf8_bytes(spark, sf):
+    """Documents cut after a number of bytes, often inside a character."""
+    d = _t(spark, sf, "documents")
+    cut = F.substring(F.encode("text", "utf-8"), F.lit(1), (F.col("doc_id") % 400 + 1).cast("int"))
+    r = text.utf8_result(cut)
+    return d.select("doc_id", r["is_valid"].alias("is_valid"), F.md5(r["value"]).alias("value_md5"), F.char_length(r["value"]).alias("n_chars"))
+
+
+# ---------------------------------------------------------------- trained classifiers
+def _labelled_documents(spark, sf):
+    d, lab = _t(spark, sf, "documents").select("doc_id", "text"), _t(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    return d.join(lab, "doc_id")
+
+
+def train_classifier(spark, sf):
+    """Accuracy of a naive Bayes classifier of the labelled documents."""
+    from ..operators.classify import train_classifier as train
+    return train(_labelled_documents(spark, sf), "nb", 3, id_col="doc_id")[1]
+
+
+def two_stage_classify(spark, sf):
+    """Word weights learned from the labelled documents; unsure documents go to
+    the rule scorer."""
+    from ..operators.classify import fit_word_weights, two_stage_classify as classify_
+    local = fit_word_weights(_labelled_documents(spark, sf).where("doc_id % 5 <> 0"))
+    d = _t(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.col("text")).alias("content"))
+    out = classify_(d, local, RuleScorer(RELEVANCE_PATTERN))
+    return out.select("doc_id", "is_relevant", "method_used", "fallback_triggered", F.round("confidence", 4).alias("confidence"))
+
+
 # ---------------------------------------------------------------- model replies
 def _reply_text(e):
     et = F.col("event_type")
@@ -674,7 +768,16 @@ QUERIES = {
     "age_group": age_group,
     "multi_category": multi_category,
     "category_counts": category_counts,
+    "incident_counts": incident_counts,
     "schema_validate": schema_validate,
+    "error_report": error_report,
+    "column_order": column_order,
+    "enabled_columns": enabled_columns,
+    "table_presence": table_presence,
+    "table_consistency": table_consistency,
+    "utf8_bytes": utf8_bytes,
+    "two_stage_classify": two_stage_classify,
+    "train_classifier": train_classifier,
     "json_fields": json_fields,
     "label_parse": label_parse,
     "prompt_render": prompt_render,
