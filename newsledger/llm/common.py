@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsledger.plans.ledger import file_system
 from newsledger.session import ensure_checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -27,7 +28,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing will read any more: what was
+    made of them is stored itself."""
+    for t in tables:
+        fs, path, _ = file_system(t.sparkSession, t.stored_at)
+        fs.delete(path, True)
 
 
 def text_or_empty(c: str | Column) -> Column:

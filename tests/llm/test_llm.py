@@ -226,15 +226,9 @@ def test_decontaminate(spark):
 # ---- 2: line dedup
 
 def slow_lines(texts):
-    occ = [(i, k, x) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if len(x.split()) >= 5]
-    lines = list(dict.fromkeys(x for *_, x in occ))
-    sets = [frozenset(m.group(1) for m in re.finditer(r"(?s) (?=([^ ].{19}))", " " + x)) or {x} for x in lines]
-    s = Sets(len(lines))
-    for i in range(len(lines)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                s.join(i, j)
-    group, first, gone = {x: s.find(i) for i, x in enumerate(lines)}, {}, collections.defaultdict(list)
+    """{document: its lines to take out}, by ordinary character shingles."""
+    occ = [(i, k, x) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if x.strip(" \t\n\v\f\r")]
+    group, first, gone = slow_char_lines([x for *_, x in occ]), {}, collections.defaultdict(list)
     for i, k, x in occ:
         if group[x] in first:
             gone[i].append((k, *first[group[x]]))
@@ -258,7 +252,7 @@ def test_line_dedup(spark, few, monkeypatch):
         drop = {k for k, *_ in gone.get(i, [])}
         left = [x for k, x in enumerate((t or "").split("\n")) if k not in drop]
         assert (rows[i].text or "") == "\n".join(left)
-        assert rows[i].kept == (not drop or any(len(x.split()) >= 5 for x in left))
+        assert rows[i].kept == (not drop or any(x.strip(" \t\n\v\f\r") for x in left))
     out = line_dedup.dedup(docs)
     assert out.columns == docs.columns and out.count() == sum(r.kept for r in rows.values())
     assert line_dedup.dedup(empty(spark)).count() == 0
@@ -271,7 +265,7 @@ def slow_char_lines(texts, size=5, least=0.8):
     s = Sets(len(lines))
     for i in range(len(lines)):
         for j in range(i):
-            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+            if min(len(lines[i]), len(lines[j])) >= line_dedup.LEAST_CHARS and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
                 s.join(i, j)
     return {x: lines[s.find(i)] for i, x in enumerate(lines)}
 
@@ -280,17 +274,27 @@ def slow_char_lines(texts, size=5, least=0.8):
 def test_line_dedup_by_characters(spark, few, monkeypatch):
     monkeypatch.setattr(line_dedup, "FEW", few)
     texts = [r.text for r in read(spark, SF, "documents").orderBy("doc_id").collect()]
-    occ = [(i, k, x) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if len(x.split()) >= 5]
-    group, first, gone = slow_char_lines([x for *_, x in occ]), {}, collections.defaultdict(list)
-    for i, k, x in occ:
-        if group[x] in first:
-            gone[i].append((k, *first[group[x]]))
-        else:
-            first[group[x]] = (i, k)
+    gone = slow_lines(texts)
     got = {r.doc_id: [tuple(c) for c in r.copies] for r in line_dedup.cleaned(docs_of(spark, texts).coalesce(1)).collect()}
     assert got == {i: gone.get(i, []) for i in range(len(texts))}
 
 
+def test_equal_lines_of_any_length_and_script(spark):
+    texts = ["ok\n一二三四五六七八九十百千万億兆京垓\n\nunique one", "ok\n\nother", "一二三四五六七八九十百千万億兆京垓", "ok", "\n \n", "\n \n"]
+    got = {r.doc_id: (r.text, len(r.copies), r.kept) for r in line_dedup.cleaned(docs_of(spark, texts).coalesce(1)).collect()}
+    assert got == {0: (texts[0], 0, True), 1: ("\nother", 1, True), 2: ("", 1, False), 3: ("", 1, False), 4: (texts[4], 0, True), 5: (texts[5], 0, True)}
+
+
+def test_line_dedup_with_clashing_columns(spark):
+    cols = ["row", "rest", "copies", "n_lines", "kept", "line", "h1", "a", "key"]
+    docs = spark.createDataFrame([(i, t, *range(len(cols))) for i, t in enumerate(["one line here that is long enough\nx", "one line here that is long enough", None])],
+                                 "doc_id long, text string, " + ", ".join(f"{c} int" for c in cols)).coalesce(1)
+    out = line_dedup.cleaned(docs)
+    assert out.columns == [*docs.columns, "n_lines_", "copies_", "kept_"]
+    assert {r.doc_id: (r.n_lines, r.n_lines_, r.kept_) for r in out.collect()} == {0: (3, 2, True), 1: (3, 1, False), 2: (3, 1, True)}
+    assert line_dedup.dedup(docs).columns == docs.columns and line_dedup.dedup(docs).count() == 2
+
+
 def test_line_dedup_one_character(spark):
     # one character changed, dropped or added anywhere in lines of 12 to 30 words
     rng = np.random.default_rng(7)
