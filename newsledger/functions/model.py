@@ -31,22 +31,28 @@ def strip_fence(reply) -> Column:
 
 def reply_is_object(body: Column) -> Column:
     """Valid JSON whose top level is a non-empty object (an object is empty
-    exactly when its text is braces around blanks)."""
+    exactly when its text is braces around blanks). Keys may repeat, which the
+    variant parser does not take: put into an array, such a text is one element."""
     t = py_strip(body)
-    return F.coalesce(F.try_parse_json(body).isNotNull() & t.startswith("{") & ~t.rlike(r"^\{\s*\}$"),
+    elements = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>", {"allowSingleQuotes": "false"})
+    repeated = F.coalesce(F.size(F.json_object_keys(body)) > F.size(F.array_distinct(F.json_object_keys(body))), F.lit(False))
+    return F.coalesce((F.try_parse_json(body).isNotNull() | (repeated & (F.size(elements) == 1))) & t.startswith("{") & ~t.rlike(r"^\{\s*\}$"),
                       F.lit(False))
 
 
 def reply_fields(reply, names) -> Column:
     """STRUCT<ok BOOLEAN, <name> STRING ...>: each requested key of the JSON
-    object as text (nested lists/objects stay JSON text); all null when the
-    reply is not a usable object. Written so the shared sub-expressions
-    (the stripped reply, the parsed map) are computed once per row by
-    Spark's common-subexpression elimination, inside generated code."""
+    object as text (nested lists/objects stay JSON text; of a repeated key the
+    last counts); all null when the reply is not a usable object. Written so the
+    shared sub-expressions (the stripped reply, the parsed row) are computed once
+    per row by Spark's common-subexpression elimination, inside generated code."""
     body = strip_fence(reply)
     ok = reply_is_object(body)
-    m = F.from_json(F.when(ok, body), "map<string,string>")
-    return F.struct(ok.alias("ok"), *[F.element_at(m, F.lit(n)).alias(n) for n in names])
+    if not names:
+        return F.struct(ok.alias("ok"))
+    quoted = {n: "`" + n.replace("`", "``") + "`" for n in names}
+    row = F.from_json(F.when(ok, body), "struct<" + ", ".join(f"{x}: string" for x in quoted.values()) + ">")
+    return F.struct(ok.alias("ok"), *[row.getField(n).alias(n) for n in names])
 
 
 def render_template(template: str, **slots) -> Column:

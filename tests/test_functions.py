@@ -146,3 +146,13 @@ def test_json_reply(spark):
 def test_render_template(spark):
     r = one(spark, lambda c: model.render_template("x {content} y {other}", content=c, other="{content}"), "C")
     assert r == "x C y {content}"
+
+
+def test_repeated_json_keys(spark):
+    from newsledger.functions import model
+    replies = {'{"a": 1, "a": 2, "b": {"c": 1, "c": 2}}': (True, "2", '{"c":1,"c":2}'), '{"b": "x", "a": null, "b": "y"}': (True, None, "y"),
+               '{"a": 1, "a": 2} trailing': (False, None, None), '{"a": 1, "a": 2': (False, None, None), '{"a": 1, "a": 2}, {"a": 3}': (False, None, None),
+               "{'a': 1, 'a': 2}": (False, None, None), '```json\n{"a": 3, "a": 4}\n```': (True, "4", None), '[{"a": 1}]': (False, None, None), "{}": (False, None, None)}
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(replies)], "i int, r string")
+    got = [tuple(x.f) for x in df.select("i", model.reply_fields("r", ["a", "b"]).alias("f")).orderBy("i").collect()]
+    assert got == list(replies.values())
