@@ -1,16 +1,18 @@
-"""License scan: the lowest shingle hashes of a template (its bottom-k MinHash
-sketch) retrieve windows, exact shingle containment verifies them.
+"""License scan: MinHash bands over overlapping windows retrieve templates,
+exact shingle containment verifies them.
 
 Words are runs of ASCII letters and digits, lower-cased; shingles are five
 consecutive words. For a template of m words every window of m consecutive
-document words is a window of its own. Of a template's n distinct shingles a
-window may miss n - ceil(0.8 n), so it must hold one of any
-n - ceil(0.8 n) + 1 of them: those with the lowest hashes are the sketch. Every
-window that holds one of them is a candidate, so none of that containment is
-missed. Candidates are kept if at least ``LEAST`` of the template's distinct
+document words is a window of its own (a shorter document is one window). Windows
+and templates have ``BANDS`` bands of one minimum each, every one under an order
+of its own: a bit flip that begins with other leading bits. A window that holds a
+share c of a template's shingles is similar to it by c / (2 - c) at least, so at
+0.8 it shares a band with 1 - (1/3)^16, all but one in 43 million. Only windows
+that hold a shingle of the template are given bands, as no other can share one.
+What shares a band is kept if at least ``LEAST`` of the template's distinct
 shingles are in the window, by their hashes and then compared as words.
 
-Documents without any shingle of a sketch need no windows; the test is exact.
+Documents without any shingle of a template need no windows; the test is exact.
 Templates are a fixed table of the library, not data.
 
 Row rules: null text has no words and no license. Each row is scanned by itself,
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, stored, text_or_empty
 from .decontaminate import at_each, gram_hashes
 
-SHINGLE, LEAST = 5, 0.8
+SHINGLE, LEAST, BANDS = 5, 0.8, 16
 WORD = "[a-z0-9]+"
 
 # Usual license notices (identifier, whether terms are restrictive, text).
@@ -58,15 +60,25 @@ def shingles(w: Column) -> Column:
     return F.array_distinct(at_each(F.size(w) - (SHINGLE - 1), lambda i: F.array_join(F.slice(w, i, SHINGLE), " ")))
 
 
+def masks(n: int) -> list[int]:
+    """Bit flips whose leading bits spread evenly."""
+    return [int.from_bytes(bytes((k * 256 // n if p == 0 else (k * 101 + p * 57 + 13) % 256) for p in range(8)), "big", signed=True)
+            for k in range(n)]
+
+
+def bands(grams: Column) -> Column:
+    """One minimum per band of an array of shingle hashes."""
+    return F.array(*[F.array_min(F.transform(grams, lambda h: h.bitwiseXOR(F.lit(m)))) for m in masks(BANDS)])
+
+
 def signatures(templates: DataFrame) -> DataFrame:
     """(template, license, restrictive, m words, shingles, grams: their hashes,
-    h: a hash of the sketch) from (license, restrictive, text), one row per hash;
+    bands, h: each hash) from (license, restrictive, text), one row per hash;
     null for notices of fewer than five words."""
     known = templates.select(F.xxhash64("license", "text").alias("template"), "license", "restrictive", words(F.col("text")).alias("w"))
     known = known.select("*", F.size("w").alias("m"), F.array_sort(F.array_distinct(gram_hashes(F.col("w"), SHINGLE))).alias("grams"))
-    may_miss = F.size("grams") - F.ceil(F.size("grams") * LEAST - 1e-9).cast("int")
-    return known.select("template", "license", "restrictive", "m", shingles(F.col("w")).alias("shingles"), "grams",
-                        F.explode_outer(F.slice("grams", F.lit(1), may_miss + 1)).alias("h"))
+    return known.select("template", "license", "restrictive", "m", shingles(F.col("w")).alias("shingles"), "grams", bands(F.col("grams")).alias("bands"),
+                        F.explode_outer("grams").alias("h"))
 
 
 def matches(docs: DataFrame, templates: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -83,16 +95,21 @@ def matches(docs: DataFrame, templates: DataFrame, text_col: str = "text") -> tu
     rows = stored(split.select(*rest, F.size("w").cast("long").alias("n_words"), F.when(possible, F.col("w")).alias("w"),
                                F.monotonically_increasing_id().alias("row")), "scanned")
     some = stored(rows.where(F.col("w").isNotNull()).select("row", "w", gram_hashes(F.col("w"), SHINGLE).alias("g")), "possible")
-    # windows that hold a hash of a template's sketch
-    spots = some.select("row", F.posexplode("g").alias("at", "h")).join(signs.select("template", "m", "grams", "h"), "h").drop("h")
-    first, last = F.greatest(F.col("at") - F.col("m") + SHINGLE, F.lit(0)), F.least(F.col("at"), F.size("g") + SHINGLE - 1 - F.col("m"))
-    windows = spots.join(some.select("row", "g"), "row").where(first <= last).select(
-        "row", "template", "m", "grams", "g", F.explode(F.sequence(first, last)).alias("first"))
-    held = F.size(F.array_intersect("grams", F.slice("g", F.col("first") + 1, F.col("m") - SHINGLE + 1))) / F.size("grams")
-    hit = windows.where(held >= LEAST).select("row", "template", "first").distinct()
-    known = signs.drop("h", "grams").dropDuplicates(["template"])
+    # windows that hold a shingle of the template, each once
+    spots = some.select("row", F.posexplode("g").alias("at", "h")).join(signs.select("template", "m", "h"), "h").drop("h")
+    sized = spots.join(some.select("row", "g"), "row").withColumn("size", F.size("g") + SHINGLE - 1)
+    first = F.greatest(F.col("at") - F.col("m") + SHINGLE, F.lit(0))
+    last = F.least(F.col("at"), F.greatest(F.col("size") - F.col("m"), F.lit(0)))
+    windows = sized.where(first <= last).select("row", "template", F.explode(F.sequence(first, last)).alias("first")).distinct()
+    windows = windows.join(some.select("row", "g"), "row").join(
+        signs.select("template", "m", "grams", F.col("bands").alias("own")).dropDuplicates(["template"]), "template").select(
+        "row", "template", "first", "grams", "own", F.slice("g", F.col("first") + 1, F.col("m") - SHINGLE + 1).alias("g"))
+    shared = windows.where(F.exists(F.zip_with(bands(F.col("g")), "own", lambda x, y: x == y), lambda x: x))
+    held = F.size(F.array_intersect("grams", "g")) / F.size("grams")
+    hit = shared.where(held >= LEAST).select("row", "template", "first")
+    known = signs.drop("h", "grams", "bands").dropDuplicates(["template"])
     checked = hit.join(known, "template").join(rows.select("row", "w"), "row").select(
-        "row", "license", "restrictive", "first", F.col("m").alias("words"),
+        "row", "license", "restrictive", "first", F.least("m", F.size("w") - F.col("first")).alias("words"),
         (F.size(F.array_intersect("shingles", shingles(F.slice("w", F.col("first") + 1, F.col("m"))))) / F.size("shingles")).alias("containment"))
     return rows.drop("w"), stored(checked.where(F.col("containment") >= LEAST), "matches")
 
@@ -124,7 +141,7 @@ tn AS (SELECT t, license, restrictive, len(w) AS m, (SELECT count(*) FROM ts WHE
 d AS (SELECT doc_id, {take('text')} AS w FROM documents),
 ds AS (SELECT doc_id, i, len(w) AS size, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d)),
 hit AS (SELECT doc_id, t, i, s, m, n, size FROM ds JOIN ts USING (s) JOIN tn USING (t)),
-win AS (SELECT DISTINCT doc_id, t, m, n, unnest(generate_series(greatest(1, i - m + 5), least(i, size - m + 1))) AS f FROM hit),
+win AS (SELECT DISTINCT doc_id, t, m, n, unnest(generate_series(greatest(1, i - m + 5), least(i, greatest(size - m + 1, 1)))) AS f FROM hit),
 got AS (SELECT win.doc_id, win.t, f, count(DISTINCT s) / any_value(win.n) AS containment
         FROM win JOIN hit ON hit.doc_id = win.doc_id AND hit.t = win.t AND i BETWEEN f AND f + win.m - 5 GROUP BY win.doc_id, win.t, f),
 best AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(DISTINCT license) AS n_licenses,

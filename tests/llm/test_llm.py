@@ -362,6 +362,16 @@ def test_license_scan(spark):
     assert license_scan.scan(empty(spark), license_scan.template_table(spark)).count() == 0
 
 
+def test_license_notices_cut_short(spark):
+    mit = license_scan.TEMPLATES[2][2].split()
+    texts = [" ".join(mit[:-2]), " ".join(mit[:-2]) + " and more words", " ".join(mit[2:]), " ".join(mit[:len(mit) // 2])]
+    got = {r.doc_id: r for r in license_scan.scan(docs_of(spark, texts), license_scan.template_table(spark)).collect()}
+    assert [got[i].licenses for i in range(4)] == ["MIT", "MIT", "MIT", ""] and 0.8 <= got[0].containment < 1
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT unnest(range(4)) AS doc_id, unnest(?) AS text", [texts])
+    assert {tuple(r) for r in got.values()} == set(con.execute(license_scan.scan_sql()).fetchall())
+
+
 def test_license_substitutions_equal_sql(spark):
     # every word of every template replaced, dropped or followed by another one, against all windows
     texts = [t for *_, t in license_scan.TEMPLATES]
