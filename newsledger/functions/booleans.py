@@ -90,10 +90,10 @@ def column_terms(column_name: str):
     return TRUE_VALUES, FALSE_VALUES
 
 
-def _lower_unique(values):
+def _unique(values, case_sensitive: bool):
     seen, out = set(), []
     for v in values:
-        lv = v.lower()
+        lv = v if case_sensitive else v.lower()
         if lv not in seen:
             seen.add(lv)
             out.append(lv)
@@ -101,13 +101,15 @@ def _lower_unique(values):
 
 
 def boolean_result(c, true_values=TRUE_VALUES, false_values=FALSE_VALUES,
-                   null_values=NULL_VALUES, numeric_output: bool = True) -> Column:
-    """STRUCT<value INT, is_valid BOOLEAN, error STRING, rule STRING>."""
+                   null_values=NULL_VALUES, numeric_output: bool = True, case_sensitive: bool = False) -> Column:
+    """STRUCT<value INT, is_valid BOOLEAN, error STRING, rule STRING>. With
+    ``case_sensitive`` the terms match as they are written; the phrase patterns
+    have their own rule."""
     raw = col_of(c).cast("string")
-    tv, fv, nv = _lower_unique(true_values), _lower_unique(false_values), _lower_unique(null_values)
+    tv, fv, nv = (_unique(values, case_sensitive) for values in (true_values, false_values, null_values))
 
     def body(s):
-        v = F.lower(s)
+        v = s if case_sensitive else F.lower(s)
         first_num = F.regexp_extract(s, r"(\d+(?:\.\d+)?)", 1).try_cast("double")
         neg = F.lit(False)
         for p in NEGATIVE_PATTERNS:

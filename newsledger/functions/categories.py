@@ -91,8 +91,13 @@ class Vocabulary:
     fuzzy: bool = True
     partial: bool = True
     cutoff: float = FUZZY_CUTOFF
+    case_sensitive: bool = False
     extra_terms: tuple = field(default_factory=tuple)
 
+    def fold(self, x):
+        """A text or column as it is compared."""
+        return x if self.case_sensitive else F.lower(x) if isinstance(x, Column) else x.lower()
+
     @property
     def sorted_terms(self) -> list:
         return sorted(self.all_terms)
@@ -151,14 +156,14 @@ def _first_wins_map(pairs) -> Column:
 
 def synonym_match(cleaned: Column, vocab: Vocabulary) -> Column:
     terms = set(vocab.all_terms)
-    pairs = [(k.lower(), v) for k, v in vocab.synonyms if v in terms]
-    k = F.lower(cleaned)
+    pairs = [(vocab.fold(k), v) for k, v in vocab.synonyms if v in terms]
+    k = vocab.fold(cleaned)
     return F.when(k.isNotNull(), F.element_at(_first_wins_map(pairs), k)) if pairs else F.lit(None).cast("string")
 
 
 def exact_match(value: Column, vocab: Vocabulary) -> Column:
-    pairs = [(t.lower(), t) for t in vocab.all_terms]
-    k = F.lower(value)
+    pairs = [(vocab.fold(t), t) for t in vocab.all_terms]
+    k = vocab.fold(value)
     return F.when(k.isNotNull(), F.element_at(_first_wins_map(pairs), k)) if pairs else F.lit(None).cast("string")
 
 
@@ -167,13 +172,13 @@ def partial_match(cleaned: Column, vocab: Vocabulary) -> Column:
     length, must exceed 0.3; ties go to the smaller term."""
     if not vocab.all_terms:
         return F.lit(None).cast("string")
-    cv = F.lower(cleaned)
+    cv = vocab.fold(cleaned)
     n = F.length(cv)
     scored = F.transform(
         str_array(vocab.all_terms),
         lambda t: F.struct(
-            (-F.when(F.contains(F.lower(t), cv), n / F.length(t))
-             .when(F.contains(cv, F.lower(t)), F.length(t) / n)
+            (-F.when(F.contains(vocab.fold(t), cv), n / F.length(t))
+             .when(F.contains(cv, vocab.fold(t)), F.length(t) / n)
              .otherwise(F.lit(0.0))).alias("neg_score"),
             t.alias("term")),
     )
@@ -215,12 +220,13 @@ def category_result(c, vocab: Vocabulary, fuzzy_col: Column | None = None) -> Co
     return let(vals, body)
 
 
-def close_match(value: str, terms, cutoff: float) -> str | None:
-    """Best ratio >= cutoff (ties: the larger term); retried lower-cased."""
-    return _close_match_fn()(value, tuple(terms), cutoff)
+def close_match(value: str, terms, cutoff: float, case_sensitive: bool = False) -> str | None:
+    """Best ratio >= cutoff (ties: the larger term); retried lower-cased
+    unless case matters."""
+    return _close_match_fn(case_sensitive)(value, tuple(terms), cutoff)
 
 
-def _close_match_fn():
+def _close_match_fn(case_sensitive: bool = False):
     # Built inside a function so the UDF ships it by value (executors need
     # only the standard library, not this package).
     import difflib as _difflib
@@ -229,8 +235,8 @@ def _close_match_fn():
         if not value:
             return None
         got = _difflib.get_close_matches(value, list(terms), n=1, cutoff=cutoff)
-        if got:
-            return got[0]
+        if got or case_sensitive:
+            return got[0] if got else None
         lowered = [t.lower() for t in terms]
         got = _difflib.get_close_matches(value.lower(), lowered, n=1, cutoff=cutoff)
         if got:
@@ -245,7 +251,7 @@ def fuzzy_udf(vocab: Vocabulary):
     table is matched by ``operators.categorical.with_vocabulary_table``)."""
     terms = tuple(vocab.all_terms)
     cutoff = vocab.cutoff
-    close = _close_match_fn()
+    close = _close_match_fn(vocab.case_sensitive)
 
     @F.pandas_udf(T.StringType())
     def best(values: pd.Series) -> pd.Series:

@@ -8,10 +8,11 @@ structs into a long error table and per-column counts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import booleans, categories, dates, numbers, text, times
 from ..functions.common import py_strip
@@ -31,6 +32,8 @@ class ColumnSpec:
     max_length: int | None = None
     default: str | None = None
     required: bool = False
+    encoding: str | None = None        # of a text; what is not valid in it is removed
+    case_sensitive: bool = False       # of a vocabulary or of yes/no terms
 
 
 def _vocab_text(values):
@@ -49,9 +52,9 @@ HEAT_SPECS = (
     ColumnSpec("สคร.", TEXT, max_length=50, pattern=r"^สคร\.\s*\d{1,2}$"),
     ColumnSpec("ปี", INTEGER, (2020, 2030)),
     ColumnSpec("สถานะ", MULTICLASS, vocabulary=("เสียชีวิต", "รอดชีวิต", "ไม่ระบุ"), default="เสียชีวิต"),
-    ColumnSpec("ว/ด/ป เสียชีวิต", DATE),
+    ColumnSpec("ว/ด/ป เสียชีวิต", DATE, pattern=r"\d{1,2}/\d{1,2}/\d{4}"),
     ColumnSpec("เดือน ที่เสียชีวิต", MULTICLASS, vocabulary=categories.MONTHS),
-    ColumnSpec("เวลาที่เสียชีวิต", TIME),
+    ColumnSpec("เวลาที่เสียชีวิต", TIME, pattern=r"^([0-1]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?$"),
     ColumnSpec("เพศ", MULTICLASS, vocabulary=categories.GENDERS),
     ColumnSpec("อายุ(ปี)", INTEGER, (0, 120), clamp=True),
     ColumnSpec("เชื้อชาติ", TEXT, max_length=50),
@@ -81,14 +84,17 @@ HEAT_SPECS = (
     ColumnSpec("หมายเหตุ", TEXT, max_length=500),
     ColumnSpec("ที่มาสื่อออนไลน์", TEXT, max_length=300),
 )
+HEAT_SPECS = tuple(replace(x, encoding="utf-8") if x.data_type == TEXT else x for x in HEAT_SPECS)
 HEAT_COLUMNS = tuple(s.name for s in HEAT_SPECS)
 SPARK_TYPES = {INTEGER: "bigint", FLOAT: "double", DATE: "date", TIME: "string", BOOLEAN: "int",
                MULTICLASS: "string", TEXT: "string"}
+_TYPES = {INTEGER: T.LongType(), FLOAT: T.DoubleType(), DATE: T.DateType(), TIME: T.StringType(), BOOLEAN: T.IntegerType(),
+          MULTICLASS: T.StringType(), TEXT: T.StringType()}
 
 
 def vocabulary_of(spec: ColumnSpec) -> categories.Vocabulary:
     """The vocabulary of a multiclass column."""
-    kw = {}
+    kw = {"case_sensitive": spec.case_sensitive}
     if spec.vocabulary is not None:
         kw["terms"] = tuple(spec.vocabulary)
     if spec.default is not None:
@@ -110,10 +116,14 @@ def result_expr(spec: ColumnSpec, c, as_of=None, normalize_unicode: bool = True)
         return times.time_result(c)
     if spec.data_type == BOOLEAN:
         tv, fv = booleans.column_terms(spec.name)
-        return booleans.boolean_result(c, tv + HEAT_TRUE_TERMS, fv + HEAT_FALSE_TERMS)
+        return booleans.boolean_result(c, tv + HEAT_TRUE_TERMS, fv + HEAT_FALSE_TERMS, case_sensitive=spec.case_sensitive)
     if spec.data_type == MULTICLASS:
         # one expression, so without the fuzzy stage, which is an operator: validate runs it
         return categories.category_result(c, vocabulary_of(spec))
+    if spec.encoding:
+        if spec.encoding.lower() not in ("utf-8", "utf8"):
+            raise ValueError(f"{spec.name}: strings are UTF-8; read other encodings with the contract readers")
+        c = text.utf8_result(c)["value"]
     prof = text.profile_for(spec.name, normalize_unicode=normalize_unicode,
                             **({"max_length": spec.max_length} if spec.max_length else {}))
     res = text.text_result(c, prof)
@@ -125,9 +135,12 @@ def result_expr(spec: ColumnSpec, c, as_of=None, normalize_unicode: bool = True)
     return res
 
 
-def validate(df: DataFrame, specs, keep=(), as_of=None, normalize_unicode: bool = True) -> DataFrame:
+def validate(df: DataFrame, specs, keep=(), as_of=None, normalize_unicode: bool = True, strict_patterns: bool = False) -> DataFrame:
     """``keep`` columns, each spec column's clean value, and an ``_cells``
-    array of (column, raw, error, is_valid, is_null) per spec column.
+    array of (column, raw, error, is_valid, is_null) per spec column. Texts must
+    have their spec's pattern when clean. The patterns of dates and times describe
+    one way of writing what the parsers take in many; with ``strict_patterns`` the
+    raw text must be written that way (error ``pattern``).
     Numbers and dates are parsed in stages (operators.columns); the other
     types are single expressions; the output is one final projection."""
     from . import columns as staged_ops
@@ -153,6 +166,9 @@ def validate(df: DataFrame, specs, keep=(), as_of=None, normalize_unicode: bool
             staged = staged.withColumn(f"_res{i}", result_expr(s, raw, as_of, normalize_unicode))
     def error_of(i: int, s: ColumnSpec):
         error = F.col(f"_res{i}.error")
+        if strict_patterns and s.pattern and s.data_type in (DATE, TIME):
+            written = py_strip(F.col(f"_raw{i}"))
+            error = F.coalesce(error, F.when((written != "") & ~written.rlike(s.pattern), F.lit("pattern")))
         missing = error.isNull() & F.col(f"_res{i}.value").isNull()
         return F.when(missing, F.lit("required")).otherwise(error) if s.required else error
 
@@ -163,7 +179,8 @@ def validate(df: DataFrame, specs, keep=(), as_of=None, normalize_unicode: bool
                        for i, s in enumerate(specs)]) if specs else F.array()
     return staged.select(
         *[F.col(f"`{k}`") for k in keep],
-        *[F.col(f"_res{i}.value").cast(SPARK_TYPES[s.data_type]).alias(s.name) for i, s in enumerate(specs)],
+        *[(F.when(F.coalesce(error_of(i, s) != "pattern", F.lit(True)), F.col(f"_res{i}.value")) if strict_patterns else F.col(f"_res{i}.value"))
+          .cast(SPARK_TYPES[s.data_type]).alias(s.name) for i, s in enumerate(specs)],
         errors.alias("_cells", metadata={"n_cells": len(specs)}),
     )
 
@@ -249,5 +266,15 @@ def columns_by_type(specs=HEAT_SPECS) -> dict:
     return out
 
 
+def required_columns(specs=HEAT_SPECS) -> list[str]:
+    return [s.name for s in specs if s.required]
+
+
+def output_schema(specs=HEAT_SPECS) -> T.StructType:
+    """Spark types of the spec columns, in order; required ones are not nullable."""
+    return T.StructType([T.StructField(s.name, _TYPES[s.data_type], not s.required)
+                         for s in specs])
+
+
 def strip_all(df: DataFrame) -> DataFrame:
     return df.select(*[py_strip(F.col(f"`{c}`")).alias(c) for c in df.columns])

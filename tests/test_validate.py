@@ -77,3 +77,38 @@ def test_vocabulary_table(spark):
     assert sorted(got) == sorted([("term5999", "exact"), ("term1", "synonym"), ("term3", "synonym"), ("?", "blank"), ("?", "blank"), ("?", "none")] + [("term1", "exact")] * 50)
     strict = with_vocabulary_table(df, "v", terms, "c", case_sensitive=True).where("v = 'TERM5999 '").head()
     assert strict.c.match_kind == "none"
+
+
+def test_case_options(spark):
+    from newsledger.functions import booleans, categories
+    from newsledger.operators.categorical import with_category
+    v = categories.Vocabulary(("North", "South"), (("N.", "North"),), default="?", case_sensitive=True)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["North", "north", "N.", "n.", "Norht", "NORTHERN", "Northern"])], "i int, c string")
+    got = [tuple(r.r)[::3] for r in with_category(df, "c", v, "r").orderBy("i").collect()]
+    assert got == [("North", "exact"), ("North", "fuzzy"), ("North", "synonym"), ("?", "none"), ("North", "fuzzy"), ("?", "none"), ("North", "fuzzy")]
+    loose = categories.Vocabulary(("North", "South"), (("N.", "North"),), default="?")
+    assert [r.r.value for r in with_category(df, "c", loose, "r").orderBy("i").collect()] == ["North"] * 7
+    words = spark.createDataFrame([(i, t) for i, t in enumerate(["Ja", "ja", "NEIN", "Nein"])], "i int, c string")
+    strict = [r.v for r in words.select("i", booleans.boolean_result("c", ("Ja",), ("Nein",), case_sensitive=True)["value"].alias("v")).orderBy("i").collect()]
+    assert strict == [1, None, None, 0]
+    assert [r.v for r in words.select("i", booleans.boolean_result("c", ("Ja",), ("Nein",))["value"].alias("v")).orderBy("i").collect()] == [1, 1, 0, 0]
+
+
+def test_patterns_encoding_and_schema(spark):
+    from newsledger.operators import validate as V
+    specs = [s for s in V.HEAT_SPECS if s.name in ("ว/ด/ป เสียชีวิต", "เวลาที่เสียชีวิต", "หมายเหตุ")]
+    rows = [(0, "5/3/2567", "10:30", "fine text"), (1, "5 มีนาคม 2567", "10.30 น.", "x"), (2, None, "", None), (3, "nothing", "99:99", "y")]
+    df = spark.createDataFrame(rows, ["id", *(s.name for s in specs)])
+    loose = {(r.id, r.column): r.error for r in V.error_report(V.validate(df, specs, ["id"], as_of="2030-01-01"), ["id"]).collect()}
+    strict_rows = V.validate(df, specs, ["id"], as_of="2030-01-01", strict_patterns=True)
+    strict = {(r.id, r.column): r.error for r in V.error_report(strict_rows, ["id"]).collect()}
+    date, time, note = (s.name for s in specs)
+    assert (1, date) not in loose and (1, time) not in loose and (3, date) in loose
+    assert strict == loose | {(1, date): "pattern", (1, time): "pattern"}
+    assert {r.id: r[date] is None for r in strict_rows.collect()} == {0: False, 1: True, 2: True, 3: True}
+    broken = spark.createDataFrame([(bytearray("ok é".encode() + b"\xff end"),)], "b binary").select(F.col("b").cast("string").alias(note))
+    cell = V.validate(broken, [s for s in specs if s.name == note]).head()
+    assert cell[note] == "ok é end" and cell["_cells"][0].is_valid
+    schema = V.output_schema([V.ColumnSpec("a", V.INTEGER, required=True), V.ColumnSpec("b", V.DATE)])
+    assert schema.simpleString() == "struct<a:bigint,b:date>" and [f.nullable for f in schema] == [False, True]
+    assert V.required_columns([V.ColumnSpec("a", required=True), V.ColumnSpec("b")]) == ["a"]
