@@ -202,9 +202,9 @@ def parse_double(s: str) -> str:
 
 
 def bool_sql(src: str, raw: str, keep: str) -> str:
-    tv = booleans._lower_unique(booleans.TRUE_VALUES)
-    fv = booleans._lower_unique(booleans.FALSE_VALUES)
-    nv = booleans._lower_unique(booleans.NULL_VALUES)
+    tv = booleans._unique(booleans.TRUE_VALUES, False)
+    fv = booleans._unique(booleans.FALSE_VALUES, False)
+    nv = booleans._unique(booleans.NULL_VALUES, False)
     anyc = lambda terms: f"len(list_filter({lst([t for t in terms if len(t) > 2])}, lambda t: contains(v, t))) > 0"
     neg = " OR ".join(f"regexp_matches(s, {q(p)})" for p in booleans.NEGATIVE_PATTERNS)
     pos = " OR ".join(f"regexp_matches(s, {q(p)})" for p in booleans.POSITIVE_PATTERNS)
