@@ -5,12 +5,17 @@
 2. The directory is grown by doubling: a bucket (all keys with the same leading
    bits) that holds more than ``bucket_keys`` distinct keys is split by one
    more bit. A histogram of eight bits at a time serves eight doublings.
-3. Entries are dealt to owner tasks by bucket, i.e. by key range, and written
-   as the index. A key with more than ``page_rows`` entries (a hot text)
-   continues in overflow pages, which go to different owners.
-4. Entries with the same key form a chain. The chain is told apart by digest,
-   and the bytes of each chain's texts are compared: texts are grouped by their
-   bytes, and a (key, digest) with two different texts is split by text.
+3. Entries are dealt to owner tasks by bucket, i.e. by key range. A key with
+   more than ``page_rows`` entries (a hot text) continues in overflow pages, which
+   go to different owners; so an owner never holds more than a page of one text.
+4. Entries with the same key form a chain. The bytes of each chain's texts are
+   compared: texts are grouped by their bytes, copies combined before they move,
+   and where one (key, digest) has two different texts the text is made part of
+   the digest.
+5. Each owner walks its chains and writes the index: every entry with the row that
+   stays of its chain's digest and the number of rows, as far as its page goes. No
+   row is sent again for this. Chains of several pages are put together from one
+   entry a page.
 
 Row rules: null text counts as empty; of equal texts (white space deleted) the
 row with the most code points, then the smallest id (a null id last), then the
@@ -22,13 +27,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, small_side, stored, text_or_empty
 
 BITS = 8                      # doublings served by one histogram
 BROADCAST_KEYS = 1_000_000    # 8 bytes each
+OWNED_BY = ("depth", "prefix", "chain", "page")
 
 
 def prefix(key: Column, depth: int) -> Column:
@@ -84,43 +90,46 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
     entries = stored(hashed.drop("norm").withColumn("row", F.monotonically_increasing_id()), "entries")
 
     keys = stored(entries.groupBy("key").agg(F.count("*").alias("n")), "keys")
-    placed = located(keys, directory(keys, bucket_keys))
-    owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pages = F.ceil(F.col("n") / page_rows)
-    index = stored(
-        entries.join(placed, "key").withColumn(
-            "page", F.when(pages > 1, F.pmod("row", pages)).otherwise(F.lit(0)).cast("long"))
-        .withColumn("chain", F.when(pages > 1, F.col("key")))        # a hot key has pages of its own
-        .repartition(owners, "depth", "prefix", "chain", "page")
-        .sortWithinPartitions("depth", "prefix", "key", "page"), "index")
 
     # bytes of the texts that share a key; copies collapse before the shuffle
     shared = keys.where("n > 1").select("key")
     texts = hashed.select("key", "digest", "norm").join(
         small_side(shared, shared.count(), BROADCAST_KEYS), "key", "left_semi").groupBy("key", "digest", "norm").agg(
         F.count("*").alias("n"))
-    differ = stored(texts.groupBy("key", "digest").agg(F.count("*").alias("texts")).where("texts > 1"), "collisions")
+    differ = stored(texts.groupBy("key", "digest").agg(F.count("*").alias("texts")).where("texts > 1"), "collisions").select("key", "digest")
     if not differ.isEmpty():
-        # one digest, different bytes: those rows are grouped by the text itself
-        clash = hashed.join(differ.select("key", "digest"), ["key", "digest"], "left_semi")
-        clash = stored(clash.withColumn("row", F.monotonically_increasing_id()), "clashes")
-        split = clash.select("id", "length", "row", "sha", F.concat_ws(":", F.col("key").cast("string"), "norm").alias("class"))
-        rest = index.join(differ.select("key", "digest"), ["key", "digest"], "left_anti")
-    else:
-        split, rest = None, index
-    rows = rest.select("id", "length", "row", "sha",
-                       F.concat_ws(":", F.col("key").cast("string"), "digest").alias("class"))
-    return (kept(rows) if split is None else kept(rows).unionByName(kept(split))).withColumnRenamed("id", id_col)
-
-
-def kept(rows: DataFrame) -> DataFrame:
-    """The row that stays of each class. Classes of one row need no join."""
+        # one digest, different bytes: the text itself tells those rows apart
+        clash = hashed.join(differ, ["key", "digest"], "left_semi").withColumn("digest", F.concat("digest", F.lit(":"), "norm")).drop("norm")
+        entries = entries.join(differ, ["key", "digest"], "left_anti").unionByName(
+            stored(clash.withColumn("row", F.monotonically_increasing_id()), "clashes"))
+
+    owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = index_of(entries, located(keys, directory(keys, bucket_keys)), owners, page_rows)
+    return found(index).withColumnRenamed("id", id_col)
+
+
+def index_of(entries: DataFrame, placed: DataFrame, owners: int, page_rows: int) -> DataFrame:
+    """The index as its owners write it: entries in the order of bucket, key and
+    page, each with ``best``, the row that stays of its chain's digest, and
+    ``size``, its rows, within the page. The chains lie whole in an owner's
+    partition, which is why neither moves a row."""
+    pages = F.ceil(F.col("n") / page_rows)
+    owned = entries.join(placed, "key").withColumn(
+        "page", F.when(pages > 1, F.pmod("row", pages)).otherwise(F.lit(0)).cast("long")).withColumn(
+        "chain", F.when(pages > 1, F.col("key"))).repartition(owners, *OWNED_BY)      # a hot key has pages of its own
     order = F.struct((-F.col("length")).alias("l"), F.col("id").isNull().alias("z"), F.col("id").alias("id"), F.col("row").alias("row"))
-    # stored, so that the join below reads two plain exchanges and a hot class can be split
-    best = stored(rows.groupBy("class").agg(F.min(order).alias("best"), F.count("*").alias("group_size")).where("group_size > 1"), "best")
-    out = rows.join(best, "class", "left")
-    single = F.col("best").isNull()
-    return out.select(
-        "id", F.when(single, F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (single | (F.col("row") == F.col("best.row"))).alias("kept"), F.col("sha").alias("text_sha256"))
+    chain = Window.partitionBy(*OWNED_BY, "key", "digest")
+    walked = owned.withColumn("best", F.min(order).over(chain)).withColumn("size", F.count(F.lit(1)).over(chain))
+    return stored(walked.sortWithinPartitions("depth", "prefix", "key", "page"), "index")
+
+
+def found(index: DataFrame) -> DataFrame:
+    """The result from the index: as it stands for chains of one page; the pages
+    of longer ones are put together from one entry each."""
+    def result(rows: DataFrame) -> DataFrame:
+        return rows.select("id", F.col("best.id").alias("keep_id"), F.col("size").alias("group_size"),
+                           (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"))
+    long = index.where("chain IS NOT NULL")
+    whole = stored(long.where("row = best.row").groupBy("key", "digest").agg(F.min("best").alias("best"), F.sum("size").alias("size")), "long-chains")
+    joined = long.drop("best", "size").join(small_side(whole, whole.count(), BROADCAST_KEYS // 16), ["key", "digest"])
+    return result(index.where("chain IS NULL")).unionByName(result(joined))

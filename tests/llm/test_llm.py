@@ -75,6 +75,30 @@ def exact(texts):
     return out
 
 
+def test_exact_dedup_finishes_inside_the_owners(spark, monkeypatch):
+    texts = [f"text {i % 40}" for i in range(400)] + ["hot"] * 300
+    docs = docs_of(spark, texts)
+    seen = {}
+    real = exact_dedup.index_of
+
+    def kept(entries, placed, owners, page_rows):
+        plan = []
+        write = exact_dedup.stored
+        with monkeypatch.context() as m:
+            m.setattr(exact_dedup, "stored", lambda df, name: plan.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, name))
+            out = real(entries, placed, owners, page_rows)
+        seen["plan"], seen["sizes"] = plan[0], [r.n for r in out.groupBy(*exact_dedup.OWNED_BY, "key").agg(F.count("*").alias("n")).collect()]
+        return out
+    monkeypatch.setattr(exact_dedup, "index_of", kept)
+    assert {tuple(r) for r in exact_dedup.dedup(docs, page_rows=16).collect()} == exact(texts)
+    walk = seen["plan"][:seen["plan"].index("REPARTITION_BY_NUM")]
+    assert walk.count("Exchange") == 1 and "Window" in walk                     # rows are dealt to the owners once, then walked
+    assert sum(seen["sizes"]) == len(texts) and max(seen["sizes"]) < 60           # 300 rows of one text lie on many pages
+    # an entry that the index lacks is lacking in the result
+    monkeypatch.setattr(exact_dedup, "index_of", lambda *a: real(*a).where("id <> 7"))
+    assert exact_dedup.dedup(docs, page_rows=16).count() == len(texts) - 1
+
+
 TEXTS = ["a b", "ab", " a\tb", "c", None, "", " \n", "é x", "éx ", "c" * 3000, "c c", "cc"]
 
 
