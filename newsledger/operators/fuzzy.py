@@ -16,6 +16,11 @@ together is compared:
   certain and the text is not long, single grams (k = 1) otherwise.
 * Candidates are counted out by the shared grams that their lengths ask for, in
   the JVM, before the measure itself is computed.
+* Single letters say little about words of one language. For ``edit``, short texts
+  are indexed by what is left after deleting characters instead: two texts with
+  at most k edits, the longer one of n characters, have a subsequence of n - k
+  characters in common. A text is short as long as it has at most ``PARTS`` such
+  subsequences; a pair is met by them if both texts are short, else by grams.
 
 Nothing is dropped: the result is that of comparing all pairs (the tests do).
 """
@@ -23,6 +28,7 @@ Nothing is dropped: the result is that of comparing all pairs (the tests do).
 from __future__ import annotations
 
 import difflib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +40,7 @@ from ..session import staged
 
 LONG = 40                # characters; longer texts are indexed by single grams
 COMMON_GRAMS = 256       # the most frequent grams of the vocabulary, by which grams are ordered
+PARTS = 400              # subsequences of a text that is indexed by them, at most
 EPS = 1e-9
 
 
@@ -69,6 +76,18 @@ class Measure:
         """Most edits that keep the measure at the cutoff."""
         return F.floor(F.greatest(a, b) * (1 - self.cutoff) + EPS).cast("int")
 
+    def deleted(self, n: int) -> int:
+        """Most edits of texts of which the longer one has n characters."""
+        return math.floor(n * (1 - self.cutoff) + EPS)
+
+    @property
+    def by_parts(self) -> int:
+        """Longest text that is indexed by its subsequences."""
+        n = 0
+        while self.kind == "edit" and n < LONG and sum(math.comb(n + 1, k) for k in range(self.deleted(n + 1) + 1)) <= PARTS:
+            n += 1
+        return n
+
 
 def characters(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
@@ -113,15 +132,45 @@ def _middle(n: Column, m: Measure) -> Column:
     return (n > m.short) & (n <= LONG)
 
 
-def candidates(values: DataFrame, terms: DataFrame, m: Measure) -> DataFrame:
-    """(value, term): all pairs that may reach the cutoff, each once."""
+def parts(side: DataFrame, m: Measure) -> DataFrame:
+    """(text, n, key): every short text by each of its subsequences that lack as
+    many characters as it may have edits, or fewer."""
+    def without_one(texts: Column) -> Column:
+        one = lambda t: F.transform(F.sequence(F.lit(1), F.char_length(t)),
+                                    lambda i: F.concat(t.substr(F.lit(1), i - 1), t.substr(i + 1, F.char_length(t))))
+        return F.array_distinct(F.flatten(F.transform(texts, one)))
+
+    most = m.deleted(m.by_parts)
+    df = side.select("text", F.char_length("text").alias("n")).where(F.col("n") <= m.by_parts).withColumn("p0", F.array("text"))
+    for k in range(1, most + 1):
+        least = next(n for n in range(1, m.by_parts + 1) if m.deleted(n) >= k)
+        df = df.withColumn(f"p{k}", F.when(F.col("n") >= least, without_one(F.col(f"p{k - 1}"))).otherwise(F.array().cast("array<string>")))
+    return df.select("text", "n", F.explode(F.concat(*[F.col(f"p{k}") for k in range(most + 1)])).alias("part")).select(
+        "text", "n", F.char_length("part").alias("left"), F.xxhash64("part").alias("key"))
+
+
+def _met(values: DataFrame, terms: DataFrame, m: Measure) -> DataFrame:
+    """(value, term): all pairs that may reach the cutoff, some more than once."""
+    a, b, longer = F.col("a"), F.col("b"), F.greatest("a", "b")
+    found = None
+    if m.by_parts:
+        left = parts(values, m).select(F.col("text").alias("value"), F.col("n").alias("a"), "left", "key")
+        right = parts(terms, m).select(F.col("text").alias("term"), F.col("n").alias("b"), F.col("left").alias("of"), "key")
+        found = left.join(right, "key").where((F.col("left") == F.col("of")) & (F.col("left") == longer - m.edits(a, b))).select("value", "term")
+        over = m.by_parts + 1
+        values, terms = (x.where(F.char_length("text") >= over - m.deleted(over)) for x in (values, terms))
     order = gram_order(terms)
     left = indexed(values, order, m).select(F.col("text").alias("value"), F.col("n").alias("a"), "by", "key")
     right = indexed(terms, order, m).select(F.col("text").alias("term"), F.col("n").alias("b"), "by", "key")
-    a, b = F.col("a"), F.col("b")
     need = m.shared(a, b)
     met = left.join(right, ["by", "key"]).where((need <= F.least(a, b)) & ((F.col("by") == 2) | ~_middle(a, m) | ~_middle(b, m)))
-    pairs = met.select("value", "term").distinct()
+    met = met.where(longer > m.by_parts).select("value", "term")
+    return met if found is None else found.unionByName(met)
+
+
+def candidates(values: DataFrame, terms: DataFrame, m: Measure) -> DataFrame:
+    """(value, term): all pairs that may reach the cutoff, each once."""
+    pairs = _met(values, terms, m).distinct()
     common = F.size(F.array_intersect(grams(F.col("value")), grams(F.col("term"))))
     return pairs.where(common >= m.shared(F.char_length("value"), F.char_length("term")))
 
@@ -144,25 +193,29 @@ def _ratio_udf(cutoff: float):
     return ratio
 
 
-def matches(values: DataFrame, terms: DataFrame, m: Measure) -> DataFrame:
-    """(value, term, score) of every pair at the cutoff or above. ``values``
-    and ``terms`` have one column ``text`` of distinct texts; empty ones match
-    nothing."""
-    full = lambda df: df.where(F.char_length("text") > 0)
-    found = candidates(full(values), full(terms), m)
+def _scored(values: DataFrame, terms: DataFrame, m: Measure) -> DataFrame:
+    """As ``matches``, some pairs more than once."""
+    values, terms = (df.where(F.char_length("text") > 0) for df in (values, terms))
     if m.kind == "ratio":
-        by_value = found.repartition("value", "term").sortWithinPartitions("value")
+        by_value = candidates(values, terms, m).repartition("value", "term").sortWithinPartitions("value")
         return by_value.withColumn("score", _ratio_udf(m.cutoff)("value", "term")).where(F.col("score") >= m.cutoff)
     a, b = F.char_length("value"), F.char_length("term")
-    edits = F.levenshtein("value", "term")
-    return found.withColumn("edits", edits).where(F.col("edits") <= m.edits(a, b)).select(
+    # the distance of two short texts costs less than bringing equal pairs together
+    return _met(values, terms, m).withColumn("edits", F.levenshtein("value", "term")).where(F.col("edits") <= m.edits(a, b)).select(
         "value", "term", (1 - F.col("edits") / F.greatest(a, b)).alias("score"))
 
 
+def matches(values: DataFrame, terms: DataFrame, m: Measure) -> DataFrame:
+    """(value, term, score) of every pair at the cutoff or above. ``values``
+    and ``terms`` have one column ``text`` of distinct texts; empty ones match
+    nothing."""
+    return _scored(values, terms, m).distinct()
+
+
 def closest(values: DataFrame, terms: DataFrame, m: Measure) -> DataFrame:
     """(value, term, score): the best term of each value that has one; of equal
     scores the larger term."""
-    best = matches(values, terms, m).groupBy("value").agg(F.max(F.struct("score", "term")).alias("best"))
+    best = _scored(values, terms, m).groupBy("value").agg(F.max(F.struct("score", "term")).alias("best"))
     return best.select("value", F.col("best.term").alias("term"), F.col("best.score").alias("score"))
 
 
@@ -170,12 +223,16 @@ def closest_folded(values: DataFrame, terms: DataFrame, m: Measure) -> DataFrame
     """As ``closest``, and values without a match are tried once more in lower
     case against the terms in lower case; of terms that are equal then, the one
     of lowest ``rank`` counts. ``terms``: (text, rank)."""
-    distinct = terms.select("text").distinct()
+    distinct = staged(terms.select("text").distinct(), "terms")
     values = staged(values.select("text").distinct(), "values")
     exact = staged(closest(values, distinct, m), "closest")
-    rest = values.join(exact, values.text == exact.value, "left_anti").withColumn("low", F.lower("text"))
+    rest = staged(values.join(exact, values.text == exact.value, "left_anti").withColumn("low", F.lower("text")), "rest")
     low_terms = terms.groupBy(F.lower("text").alias("low")).agg(F.min(F.struct("rank", "text")).alias("first"))
-    low = closest(rest.select(F.col("low").alias("text")).distinct(), low_terms.select(F.col("low").alias("text")), m)
+    lows, folded = rest.select(F.col("low").alias("text")).distinct(), low_terms.select(F.col("low").alias("text"))
+    # a text that was itself without a match has met all terms that are lower case as they stand
+    tried = rest.select("text")
+    low = closest(lows.join(tried, "text", "left_anti"), folded, m).unionByName(
+        closest(lows.join(tried, "text", "left_semi"), folded.join(distinct, "text", "left_anti"), m))
     low = low.join(low_terms, low.term == low_terms.low).select(F.col("value").alias("v"), F.col("first.text").alias("term"), "score")
     folded = rest.join(low, rest.low == low.v).select(F.col("text").alias("value"), "term", "score")
     return exact.unionByName(folded)

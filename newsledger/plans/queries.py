@@ -393,7 +393,7 @@ def category_table_fuzzy(spark, sf):
     d, b = _t(spark, sf, "documents"), _t(spark, sf, "benchmark")
     words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))
     terms = b.select(F.explode(words).alias("term")).distinct().select("term", F.lit(None).cast("string").alias("synonym"), F.lit(0).alias("rank"))
-    word = F.get(words, F.lit(0))
+    word = F.nullif(F.regexp_extract(F.lower("text"), "[a-z]{5,}", 0), F.lit(""))
     raw = F.when(F.col("doc_id") % 2 == 0, F.concat(F.substring(word, 1, 2), F.substring(word, 4, 1000))).otherwise(word)
     out = with_vocabulary_table(d.select("doc_id", raw.alias("raw")), "raw", terms, "r", "none", similar=Measure("edit", 0.7))
     return out.select("doc_id", "raw", F.col("r.value").alias("value"), F.col("r.match_kind").alias("match_kind"))

@@ -97,3 +97,33 @@ def test_hot_value_is_compared_once(spark):
     terms = spark.createDataFrame([("london", None, 0)], "term string, synonym string, rank int")
     out = with_vocabulary_table(values, "c", terms, "o", similar=fuzzy.Measure("edit", 0.8))
     assert out.where("o.match_kind = 'fuzzy'").count() == 6667
+
+
+def test_words_of_few_syllables_have_few_candidates(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("the er on an re he in ed nd ha at en es of or".split()) for _ in range(rng.randrange(2, 5)))
+    values, terms = sorted({word() for _ in range(900)}), sorted({word() for _ in range(600)})
+    m = fuzzy.Measure("edit", 0.7)
+    near = {(v, t) for v in values for t in terms if distance(v, t) <= (1 - 0.7) * max(len(v), len(t)) + 1e-9}
+    got = {(r.value, r.term) for r in fuzzy.candidates(column(spark, values), column(spark, terms), m).collect()}
+    assert near <= got and len(got) < 3 * len(near)
+    rows = [(r.value, r.term) for r in fuzzy.matches(column(spark, values), column(spark, terms), m).collect()]
+    assert len(rows) == len(near) and set(rows) == near
+
+
+def test_short_and_long_texts_meet(spark):
+    # pairs on both sides of the longest text that is indexed by its subsequences
+    m = fuzzy.Measure("edit", 0.7)
+    rng, n = random.Random(6), m.by_parts
+    assert n == 13 and fuzzy.Measure("ratio", 0.7).by_parts == 0
+    terms = sorted({text(rng, n + d) for d in range(-5, 8) for _ in range(6)})
+    values = sorted({v for t in terms for v in (t[:int(len(t) * .7 + 1)], t + "aaaa", t[3:], edited(rng, t), t[1:-1])})
+    got = {(r.value, r.term) for r in fuzzy.matches(column(spark, values), column(spark, terms), m).collect()}
+    assert got == {(v, t) for v in values for t in terms if distance(v, t) <= (1 - 0.7) * max(len(v), len(t)) + 1e-9}
+
+
+def test_second_try_in_lower_case(spark):
+    terms = spark.createDataFrame([("ABCDEFGH", 1), ("abcdefgh", 2), ("XYZXYZXY", 3)], "text string, rank int")
+    values = column(spark, ["ABCDEFGx", "abcdefgX", "xyzxyzx", "XyZxYzXy", "qqqqqqqq", "QQQQ"])
+    got = {r.value: r.term for r in fuzzy.closest_folded(values, terms, fuzzy.Measure("edit", 0.8)).collect()}
+    assert got == {"ABCDEFGx": "ABCDEFGH", "abcdefgX": "abcdefgh", "xyzxyzx": "XYZXYZXY", "XyZxYzXy": "XYZXYZXY"}
