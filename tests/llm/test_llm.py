@@ -319,6 +319,39 @@ def test_line_dedup_with_clashing_columns(spark):
     assert line_dedup.dedup(docs).columns == docs.columns and line_dedup.dedup(docs).count() == 2
 
 
+def test_line_buckets_hold_few_unlike_lines(spark):
+    # lines of one language: long words of few syllables, alike in a tenth of their shingles
+    rng = np.random.default_rng(3)
+    syllables = "the er on an re he in ed nd ha at en es of or ing tion and".split()
+    line = lambda: " ".join("".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(40))
+    rows = docs_of(spark, ["\n".join(line() for _ in range(200)) for _ in range(5)]).withColumn("row", F.col("doc_id"))
+    n = line_dedup.GROUP * line_dedup.GROUPS
+    minima = line_dedup.minima_of(rows, "row", "text", line_dedup.SHINGLE, n, line_dedup.LEAST_CHARS)
+    assert minima.count() == 1000
+    met = []
+    monkey = line_dedup.agreeing
+    try:
+        line_dedup.agreeing = lambda pairs, *a: met.append(pairs.count()) or monkey(pairs, *a)
+        assert line_dedup.repeated_lines(rows, "row", "text").count() == 0
+    finally:
+        line_dedup.agreeing = monkey
+    assert sum(met) < 1000
+
+
+@pytest.mark.parametrize("few", [line_dedup.FEW, 1])
+def test_line_dedup_of_a_crowd_with_one_passage(spark, few, monkeypatch):
+    # many lines share a passage, some of them nearly all of their text
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    passage = " ".join(word() for _ in range(30))
+    texts = [f"{passage} {' '.join(word() for _ in range(k % 16))}" for k in range(150)]
+    texts += [t[:-1] + "#" for t in texts[::3]]
+    gone = slow_lines(texts)
+    got = {r.doc_id: [tuple(c) for c in r.copies] for r in line_dedup.cleaned(docs_of(spark, texts).coalesce(1)).collect()}
+    assert got == {i: gone.get(i, []) for i in range(len(texts))}
+
+
 def test_line_dedup_one_character(spark):
     # one character changed, dropped or added anywhere in lines of 12 to 30 words
     rng = np.random.default_rng(7)
