@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from newsledger.llm import (bpe, context_mixing, decontaminate, exact_dedup, license_scan, line_dedup, link_graph, quality,
+from newsledger.llm import (bpe, common, context_mixing, decontaminate, exact_dedup, license_scan, line_dedup, link_graph, quality,
                             queries, simhash_dedup, surrogates)
 from newsledger.llm.common import read
 from newsledger.llm.graph import components
@@ -352,6 +352,42 @@ def test_line_dedup_of_a_crowd_with_one_passage(spark, few, monkeypatch):
     assert got == {i: gone.get(i, []) for i in range(len(texts))}
 
 
+def test_shuffle_files_of_a_step_go_with_it(spark):
+    conf, seen, write = common.SHUFFLE_CLEANUP, [], line_dedup.stored
+    before = spark.conf.get(conf, None)
+    texts = ["the same line of some length in two documents", "one more line that is long enough for it"] * 2
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(line_dedup, "stored", lambda df, name: seen.append((name, spark.conf.get(conf, None))) or write(df, name))
+        assert line_dedup.cleaned(docs_of(spark, texts).coalesce(1)).where("not kept").count() == 2
+    assert {on for name, on in seen if name != "documents"} == {"true"} and spark.conf.get(conf, None) == before
+    assert [name for name, _ in seen].count("buckets") == line_dedup.GROUPS     # one group's keys at a time
+
+
+def test_rare_pairs_are_those_that_can_be_similar(spark):
+    # a crowd of lines around the least similarity: none of the similar pairs is lost, few others are joined
+    rng = np.random.default_rng(4)
+    text = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 400))
+    lines = [re.sub("#+", "#", "".join("#" if rng.random() < p else c for c in text)) for p in [0.011] * 20 + [0.023] * 20 + [0.06] * 160]
+    sets = [{x[i:i + 5] for i in range(len(x) - 4)} for x in lines]
+    similar = {(i, j) for i in range(200) for j in range(i + 1, 200) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    table = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    crowd = table.select("id", F.col("id").alias("component"), F.lit(0).cast("long").alias("s0"), F.lit(0).cast("long").alias("s1"))
+    got = {(r.a, r.b) for r in line_dedup.rare_pairs(crowd, table, 0.8, 5, 30).collect()}
+    assert len(similar) > 100 and similar <= got and len(got) < 5 * len(similar)
+
+
+def test_nibbles_count_at_least_the_agreeing_minima(spark):
+    rng = np.random.default_rng(5)
+    rows = [[int(x) for x in rng.integers(-2**31, 2**31, 60)] for _ in range(50)]
+    rows = [r[:30] + [a if k % 3 else b for k, (a, b) in enumerate(zip(r[:30], r[30:]))] for r in rows]
+    one = spark.createDataFrame([[i, *r[:30]] for i, r in enumerate(rows)], "id long, " + ", ".join(f"m{k} int" for k in range(30)))
+    two = spark.createDataFrame([[50 + i, *r[30:]] for i, r in enumerate(rows)], one.schema)
+    signs = one.unionByName(two).select("id", *line_dedup.nibbles(30))
+    pairs = spark.createDataFrame([(i, 50 + i) for i in range(50)], "a long, b long")
+    want = {i: sum((a ^ b) & 15 == 0 for a, b in zip(r[:30], r[30:])) for i, r in enumerate(rows)}
+    assert {r.a: r.same for r in line_dedup.agreeing(pairs, signs, 30).collect()} == want and min(want.values()) >= 20
+
+
 def test_line_dedup_one_character(spark):
     # one character changed, dropped or added anywhere in lines of 12 to 30 words
     rng = np.random.default_rng(7)
