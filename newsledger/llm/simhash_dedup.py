@@ -148,7 +148,8 @@ def links(unique: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     copies = spread.select("anchor", F.col("fp").alias("y"))
     homes = spread.where("home").select("anchor", F.col("fp").alias("x"))
     near = (F.col("x") != F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= max_bits)
-    return homes.join(copies, (homes.anchor == copies.anchor) & near).select(
+    # Spark sizes both by the fingerprints they are made from, not by the replicas: neither may be broadcast
+    return homes.hint("merge").join(copies.hint("merge"), (homes.anchor == copies.anchor) & near).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 

@@ -132,6 +132,13 @@ def slow_fingerprint(t):
     return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h)) if h else 0
 
 
+def test_simhash_replicas_are_not_broadcast(spark):
+    # their table is read as one of 8 bytes a fingerprint, and holds about seventy rows for each
+    fps = spark.range(20_000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash_dedup.links(common.stored(fps, "unique"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_fingerprints():
     for t in [None, "", " ", "one", "One two", "a b c d e", "É é " * 40, "x y z " * 40000]:
         assert simhash_dedup.fingerprint(t) == (slow_fingerprint(t) if len(t or "") < 1000 else simhash_dedup.fingerprint(t.lower()))
