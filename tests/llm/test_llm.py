@@ -370,6 +370,33 @@ def test_shuffle_files_of_a_step_go_with_it(spark):
     assert [name for name, _ in seen].count("buckets") == line_dedup.GROUPS     # one group's keys at a time
 
 
+def test_texts_of_compared_lines_only_are_gathered(spark):
+    # ten lines that are nearly equal, a hundred that share a bucket with no other line or are equal
+    rng = np.random.default_rng(12)
+    line = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 60))
+    pairs = [(x := line(), x[:-1] + "#") for _ in range(5)]
+    texts = ["\n".join([*(line() for _ in range(20)), a, b]) for a, b in pairs]
+    seen, write = [], line_dedup.stored_texts
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(line_dedup, "stored_texts", lambda df, name: seen.append((name, out := write(df, name), out.count())) or out)
+        assert sum(len(r.copies) for r in line_dedup.cleaned(docs_of(spark, texts).coalesce(1)).collect()) == 5
+    assert [n for name, _, n in seen if name == "texts"] == [10, 0]
+
+
+def test_lines_looked_for_by_bitmaps(spark, monkeypatch):
+    lines = spark.range(60_000).select(F.xxhash64("id").alias("h1"), F.xxhash64(F.lit("line"), "id").alias("h2"), "id")
+    wanted = lines.where("id % 12 = 5").drop("id")
+    got = {r.id for r in line_dedup.likely_among(lines, wanted, 5000).collect()}
+    assert {i for i in range(60_000) if i % 12 == 5} <= got and len(got) < 5000 + 2 * 55_000 / line_dedup.SPARSE
+    # the texts, by bitmaps and a shuffled join
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    texts = ["\n".join(f"line {i} of text {k}" for i in range(100)) for k in range(20)]
+    rows = docs_of(spark, texts).withColumn("row", F.col("doc_id"))
+    lines = line_dedup.line_rows(rows, "row", "text").select((F.col("row") * 100 + F.col("line_no")).alias("id"), "h1", "h2")
+    got = line_dedup.texts_of(spark.range(0, 2000, 9), lines, rows, "row", "text")
+    assert {r.id: r.line for r in got.collect()} == {i: f"line {i % 100} of text {i // 100}" for i in range(0, 2000, 9)}
+
+
 def test_rare_pairs_are_those_that_can_be_similar(spark):
     # a crowd of lines around the least similarity: none of the similar pairs is lost, few others are joined
     rng = np.random.default_rng(4)
