@@ -397,6 +397,16 @@ def test_lines_looked_for_by_bitmaps(spark, monkeypatch):
     assert {r.id: r.line for r in got.collect()} == {i: f"line {i % 100} of text {i // 100}" for i in range(0, 2000, 9)}
 
 
+def test_line_dedup_stores_the_text_once(spark):
+    seen, write = {}, line_dedup.stored_texts
+    docs = docs_of(spark, ["one line of a text that is long enough", "another text"]).withColumn("more", F.lit(1))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(line_dedup, "stored_texts", lambda df, name: seen.setdefault(name, df.schema) and write(df, name))
+        out = line_dedup.dedup(docs)
+    assert seen["documents"].simpleString().count("text:") == 1 and out.columns == docs.columns
+    assert {tuple(r) for r in out.collect()} == {tuple(r) for r in docs.collect()}
+
+
 def test_rare_pairs_are_those_that_can_be_similar(spark):
     # a crowd of lines around the least similarity: none of the similar pairs is lost, few others are joined
     rng = np.random.default_rng(4)
