@@ -397,6 +397,19 @@ def test_lines_looked_for_by_bitmaps(spark, monkeypatch):
     assert {r.id: r.line for r in got.collect()} == {i: f"line {i % 100} of text {i // 100}" for i in range(0, 2000, 9)}
 
 
+def test_tables_counted_too_large_are_not_broadcast(spark):
+    # small files of many rows, as the planner sees them: only the count tells
+    one = spark.range(5000).withColumn("x", F.lit(1))
+    plan = lambda most: one.join(common.small_side(spark.range(5000), 5000, most), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(5000) and "SortMergeJoin" in plan(4999) and "Broadcast" not in plan(4999)
+    crowd = spark.createDataFrame([(0, "a line of text", 0, 0, 0), (1, "a line of texts", 1, 0, 0)], "id long, line string, component long, s0 long, s1 long")
+    seen, write = {}, line_dedup.stored
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(line_dedup, "stored", lambda df, name: seen.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and write(df, name))
+        line_dedup.rare_pairs(crowd.drop("line"), crowd.select("id", "line"), 0.8, 5, 30)
+    assert "SortMergeJoin" in seen["rare"] and "Broadcast" not in seen["rare"]
+
+
 def test_line_dedup_stores_the_text_once(spark):
     seen, write = {}, line_dedup.stored_texts
     docs = docs_of(spark, ["one line of a text that is long enough", "another text"]).withColumn("more", F.lit(1))
